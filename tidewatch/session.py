@@ -21,6 +21,7 @@ def local_session(cores: int | str = 8, app: str = "tidewatch") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .getOrCreate()
     )

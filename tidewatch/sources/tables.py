@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# File schemas seen so far: reading a footer costs a job, once per file is enough.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Tables:
     """Lazy access to one folder of Parquet tables; nothing runs until a result is asked for."""
 
@@ -18,11 +22,12 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        for field in df.schema.fields:
-            if isinstance(field.dataType, T.TimestampNTZType):
-                df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
-        return df
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+        return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
     @cached_property
     def events(self) -> DataFrame:

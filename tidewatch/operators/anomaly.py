@@ -78,30 +78,43 @@ def _season_keys() -> dict[str, Column]:
 def fit_forecast(series: DataFrame, by: Sequence[str] = METRIC_KEY, seasons: Mapping[str, int] = HOURLY_SEASONS) -> DataFrame:
     """One parameter row per series: linear trend, multiplicative seasonal indices, residual deviation.
 
-    ``series`` has the group columns, ``timestamp`` and ``value``. Every pass is a plain aggregation with map-side
-    partials; the seasonal maps hold at most 7, 24 and 12 entries.
+    ``series`` has the group columns, ``timestamp`` and ``value``. Two passes over it: the trend, then sums per
+    calendar cell (at most 7 x 24 x 12 per series). Indices and the residual deviation follow from the cells.
     """
     by = list(by)
+    known = series.where(F.col("value").isNotNull())
     t = _days(F.col("timestamp"))
-    params = series.where(F.col("value").isNotNull()).groupBy(*by).agg(
+    params = known.groupBy(*by).agg(
         F.count("value").alias("n"), F.avg(t).alias("mean_t"), F.avg("value").alias("mean_y"),
         F.coalesce(F.regr_slope("value", t), F.lit(0.0)).alias("slope"), F.max("timestamp").alias("last_ts"),
     )
-    fitted = series.where(F.col("value").isNotNull()).join(params, by).withColumn("_base", _trend())
-    for season, least in seasons.items():
-        key = _season_keys()[season]
-        usable = (F.col("n") >= least) & (F.col("_base") > 0)
-        index = (
-            fitted.where(usable).groupBy(*by, key.alias("_k"))
-            .agg((F.sum("value") / F.sum("_base")).alias("_i"))
-            .groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_i"))).alias(season))
-        )
-        params = params.join(index, by, "left")
-        fitted = fitted.join(index, by, "left").withColumn(
-            "_base", F.col("_base") * F.coalesce(F.col(season)[key], F.lit(1.0))
+    y, base = F.col("value"), _trend()
+    keys = {season: _season_keys()[season] for season in seasons}
+    trend = [c for c in params.columns if c not in by]
+    cells = (
+        known.join(params, by)
+        .groupBy(*by, *trend, *[key.alias(f"_{season}") for season, key in keys.items()])
+        .agg(
+            F.count(y).alias("_n"), F.sum(y).alias("_y"), F.sum(base).alias("_b"), F.sum(y * y).alias("_yy"),
+            F.sum(base * base).alias("_bb"), F.sum(y * base).alias("_yb"),
         )
-    spread = fitted.groupBy(*by).agg(F.coalesce(F.stddev_samp(F.col("value") - F.col("_base")), F.lit(0.0)).alias("sigma"))
-    return params.join(spread, by)
+        .repartition(*by)
+        .withColumn("_index", F.lit(1.0))
+    )
+    for season, least in seasons.items():
+        group = W.partitionBy(*by, f"_{season}")
+        under = F.sum(F.col("_index") * F.col("_b")).over(group)
+        index = F.when((F.col("n") >= least) & (under > 0), F.sum("_y").over(group) / under)
+        cells = cells.withColumn(f"_i_{season}", index).withColumn("_index", F.col("_index") * F.coalesce(f"_i_{season}", F.lit(1.0)))
+    i = F.col("_index")
+    entry = lambda s: F.collect_set(F.when(F.col(f"_i_{s}").isNotNull(), F.struct(F.col(f"_{s}").alias("key"), F.col(f"_i_{s}").alias("value"))))
+    fitted = cells.groupBy(*by, *trend).agg(
+        *[F.map_from_entries(entry(s)).alias(s) for s in seasons],
+        F.sum(F.col("_y") - i * F.col("_b")).alias("_r"),
+        F.sum(F.col("_yy") - 2 * i * F.col("_yb") + i * i * F.col("_bb")).alias("_rr"),
+    )
+    variance = F.greatest((F.col("_rr") - F.col("_r") * F.col("_r") / F.col("n")) / (F.col("n") - 1), F.lit(0.0))
+    return fitted.withColumn("sigma", F.when(F.col("n") > 1, F.sqrt(variance)).otherwise(0.0)).drop("_r", "_rr")
 
 
 def predict_forecast(params: DataFrame, future: DataFrame, by: Sequence[str] = METRIC_KEY) -> DataFrame:

@@ -33,6 +33,10 @@ def _positions(probs: Mapping[str, float], method: str):
     return F.array(*out)
 
 
+# Groups up to this size are handled by one aggregate; only larger ones are cut into bins.
+SMALL_GROUP = 100_000
+
+
 def exact_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -41,11 +45,42 @@ def exact_quantiles(
     method: str = "linear",
     cuts: int = 128,
     levels: int = 1,
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """One row per group: the group columns, ``n`` and one column per entry of ``probs``. Nulls are skipped."""
     groups = [f"_g{i}" for i in range(len(by))] or ["_g0"]
     keys = [F.col(c).alias(g) for c, g in zip(by, groups)] or [F.lit(0).alias("_g0")]
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sizes = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    out = _large_groups(values.join(sizes.where(F.col("_n") > small_group).select(*groups), groups), groups, probs, method, cuts, levels)
+    if small_group:
+        few = values.join(sizes.where(F.col("_n") <= small_group).select(*groups), groups)
+        out = _small_groups(few, groups, probs, method).unionByName(out)
+    return out.select(*[F.col(g).alias(c) for c, g in zip(by, groups)], "n", *probs)
+
+
+def _small_groups(values: DataFrame, groups: Sequence[str], probs: Mapping[str, float], method: str) -> DataFrame:
+    if method == "linear":
+        out = values.groupBy(*groups).agg(
+            F.count(F.lit(1)).alias("n"), F.percentile("_v", [float(p) for p in probs.values()]).alias("_p")
+        )
+        return out.select(*groups, "n", *[F.col("_p")[i].alias(name) for i, name in enumerate(probs)])
+    # At most SMALL_GROUP values per list.
+    out = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list("_v")).alias("_s"))
+    out = out.withColumn("_p", _positions(probs, method))
+    at = lambda i: F.col("_s")[F.least(i, F.col("_n") - 1).cast("int")]
+    return out.select(
+        *groups, F.col("_n").alias("n"),
+        *[
+            ((1 - F.col("_p")[i]["_w"]) * at(F.col("_p")[i]["_low"]) + F.col("_p")[i]["_w"] * at(F.col("_p")[i]["_low"] + 1)).alias(name)
+            for i, name in enumerate(probs)
+        ],
+    )
+
+
+def _large_groups(
+    values: DataFrame, groups: Sequence[str], probs: Mapping[str, float], method: str, cuts: int, levels: int
+) -> DataFrame:
     wanted, part = None, list(groups)
     for level in range(levels):
         fractions = [i / cuts for i in range(1, cuts)]
@@ -85,4 +120,4 @@ def exact_quantiles(
             for name in probs
         ],
     )
-    return out.select(*[F.col(g).alias(c) for c, g in zip(by, groups)], "n", *probs)
+    return out.select(*groups, "n", *probs)

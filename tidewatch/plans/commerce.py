@@ -41,7 +41,7 @@ CARTS = f"(SELECT ts, {SVC} AS service, 'job-' || (user_id % 3) AS job, (event_i
 
 
 @query("K04_cart_abandonment", plain(f"""SELECT x.job, x.eval_ts, x.v / y.v AS value FROM (SELECT job, eval_ts, sum(inc) AS v FROM {windowed(f"(SELECT ts, service, job, a AS value FROM {CARTS})", 'service, job', '1 DAY', '6 HOUR', 'day')} WHERE n >= 2 GROUP BY 1, 2) x
-   JOIN (SELECT job, eval_ts, sum(inc) AS v FROM {windowed(f"(SELECT ts, service, job, c AS value FROM {CARTS})", 'service, job', '1 DAY', '6 HOUR', 'day')} WHERE n >= 2 GROUP BY 1, 2) y USING (job, eval_ts) WHERE y.v != 0""", "value", "eval_ts", 5), digits=5)
+   JOIN (SELECT job, eval_ts, sum(inc) AS v FROM {windowed(f"(SELECT ts, service, job, c AS value FROM {CARTS})", 'service, job', '1 DAY', '6 HOUR', 'day')} WHERE n >= 2 GROUP BY 1, 2) y USING (job, eval_ts) WHERE y.v != 0""", "value", "eval_ts", 3), digits=3)
 def cart_abandonment(t):
     base = t.events.select(F.col("ts").alias("timestamp"), F.concat(F.lit("svc-"), (F.col("user_id") % 10).cast("string")).alias("service"),
         F.concat(F.lit("job-"), (F.col("user_id") % 3).cast("string")).alias("job"), "event_id")

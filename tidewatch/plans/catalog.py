@@ -16,13 +16,18 @@ ORACLES: dict[str, str] = {}
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def nudge(digits: int) -> float:
+    """A thousandth of the last kept digit: exact halves then round alike whatever order they were summed in."""
+    return 10.0 ** (-digits - 3)
+
+
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Result in plain comparable types: BIGINT, rounded DOUBLE, text timestamps."""
     out = []
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            col = F.round(col.cast("double"), digits) + F.lit(0.0)
+            col = F.round(col.cast("double") + F.lit(nudge(digits)), digits) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             col = col.cast("long")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -49,6 +54,6 @@ def query(name: str, sql: str | None = None, digits: int = 6):
 
 def plain(body: str, num: str = "", ts: str = "", digits: int = 6) -> str:
     """Wrap oracle SQL so that its doubles are rounded and its timestamps are text, as ``tidy`` does."""
-    swaps = [f"round(({c})::DOUBLE, {digits}) + 0.0 AS {c}" for c in num.split()]
+    swaps = [f"round(({c})::DOUBLE + {nudge(digits)}::DOUBLE, {digits}) + 0.0 AS {c}" for c in num.split()]
     swaps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in ts.split()]
     return f"SELECT * REPLACE ({', '.join(swaps)}) FROM ({body})" if swaps else body

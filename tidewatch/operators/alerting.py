@@ -221,7 +221,8 @@ def group_notifications(
     following = F.lead("_tick").over(W.partitionBy(*keys).orderBy("_tick"))
     end = F.floor((F.unix_micros(until) / 1_000_000 - F.col("_first")) / size) if until is not None else F.col("_tick")
     last = F.coalesce(following - 1, F.greatest(end, F.col("_tick")))
-    sent = sent.withColumn("_at", F.explode(F.sequence(F.col("_tick"), last.cast("long"), F.lit(again).cast("long"))))
+    sent = sent.withColumn("_until", last.cast("long"))
+    sent = sent.withColumn("_at", F.explode(F.sequence("_tick", "_until", F.lit(again).cast("long"))))
     return sent.select(
         *keys, F.timestamp_micros(((F.col("_first") + F.col("_at") * size) * 1_000_000).cast("long")).alias("sent_at"),
         F.when(F.col("_at") == F.col("_tick"), F.col("new_alerts")).otherwise(0).alias("new_alerts"),

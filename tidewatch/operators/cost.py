@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Shared services, tenants, budgets, quota defaults.
@@ -61,8 +62,6 @@ def share_idle(costs: DataFrame, idle: DataFrame, tenant: str, period: Sequence[
 
 def budget_status(costs: DataFrame, budgets: Sequence[Mapping[str, Any]] = BUDGETS, day: str = "day", alert_at: float = BUDGET_ALERT_AT) -> DataFrame:
     """Month-to-date cost per budget and day against its amount. Budgets are expressions on the cost row: no join."""
-    from pyspark.sql import Window as W
-
     hits = []
     for budget in budgets:
         if "namespace" in budget:
@@ -81,13 +80,11 @@ def budget_status(costs: DataFrame, budgets: Sequence[Mapping[str, Any]] = BUDGE
 
 
 def chargeback(costs: DataFrame, keys: Sequence[str] = ("team", "department", "cost_center"), day: str = "day") -> DataFrame:
-    """Monthly cost by every level of the key hierarchy, days with cost counted. The finest level is summed first."""
+    """Monthly cost by every level of the key hierarchy, days with cost counted. Daily sums are made before the roll-up."""
     month = F.trunc(day, "month").alias("month")
-    finest = costs.groupBy(month, *keys, day).agg(F.sum("cost").alias("cost")).groupBy("month", *keys).agg(
-        F.sum("cost").alias("cost"), F.collect_set(day).alias("_days")
-    )
-    rolled = finest.rollup("month", *keys).agg(
-        F.sum("cost").alias("cost"), F.size(F.array_distinct(F.flatten(F.collect_set("_days")))).alias("days"), F.grouping_id().alias("level")
+    daily = costs.groupBy(month, *keys, day).agg(F.sum("cost").alias("cost"))
+    rolled = daily.rollup("month", *keys).agg(
+        F.sum("cost").alias("cost"), F.count_distinct(day).alias("days"), F.grouping_id().alias("level")
     )
     return rolled.where(F.col("month").isNotNull())
 

@@ -27,9 +27,9 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, trees:
 
 def fit_boosting(df: DataFrame, features: Sequence[str], label: str, rounds: int = 100, depth: int = 5, rate: float = 0.1, seed: int = 42) -> PipelineModel:
     boosting = GBTClassifier(
-        featuresCol="_features", labelCol=label, predictionCol="_class", probabilityCol="_probability", rawPredictionCol="_raw",
-        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
+        featuresCol="_features", labelCol=label, predictionCol="_class", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed
     )
+    boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     return Pipeline(stages=[_assembler(features), boosting]).fit(df)
 
 

@@ -11,6 +11,7 @@ from tidewatch.operators import prepare as P
 from tidewatch.operators import rootcause as G
 from tidewatch.plans.anomaly import calls
 from tidewatch.plans.catalog import query
+from tidewatch.session import materialise
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -30,13 +31,14 @@ def isolation_forest_fit(t):
 
 @query("A07_isolation_forest_score")
 def isolation_forest_score(t):
-    rows = scaled(t)
+    rows = materialise(scaled(t), "scaled")
     return X.score(rows, X.fit(rows, TYPES, "key")).select("timestamp", "decision", "label")
 
 
 @query("A16_score_endpoints")
 def score_endpoints(t):
     rows = A.service_features(calls(t), "1d").withColumn("key", F.xxhash64("service", "endpoint", "window_start"))
+    rows = materialise(rows, "service-features")
     detectors = {n: d for n, d in A.DETECTORS.items() if all(c in rows.columns for c in d[1])}
     models = {n: X.fit(rows, d[1], "key", trees=50) for n, d in detectors.items()}
     return X.score_endpoints(rows, models, detectors)

@@ -14,6 +14,7 @@ from tidewatch.operators.loadtest import scenario_of
 from tidewatch.schema import METRIC
 
 RECORDS_PER_FILE = 10_000
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # How long each kind of data is kept.
 RETENTION = {
     "raw": "30d", "5m": "90d", "1h": "365d", "topic_metrics": "7d", "topic_traces": "3d", "topic_logs": "7d",
@@ -154,7 +155,9 @@ def write_archive(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "
     rows = df.withColumns(archive_columns(F.col(ts)))
     keys = ["year", "month", "day", "hour"]
     # The rebalance hint lets large hours be split and small ones be put together.
-    rows.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).option("maxRecordsPerFile", RECORDS_PER_FILE).json(path)
+    rows.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).options(
+        maxRecordsPerFile=RECORDS_PER_FILE, timestampFormat=ISO_MICROS
+    ).json(path)
 
 
 def read_archive(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -35,9 +35,9 @@ class CycleProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         until, count = self.state.get() if self.state.exists() else (-1, 0)
-        pdf = pd.concat(list(rows)).sort_values(["_us", self.ident], kind="stable")
+        pdf = pd.concat(list(rows)).sort_values(["at_us", self.ident], kind="stable")
         outcome = []
-        for us in pdf["_us"]:
+        for us in pdf["at_us"]:
             if until != -1 and us < until:
                 outcome.append(2)
                 continue
@@ -58,7 +58,7 @@ class CycleProcessor(StatefulProcessor):
 
 def cycle_stream(events: DataFrame, key: str, ident: str, threshold: int, timeout: str, ts: str = "timestamp") -> DataFrame:
     """Stream of key, ident and outcome (0 counted, 1 trips or is accepted, 2 swallowed)."""
-    rows = events.select(F.col(key).cast("string").alias("key"), ident, F.unix_micros(ts).alias("_us"))
+    rows = events.select(F.col(key).cast("string").alias("key"), ident, F.unix_micros(ts).alias("at_us"))
     kind = dict(events.dtypes)[ident]
     return rows.groupBy("key").transformWithStateInPandas(
         CycleProcessor(threshold, micros(timeout), ident), f"key string, {ident} {kind}, outcome int", "Append", "None"
@@ -118,8 +118,8 @@ class GroupProcessor(StatefulProcessor):
         if self.state.exists():
             tick, pending, sent = self.state.get()
         else:
-            first = int(pdf["_ms"].min())
-            tick, pending, sent = first + int(pdf["_wait_ms"].min()), 0, -1
+            first = int(pdf["at_ms"].min())
+            tick, pending, sent = first + int(pdf["wait_ms"].min()), 0, -1
             self.handle.registerTimer(tick)
         self.state.update((int(tick), int(pending + len(pdf)), int(sent)))
         return iter(())
@@ -141,7 +141,7 @@ def group_stream(routed: DataFrame, by: Sequence[str], interval: str = "5m", rep
     """Notifications of every group as event time passes: group, sent_ms, new_alerts."""
     wait = F.when(F.col("group_wait") == "15s", 15_000).otherwise(30_000)
     rows = routed.withWatermark("timestamp", watermark).select(
-        F.concat_ws("|", "receiver", *by).alias("group"), "timestamp", F.unix_millis("timestamp").alias("_ms"), wait.cast("long").alias("_wait_ms")
+        F.concat_ws("|", "receiver", *by).alias("group"), "timestamp", F.unix_millis("timestamp").alias("at_ms"), wait.cast("long").alias("wait_ms")
     )
     return rows.groupBy("group").transformWithStateInPandas(
         GroupProcessor(seconds(interval), seconds(repeat)), "group string, sent_ms bigint, new_alerts bigint", "Append", "EventTime"

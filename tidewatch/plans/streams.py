@@ -13,37 +13,43 @@ from tidewatch.streaming import stateful as Z
 from tidewatch.streaming import telemetry as S
 
 
-def as_files(t, df, name, parts=3):
-    """The rows as JSON lines, one file per stretch of time, written in time order (the order a file stream reads)."""
+def as_files(t, df, name):
+    """The rows as JSON lines, for streams whose result does not depend on the order of files."""
+    path = scratch_path(t.spark, name)
+    df.write.option("timestampFormat", ISO_MICROS).json(path)
+    return path
+
+
+def in_stretches(t, df, name, writer, parts=3):
+    """Write the rows stretch of time by stretch of time, and run the stream after each until it has read everything.
+
+    ``writer`` turns the stream into its writer (with its checkpoint), so state lives on from stretch to stretch.
+    """
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path = scratch_path(t.spark, name)
     us = F.unix_micros("timestamp")
     ends = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
     width = (ends["hi"] - ends["lo"]) // parts + 1
     for i in range(parts):
         low = ends["lo"] + i * width
-        stretch = df.where((us >= low) & (us < low + width))
-        stretch.coalesce(1).write.mode("append").option("timestampFormat", ISO_MICROS).json(path)
-    return path
-
-
-def stream_of(t, df, name, parts=3):
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    path = as_files(t, df, name, parts)
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).json(path)
+        df.where((us >= low) & (us < low + width)).write.mode("append").option("timestampFormat", ISO_MICROS).json(path)
+        S.run_to_end(writer(t.spark.readStream.schema(df.schema).json(path)))
 
 
-def drained(t, rows, name):
-    """Run an append-mode stream to its end and read what it wrote."""
-    path, checkpoint = scratch_path(t.spark, name), scratch_path(t.spark, f"{name}-checkpoint")
-    S.run_to_end(rows.writeStream.format("parquet").options(path=path, checkpointLocation=checkpoint))
-    return t.spark.read.schema(rows.schema).parquet(path)
+def appended(t, df, name, transform, parts=3):
+    """What an append-mode stream over the stretches wrote in all."""
+    out, checkpoint = scratch_path(t.spark, f"{name}-out"), scratch_path(t.spark, f"{name}-checkpoint")
+    in_stretches(t, df, name, lambda rows: transform(rows).writeStream.format("parquet").options(path=out, checkpointLocation=checkpoint), parts)
+    return t.spark.read.parquet(out)
 
 
 @query("S05_telemetry_stream", plain(f"SELECT service, level, count(*)::BIGINT AS n, max(timestamp) AS last FROM {LOGS} GROUP BY 1, 2", ts="last"))
 def telemetry_stream(t):
     logs = t.logs().select("timestamp", "level", "message", "service", "trace_id", F.col("span_id").cast("string").alias("span_id"))
     good, _ = S.good_and_bad(S.telemetry_stream(t.spark, "logs", folder=as_files(t, logs, "telemetry")))
-    return drained(t, good, "telemetry-out").groupBy("service", "level").agg(F.count("*").alias("n"), F.max("timestamp").alias("last"))
+    out, checkpoint = scratch_path(t.spark, "telemetry-out"), scratch_path(t.spark, "telemetry-checkpoint")
+    S.run_to_end(good.writeStream.format("parquet").options(path=out, checkpointLocation=checkpoint))
+    return t.spark.read.schema(good.schema).parquet(out).groupBy("service", "level").agg(F.count("*").alias("n"), F.max("timestamp").alias("last"))
 
 
 @query("S07_upsert_sink", plain(f"SELECT trace_id, max(timestamp) AS timestamp, arg_max(level, timestamp) AS level, arg_max(span_id, timestamp)::VARCHAR AS span_id FROM {LOGS} GROUP BY 1", ts="timestamp"))
@@ -71,16 +77,15 @@ def periodic_scoring(t):
 def update_history_stream(t):
     tx = t.transactions().select("user_id", "amount", "timestamp", F.col("email_is_disposable").alias("is_fraud"))
     path, checkpoint = scratch_path(t.spark, "history"), scratch_path(t.spark, "history-checkpoint")
-    rows = Z.history_stream(stream_of(t, tx, "history-in"))
     keep = lambda batch, _: batch.write.mode("overwrite").parquet(path)
-    S.run_to_end(rows.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint))
-    return t.spark.read.schema(rows.schema).parquet(path)
+    in_stretches(t, tx, "history-in", lambda rows: Z.history_stream(rows).writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint))
+    return t.spark.read.parquet(path)
 
 
 @query("L03_suppress_duplicates_stream", ORACLES["L03_suppress_duplicates"])
 def suppress_duplicates_stream(t):
     alerts = keyed(t)
-    kept = drained(t, Z.suppress_stream(stream_of(t, alerts, "suppress-in", 2), "event_id", "12h"), "suppress")
+    kept = appended(t, alerts, "suppress", lambda rows: Z.suppress_stream(rows, "event_id", "12h"), 2)
     return alerts.join(kept.select("event_id"), "event_id", "left_semi")
 
 
@@ -88,14 +93,14 @@ def suppress_duplicates_stream(t):
 def rate_limit_stream(t):
     alerts = base(t).select("event_id", "timestamp")
     path, checkpoint = scratch_path(t.spark, "limited"), scratch_path(t.spark, "limited-checkpoint")
-    S.run_to_end(Z.rate_limit_stream(stream_of(t, alerts, "limited-in"), path, checkpoint, ["event_id"], 10, "1h"))
+    in_stretches(t, alerts, "limited-in", lambda rows: Z.rate_limit_stream(rows, path, checkpoint, ["event_id"], 10, "1h"))
     return t.spark.read.schema("event_id long, timestamp timestamp").option("basePath", path).parquet(path).select("event_id", "timestamp")
 
 
 @query("L15_circuit_state_stream", ORACLES["L15_circuit_state"])
 def circuit_state_stream(t):
     failures = base(t).where("event_type = 'error'").select("event_id", "service", "timestamp")
-    rows = drained(t, Z.circuit_stream(stream_of(t, failures, "circuit-in", 2), "service", "event_id", 3, "1d"), "circuit")
+    rows = appended(t, failures, "circuit", lambda r: Z.circuit_stream(r, "service", "event_id", 3, "1d"), 2)
     return rows.withColumnRenamed("key", "service")
 
 
@@ -103,8 +108,8 @@ def circuit_state_stream(t):
 def recording_stream(t):
     samples = recorded_samples(t)
     stored, out, checkpoint = (scratch_path(t.spark, f"recording-{x}") for x in ("samples", "rows", "checkpoint"))
-    stream = stream_of(t, samples, "recording-in")
-    S.run_to_end(stream.writeStream.foreachBatch(S.recording_batch(stored, out, "12h", "6h")).option("checkpointLocation", checkpoint))
-    return t.spark.read.option("basePath", out).parquet(out).drop("_hour")
+    update = S.recording_batch(stored, out, "12h", "6h", "1d")
+    in_stretches(t, samples, "recording-in", lambda rows: rows.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint), 2)
+    return t.spark.read.option("basePath", out).parquet(out).drop("_part")
 
 

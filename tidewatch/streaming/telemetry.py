@@ -120,28 +120,28 @@ def periodic_scoring(records: DataFrame, score: Callable[[DataFrame], DataFrame]
     return records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(processingTime=every)
 
 
-def recording_batch(samples_path: str, out_path: str, window: str, step: str) -> Callable[[DataFrame, int], None]:
-    """Keep the recorded signals up to date: store the batch, then evaluate again the hours its samples can change.
+def recording_batch(samples_path: str, out_path: str, window: str, step: str, part: str = "1h") -> Callable[[DataFrame, int], None]:
+    """Keep the recorded signals up to date: store the batch, then evaluate again the times its samples can change.
 
-    Samples and results are laid out by hour, so a batch reads and writes only the hours around it. Late samples
-    simply touch older hours.
+    Samples and results are laid out by stretches of time (``part``), so a batch reads and writes only the stretches
+    around it. Late samples simply touch older stretches.
     """
-    hour = micros("1h")
+    size = micros(part)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("timestamp", "name", "labels", "value").withColumn("_hour", step_start(F.col("timestamp"), hour))
+        rows = batch.select("timestamp", "name", "labels", "value").withColumn("_part", step_start(F.col("timestamp"), size))
         path = f"{samples_path}/batch={batch_id}"
-        rows.write.mode("overwrite").partitionBy("_hour").parquet(path)
-        ends = rows.agg(F.min("_hour").alias("lo"), F.max("_hour").alias("hi")).first()
+        rows.write.mode("overwrite").partitionBy("_part").parquet(path)
+        ends = rows.agg(F.min("_part").alias("lo"), F.max("_part").alias("hi")).first()
         if ends["lo"] is None:
             return
-        first, last = ends["lo"], ends["hi"] + hour + micros(window)
+        first, last = ends["lo"], ends["hi"] + size + micros(window)
         stored = spark.read.option("basePath", samples_path).parquet(samples_path)
-        near = stored.where(F.col("_hour").between(first - micros(window) - hour, last))
-        result = R.recording_rules(R.Signals(near.drop("_hour", "batch"), step), window)
-        result = result.withColumn("_hour", step_start(F.col("eval_ts"), hour)).where(F.col("_hour").between(first, last - 1))
-        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_hour").parquet(out_path)
+        near = stored.where(F.col("_part").between(first - micros(window) - size, last))
+        result = R.recording_rules(R.Signals(near.drop("_part", "batch"), step), window)
+        result = result.withColumn("_part", step_start(F.col("eval_ts"), size)).where(F.col("_part").between(first, last))
+        result.hint("rebalance", "_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(out_path)
 
     return run
 

@@ -11,7 +11,7 @@ state at its end, the maps are chained per key (one row per chunk), and the chun
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,8 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, step_start
+from tidewatch.operators.ordered import in_order, whole_groups
 
 NEVER = -1
+MAP_SCHEMA = (
+    "_key string, _chunk bigint, reach array<bigint>, reach_until array<bigint>, reach_count array<bigint>, "
+    "fresh_until array<bigint>, fresh_count array<bigint>"
+)
 
 
 def _cycle_ends(ts: np.ndarray, threshold: int, timeout: int):
@@ -41,10 +46,7 @@ def _cycle_ends(ts: np.ndarray, threshold: int, timeout: int):
 
 
 def _enter(ts: np.ndarray, threshold: int, timeout: int, until: int, count: int):
-    """First index that starts a fresh cycle after the entering state, and what happens before it.
-
-    Returns (start, trip index or None, end state or None): with an end state the chunk ends before a fresh cycle starts.
-    """
+    """Where the first fresh cycle starts, the trip before it (if any), and the end state if none starts at all."""
     n = len(ts)
     if until != NEVER:
         return int(np.searchsorted(ts, until)), None, None
@@ -54,75 +56,81 @@ def _enter(ts: np.ndarray, threshold: int, timeout: int, until: int, count: int)
     if trip >= n:
         return n, None, (NEVER, count + n)
     after = int(ts[trip] + timeout)
-    nxt = int(np.searchsorted(ts, after))
-    return nxt, trip, (after, 0) if nxt >= n else None
+    fresh = int(np.searchsorted(ts, after))
+    return fresh, trip, (after, 0) if fresh >= n else None
+
+
+def _summary(ts: np.ndarray, chunk: int, threshold: int, timeout: int):
+    """State at the end of the chunk for every state at its start."""
+    n = len(ts)
+    until, count = _cycle_ends(ts, threshold, timeout)
+    # Entering while swallowing until u: the cycle starts at the first event >= u. Equal outcomes are merged.
+    seen = min(int(np.searchsorted(ts, chunk + timeout, side="right")) + 1, n)
+    keep = np.append((until[1:seen] != until[: seen - 1]) | (count[1:seen] != count[: seen - 1]), True)
+    fresh = []
+    for counted in range(threshold):
+        start, _, end = _enter(ts, threshold, timeout, NEVER, counted)
+        fresh.append(end if end is not None else (int(until[start]), int(count[start])))
+    return ts[:seen][keep], until[:seen][keep], count[:seen][keep], [f[0] for f in fresh], [f[1] for f in fresh]
 
 
 def _summarise(threshold: int, timeout: int):
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        ts = np.sort(pdf["_us"].to_numpy(dtype="int64"))
-        n = len(ts)
-        ends, counts = _cycle_ends(ts, threshold, timeout)
-        # Entering while swallowing until u: the cycle starts at the first event >= u. Equal outcomes are merged.
-        reachable = int(np.searchsorted(ts, int(pdf["_chunk"].iloc[0]) + timeout, side="right"))
-        up_to = ts[: min(reachable + 1, n)]
-        e, c = ends[: len(up_to)], counts[: len(up_to)]
-        keep = np.append((e[1:] != e[:-1]) | (c[1:] != c[:-1]), True)
-        by_count = []
-        for count in range(threshold):
-            start, _, end = _enter(ts, threshold, timeout, NEVER, count)
-            by_count.append(end if end is not None else (int(ends[start]), int(counts[start])))
-        return pd.DataFrame(
-            {
-                "_until_to": [up_to[keep].tolist()], "_until_end": [e[keep].tolist()], "_until_count": [c[keep].tolist()],
-                "_count_end": [[x[0] for x in by_count]], "_count_count": [[x[1] for x in by_count]],
-            }
-        )
-
-    return build
-
-
-def _chain(threshold: int):
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        until, count = NEVER, 0
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, offsets in whole_groups(batches, ["_key", "_chunk"]):
+            ts, keys, chunks = pdf["_us"].to_numpy(), pdf["_key"].to_numpy(), pdf["_chunk"].to_numpy()
+            rows = [
+                (keys[a], chunks[a], *_summary(ts[a:b], int(chunks[a]), threshold, timeout))
+                for a, b in zip(offsets[:-1], offsets[1:])
+            ]
+            names = ["_key", "_chunk", "reach", "reach_until", "reach_count", "fresh_until", "fresh_count"]
+            yield pd.DataFrame(rows, columns=names)
+
+    return run
+
+
+def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Entering state of every chunk; rows come sorted by key and chunk."""
+    key, until, count = None, NEVER, 0
+    for pdf in batches:
         entered = []
-        for row in pdf.to_dict("records"):
+        for row in zip(*(pdf[c] for c in ("_key", "reach", "reach_until", "reach_count", "fresh_until", "fresh_count"))):
+            if row[0] != key:
+                key, until, count = row[0], NEVER, 0
             entered.append((until, count))
-            uptos = row["m_to"]
-            if until != NEVER:
-                i = int(np.searchsorted(uptos, until))
-                if i < len(uptos):
-                    until, count = int(row["m_end"][i]), int(row["m_count"][i])
+            if until == NEVER:
+                until, count = int(row[4][count]), int(row[5][count])
             else:
-                until, count = int(row["c_end"][count]), int(row["c_count"][count])
+                i = int(np.searchsorted(row[1], until))
+                if i < len(row[1]):
+                    until, count = int(row[2][i]), int(row[3][i])
         out = pdf[["_key", "_chunk"]].copy()
-        out["_until"] = [u for u, _ in entered]
-        out["_count"] = [c for _, c in entered]
-        return out
+        out["_until"], out["_count"] = [e[0] for e in entered], [e[1] for e in entered]
+        yield out
 
-    return follow
+
+def _outcomes(ts: np.ndarray, until: int, count: int, threshold: int, timeout: int) -> np.ndarray:
+    n = len(ts)
+    outcome = np.zeros(n, dtype="int32")
+    at, trip, end = _enter(ts, threshold, timeout, until, count)
+    if trip is not None:
+        outcome[trip], outcome[trip + 1 : at] = 1, 2
+    elif end is None:
+        outcome[:at] = 2
+    if end is None:
+        while at + threshold - 1 < n:
+            trip = at + threshold - 1
+            after = int(np.searchsorted(ts, ts[trip] + timeout))
+            outcome[trip], outcome[trip + 1 : after] = 1, 2
+            at = after
+    return outcome
 
 
 def _replay(threshold: int, timeout: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "_tie"], kind="stable")
-        ts = pdf["_us"].to_numpy(dtype="int64")
-        n = len(ts)
-        outcome = np.zeros(n, dtype="int32")
-        at, trip, end = _enter(ts, threshold, timeout, int(pdf["_until"].iloc[0]), int(pdf["_count"].iloc[0]))
-        if trip is not None:
-            outcome[trip], outcome[trip + 1 : at] = 1, 2
-        elif end is None:
-            outcome[:at] = 2
-        if end is None:
-            while at + threshold - 1 < n:
-                trip = at + threshold - 1
-                nxt = int(np.searchsorted(ts, ts[trip] + timeout))
-                outcome[trip], outcome[trip + 1 : nxt] = 1, 2
-                at = nxt
-        pdf["_outcome"] = outcome
-        return pdf[["_key", "_id", "_outcome"]]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, offsets in whole_groups(batches, ["_key", "_chunk"]):
+            ts, until, count = pdf["_us"].to_numpy(), pdf["_until"].to_numpy(), pdf["_count"].to_numpy()
+            parts = [_outcomes(ts[a:b], int(until[a]), int(count[a]), threshold, timeout) for a, b in zip(offsets[:-1], offsets[1:])]
+            yield pd.DataFrame({"_id": pdf["_id"], "outcome": np.concatenate(parts)})
 
     return run
 
@@ -130,28 +138,18 @@ def _replay(threshold: int, timeout: int):
 def cycle_outcomes(
     events: DataFrame, key: str, ident: str, ts: str, threshold: int, timeout: str, chunk: str = "1d"
 ) -> DataFrame:
-    """``ident`` and outcome of every event: 0 counted, 1 trips, 2 swallowed. Events of one time go in ``ident`` order."""
+    """``ident`` and outcome of every event: 0 counted, 1 trips, 2 swallowed. Events of one time go in ``ident`` order.
+
+    One task holds one key's events of one ``chunk`` at a time.
+    """
     width, gap = micros(chunk), micros(timeout)
     rows = events.select(
-        F.col(key).cast("string").alias("_key"), F.col(ident).alias("_id"), F.col(ident).alias("_tie"),
-        F.unix_micros(ts).alias("_us"), step_start(F.col(ts), width).alias("_chunk"),
-    )
-    grouped = rows.groupBy("_key", "_chunk")
-    build = _summarise(threshold, gap)
-
-    def summary(names, pdf):
-        out = build(pdf)
-        out.columns = ["m_to", "m_end", "m_count", "c_end", "c_count"]
-        out.insert(0, "_key", names[0])
-        out.insert(1, "_chunk", names[1])
-        return out
-
-    maps = grouped.applyInPandas(
-        summary,
-        "_key string, _chunk bigint, m_to array<bigint>, m_end array<bigint>, m_count array<bigint>, c_end array<bigint>, c_count array<bigint>",
+        F.col(key).cast("string").alias("_key"), F.col(ident).alias("_id"), F.unix_micros(ts).alias("_us"),
+        step_start(F.col(ts), width).alias("_chunk"),
     )
-    entered = maps.groupBy("_key").applyInPandas(_chain(threshold), "_key string, _chunk bigint, _until bigint, _count bigint")
-    replayed = rows.join(entered, ["_key", "_chunk"]).groupBy("_key", "_chunk").applyInPandas(
-        _replay(threshold, gap), f"_key string, _id {dict(events.dtypes)[ident]}, _outcome int"
+    maps = in_order(rows.drop("_id"), ["_key", "_chunk"], ["_us"]).mapInPandas(_summarise(threshold, gap), MAP_SCHEMA)
+    entered = in_order(maps, ["_key"], ["_chunk"]).mapInPandas(_chain, "_key string, _chunk bigint, _until bigint, _count bigint")
+    replayed = in_order(rows.join(entered, ["_key", "_chunk"]), ["_key", "_chunk"], ["_us", "_id"]).mapInPandas(
+        _replay(threshold, gap), f"_id {dict(events.dtypes)[ident]}, outcome int"
     )
-    return replayed.select(F.col("_id").alias(ident), F.col("_outcome").alias("outcome"))
+    return replayed.withColumnRenamed("_id", ident)

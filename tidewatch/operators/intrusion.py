@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.durations import micros, seconds, step_start
 from tidewatch.operators.anomaly import fixed_score
 from tidewatch.operators.density import density_noise
+from tidewatch.operators.ordered import in_order
 from tidewatch.operators.prepare import apply_scaler, fit_scaler
 from tidewatch.operators.selectors import one_hot
 from tidewatch.operators.sequence import sessions, with_previous
@@ -207,55 +210,36 @@ def update_user_risk(current: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def ip_rate_limit(requests: DataFrame, rate: float = 100, burst: float = 200, unit: str = "1s", key: str = "ip_address", chunk: int = 3600) -> DataFrame:
+def _fill(rate: float, burst: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, level, last = None, 0.0, 0
+        for pdf in batches:
+            refused, after = np.empty(len(pdf)), np.empty(len(pdf))
+            for i, (who, tick, n) in enumerate(zip(pdf["_key"], pdf["_tick"], pdf["_n"])):
+                if who != key:
+                    key, level, last = who, 0.0, tick - 1
+                full = max(0.0, level - rate * (tick - last - 1)) + n - rate
+                refused[i], level, last = max(0.0, full - burst), min(burst, max(0.0, full)), tick
+                after[i] = level
+            yield pdf.assign(refused=refused, level=after)
+
+    return run
+
+
+def ip_rate_limit(requests: DataFrame, rate: float = 100, burst: float = 200, unit: str = "1s", key: str = "ip_address") -> DataFrame:
     """Leaky bucket per address and time unit: requests, how many are refused, and the fill level afterwards.
 
-    Requests are counted per unit first. One unit changes the level x to min(burst, max(low, x + step)); such changes
-    combine into one of the same form, so ``chunk`` units are combined at a time and only the combinations run per address.
+    Requests are counted per unit before the shuffle, so an address has at most one row per unit of time however many
+    requests it sends; the bucket then runs over those rows as they stream by in order.
     """
     size = micros(unit)
     tick = F.floor(F.unix_micros("timestamp") / size)
-    counts = requests.groupBy(key, tick.alias("_tick")).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    part = F.floor(F.col("_tick") / chunk).alias("_part")
-    parts = counts.groupBy(key, part).agg(F.array_sort(F.collect_list(F.struct("_tick", "_n"))).alias("_ticks"))
-    series = W.partitionBy(key).orderBy("_part")
-    before = F.lag(F.element_at("_ticks", -1)["_tick"]).over(series)
-    parts = parts.withColumn("_before", F.coalesce(before, F.col("_ticks")[0]["_tick"] - 1))
-
-    low = lambda n: F.greatest(F.lit(0.0), n - rate)
-
-    def combine(acc, tick):
-        step = tick["_n"] - rate * (tick["_tick"] - acc["at"])
-        bound = F.least(F.lit(float(burst)), low(tick["_n"]))
-        return F.struct(
-            (acc["add"] + step).alias("add"),
-            F.least(F.lit(float(burst)), F.greatest(bound, acc["lo"] + step)).alias("lo"),
-            F.least(F.lit(float(burst)), F.greatest(bound, acc["hi"] + step)).alias("hi"),
-            tick["_tick"].alias("at"),
-        )
-
-    start = F.struct(F.lit(0.0).alias("add"), F.lit(0.0).alias("lo"), F.lit(float(burst)).alias("hi"), F.col("_before").alias("at"))
-    parts = parts.withColumn("_map", F.aggregate("_ticks", start, combine))
-    # Level at the start of each part: fold the parts before it (one small struct per part).
-    earlier = F.collect_list("_map").over(series.rowsBetween(W.unboundedPreceding, -1))
-    level = F.aggregate(earlier, F.lit(0.0), lambda x, m: F.least(m["hi"], F.greatest(m["lo"], x + m["add"])))
-    parts = parts.withColumn("_level", level)
-
-    def step_through(acc, tick):
-        drained = F.greatest(F.lit(0.0), acc["level"] - rate * (tick["_tick"] - acc["at"] - 1))
-        full = drained + tick["_n"] - rate
-        after = F.least(F.lit(float(burst)), F.greatest(F.lit(0.0), full))
-        row = F.struct(
-            tick["_tick"].alias("_tick"), tick["_n"].alias("_n"),
-            F.greatest(F.lit(0.0), full - burst).alias("refused"), after.alias("level"),
-        )
-        return F.struct(after.alias("level"), tick["_tick"].alias("at"), F.concat(acc["rows"], F.array(row)).alias("rows"))
-
-    nothing = F.array().cast("array<struct<_tick:bigint,_n:double,refused:double,level:double>>")
-    first = F.struct(F.col("_level").alias("level"), F.col("_before").alias("at"), nothing.alias("rows"))
-    rows = parts.select(key, F.inline(F.aggregate("_ticks", first, step_through, lambda a: a["rows"])))
+    counts = requests.groupBy(F.col(key).cast("string").alias("_key"), tick.alias("_tick")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = in_order(counts, ["_key"], ["_tick"]).mapInPandas(
+        _fill(float(rate), float(burst)), "_key string, _tick bigint, _n bigint, refused double, level double"
+    )
     return rows.select(
-        key, F.timestamp_micros(F.col("_tick") * size).alias("window_start"), F.col("_n").cast("long").alias("requests"),
+        F.col("_key").alias(key), F.timestamp_micros(F.col("_tick") * size).alias("window_start"), F.col("_n").alias("requests"),
         "refused", "level", F.when(F.col("refused") > 0, 429).otherwise(200).alias("status"),
     )
 

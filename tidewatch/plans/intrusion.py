@@ -166,7 +166,7 @@ def update_blacklist_risk(t):
      UNION ALL SELECT c.ip_address, c.tick, c.r, c.n, greatest(0, greatest(0, s.level - (c.tick - s.tick - 1)) + c.n - 1 - 3), least(3, greatest(0, greatest(0, s.level - (c.tick - s.tick - 1)) + c.n - 1)) FROM s JOIN c ON c.ip_address = s.ip_address AND c.r = s.r + 1)
    SELECT ip_address, make_timestamp(tick * 21600000000) AS window_start, n::BIGINT AS requests, refused, level, CASE WHEN refused > 0 THEN 429 ELSE 200 END::BIGINT AS status FROM s""", "refused level", "window_start"))
 def ip_rate_limit(t):
-    return N.ip_rate_limit(t.api_calls(), rate=1, burst=3, unit="6h", chunk=10)
+    return N.ip_rate_limit(t.api_calls(), rate=1, burst=3, unit="6h")
 
 
 @query("N12_flow_rollup", plain(f"SELECT ip_address, endpoint, date_trunc('minute', timestamp) AS window_start, count(*)::BIGINT AS flows, sum(response_time) AS response_time FROM {API} GROUP BY 1, 2, 3", "response_time", "window_start"))

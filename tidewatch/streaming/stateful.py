@@ -104,34 +104,45 @@ def rate_limit_stream(alerts: DataFrame, path: str, checkpoint: str, tie: Sequen
 
 
 class GroupProcessor(StatefulProcessor):
-    """Per group: wait after the first alert, then look every interval; send when new alerts came or the repeat is due."""
+    """Per group: wait after the first alert, then send at every interval that brought alerts, or when a repeat is due.
+
+    Each alert is counted under the tick that sends it; timers exist only for such ticks and for the next repeat.
+    """
 
     def __init__(self, interval_s: float, repeat_s: float):
-        self.interval_ms, self.repeat_ms = int(interval_s * 1000), int(repeat_s * 1000)
+        self.interval_ms = int(interval_s * 1000)
+        self.repeat_ms = -(-int(repeat_s * 1000) // self.interval_ms) * self.interval_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("group", "tick bigint, pending bigint, sent bigint")
+        self.state = handle.getValueState("group", "first bigint, sent bigint")
+        self.ticks = handle.getMapState("ticks", "tick bigint", "alerts bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows))
-        if self.state.exists():
-            tick, pending, sent = self.state.get()
-        else:
-            first = int(pdf["at_ms"].min())
-            tick, pending, sent = first + int(pdf["wait_ms"].min()), 0, -1
-            self.handle.registerTimer(tick)
-        self.state.update((int(tick), int(pending + len(pdf)), int(sent)))
+        first, sent = self.state.get() if self.state.exists() else (int(pdf["at_ms"].min() + pdf["wait_ms"].min()), -1)
+        self.state.update((int(first), int(sent)))
+        later = (-(-(pdf["at_ms"] - first) // self.interval_ms)).clip(lower=0)
+        # An alert whose tick was already sent goes with the next one.
+        tick = (first + later * self.interval_ms).clip(lower=first if sent < 0 else sent + self.interval_ms)
+        for at, count in tick.value_counts().items():
+            known = self.ticks.getValue((int(at),))[0] if self.ticks.containsKey((int(at),)) else 0
+            self.ticks.updateValue((int(at),), (int(known + count),))
+            self.handle.registerTimer(int(at))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        tick, pending, sent = self.state.get()
-        due = pending > 0 or (sent >= 0 and tick - sent >= self.repeat_ms)
-        following = tick + self.interval_ms
-        self.state.update((int(following), 0 if due else int(pending), int(tick if due else sent)))
-        self.handle.registerTimer(following)
-        if due:
-            yield pd.DataFrame({"group": [key[0]], "sent_ms": [int(tick)], "new_alerts": [int(pending)]})
+        at = int(expiredTimerInfo.getExpiryTimeInMs())
+        first, sent = self.state.get()
+        count = 0
+        if self.ticks.containsKey((at,)):
+            count = int(self.ticks.getValue((at,))[0])
+            self.ticks.removeKey((at,))
+        elif sent < 0 or at - sent < self.repeat_ms:
+            return
+        self.state.update((int(first), at))
+        self.handle.registerTimer(at + self.repeat_ms)
+        yield pd.DataFrame({"group": [key[0]], "sent_ms": [at], "new_alerts": [count]})
 
     def close(self) -> None:
         pass

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOG_RANK = {"DEBUG": 0, "INFO": 1, "WARN": 2, "ERROR": 3}
@@ -127,11 +127,20 @@ def calendar(ts: Column) -> dict[str, Column]:
     }
 
 
-def render(template: Column, context: dict[str, Column]) -> Column:
+def render(template: Column | str, context: dict[str, Column]) -> Column:
     """Fill ``{name}`` placeholders; names without a value in the context stay as they are.
 
-    The text is cut at its placeholders once, so a filled-in value is never scanned for placeholders again.
+    A template known when the plan is made becomes one concatenation. A template column is cut at its placeholders
+    once, so in both forms a filled-in value is never scanned for placeholders again.
     """
+    if isinstance(template, str):
+        parts = [p for p in re.split(r"(\{\w+\})", template) if p]
+        return F.concat(
+            *[
+                F.coalesce(context[p[1:-1]].cast("string"), F.lit(p)) if p[0] == "{" and p[1:-1] in context else F.lit(p)
+                for p in parts
+            ]
+        )
     values = F.create_map(*[x for k, v in context.items() for x in (F.lit(k), v.cast("string"))])
     tokens = F.regexp_extract_all(template, F.lit(r"(\{\w+\}|\{|[^{]+)"), 1)
     filled = F.transform(
@@ -143,6 +152,15 @@ def render(template: Column, context: dict[str, Column]) -> Column:
     return F.array_join(filled, "")
 
 
+def one_row_per_hit(df: DataFrame, candidates: Sequence[Column]) -> DataFrame:
+    """A row per non-null candidate struct, its fields as columns.
+
+    Exploding all candidates and dropping the nulls stays inside generated code; filtering the array first would not.
+    """
+    rows = df.withColumn("_hit", F.explode(F.array(*candidates))).where(F.col("_hit").isNotNull())
+    return rows.select(*df.columns, "_hit.*")
+
+
 def mask_secrets(text: Column) -> Column:
     """Hide values of secret-bearing keys; everything else, the user name included, stays."""
     return F.regexp_replace(

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, seconds, step_start
-from tidewatch.functions.labels import render
+from tidewatch.functions.labels import one_row_per_hit, render
 from tidewatch.operators.cycles import cycle_outcomes
 
 DEDUPE_WINDOW = "300s"
@@ -126,10 +126,10 @@ def to_alerts(findings: DataFrame, kind: str, ts: str = "timestamp") -> DataFram
             context[name] = F.coalesce((F.col(column) * 100).cast("int").cast("string"), fallback)
         else:
             context[name] = F.coalesce(F.col(column).cast("string"), fallback)
-    title = render(F.lit(spec["title"]), context)
-    source = render(F.lit(spec["source"]), context)
+    title = render(spec["title"], context)
+    source = render(spec["source"], context)
     return findings.select(
-        F.lit(kind).alias("kind"), title.alias("title"), render(F.lit(spec["message"]), context).alias("message"),
+        F.lit(kind).alias("kind"), title.alias("title"), render(spec["message"], context).alias("message"),
         F.lit(spec["severity"]).alias("severity"), source.alias("source"), F.col(ts).alias("timestamp"),
         F.create_map(*[x for k, v in context.items() for x in (F.lit(k), v)]).alias("details"),
         F.array(*[F.lit(x) for x in spec["tags"]]).alias("tags"), dedupe_key(source, title, F.col(ts)).alias("dedupe_key"),
@@ -169,8 +169,7 @@ def fan_out(alerts: DataFrame, channels: Sequence[Mapping[str, Any]] = CHANNELS)
         if channel.get("tag_filter"):
             takes &= F.arrays_overlap("tags", F.array(*[F.lit(x) for x in channel["tag_filter"]]))
         hits.append(F.when(takes, F.struct(F.lit(channel["name"]).alias("channel"), F.lit(channel["type"]).alias("channel_type"))))
-    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return alerts.withColumn("_hit", F.explode(found)).select(*alerts.columns, "_hit.*")
+    return one_row_per_hit(alerts, hits)
 
 
 def retry_candidates(deliveries: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
@@ -197,8 +196,7 @@ def route(alerts: DataFrame, routes: Sequence[Mapping[str, Any]] = ROUTES, defau
         if not entry.get("continue"):
             stopped |= taken
     fallback = F.struct(F.lit(default).alias("receiver"), F.lit(GROUP_WAIT).alias("group_wait"))
-    found = F.filter(F.array(*hits, F.when(~matched, fallback)), lambda x: x.isNotNull())
-    return alerts.withColumn("_hit", F.explode(found)).select(*alerts.columns, "_hit.*")
+    return one_row_per_hit(alerts, [*hits, F.when(~matched, fallback)])
 
 
 def group_notifications(

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.functions.labels import one_row_per_hit
+
 # Shared services, tenants, budgets, quota defaults.
 SHARED_SERVICES = ["monitoring", "logging", "ingress-nginx", "cert-manager"]
 TENANTS = [
@@ -70,8 +72,8 @@ def budget_status(costs: DataFrame, budgets: Sequence[Mapping[str, Any]] = BUDGE
             label, value = budget["label"]
             mine = F.coalesce(F.col("labels")[label] == value, F.lit(False))
         hits.append(F.when(mine, F.struct(F.lit(budget["name"]).alias("budget"), F.lit(float(budget["amount"])).alias("amount"))))
-    rows = costs.withColumn("_hit", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())))
-    daily = rows.groupBy("_hit.budget", "_hit.amount", day).agg(F.sum("cost").alias("_cost"))
+    rows = one_row_per_hit(costs, hits)
+    daily = rows.groupBy("budget", "amount", day).agg(F.sum("cost").alias("_cost"))
     to_date = W.partitionBy("budget", "month").orderBy(day).rowsBetween(W.unboundedPreceding, 0)
     out = daily.withColumn("month", F.trunc(day, "month")).withColumn("spent", F.sum("_cost").over(to_date))
     used = F.col("spent") / F.col("amount")

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, seconds, step_start
+from tidewatch.functions.labels import one_row_per_hit
 from tidewatch.operators.anomaly import fixed_score
 from tidewatch.operators.density import density_noise
 from tidewatch.operators.ordered import in_order
@@ -186,8 +187,7 @@ def match_signatures(requests: DataFrame, signatures: Mapping[str, Mapping[str,
         hit = reduce(lambda a, b: a & b, [_condition(requests, f, p) for f, p in conditions.items()], F.lit(True))
         row = F.struct(F.lit(name).alias("attack_name"), F.lit(signature.get("severity", "high")).alias("severity"))
         found.append(F.when(hit, row))
-    hits = F.filter(F.array(*found), lambda x: x.isNotNull())
-    return requests.withColumn("_hit", F.explode(hits)).select(F.lit("signature_attack").alias("type"), *requests.columns, "_hit.*")
+    return one_row_per_hit(requests, found).select(F.lit("signature_attack").alias("type"), *requests.columns, "attack_name", "severity")
 
 
 def all_intrusions(*found: DataFrame | None) -> DataFrame:

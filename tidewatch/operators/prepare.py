@@ -166,8 +166,8 @@ def corr_matrix(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def top_correlated(corr: DataFrame, k: int = 5) -> DataFrame:
-    """The k others with the largest absolute correlation, per series."""
-    order = W.partitionBy("a").orderBy(F.abs("corr").desc(), "b")
+    """The k others with the largest absolute correlation, per series; equal to nine digits counts as a tie, by name."""
+    order = W.partitionBy("a").orderBy(F.round(F.abs("corr"), 9).desc(), "b")
     ranked = corr.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("a", "b", F.abs("corr").alias("corr"), "rank")
 

@@ -159,7 +159,7 @@ def issues(t, correlated=None):
 
 
 @query("A11_predict_issues", plain(f"""SELECT i.*, c.metrics AS correlated FROM {ISSUES} i LEFT JOIN (SELECT a, string_agg(b, ',' ORDER BY r) AS metrics FROM (
-   SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY abs(corr) DESC, b) AS r FROM {SERIES_CORR} WHERE NOT isnan(corr)) WHERE r <= 5 GROUP BY 1) c ON c.a = service || '/' || metric_name""", ISSUE_NUMBERS, "timestamp"))
+   SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY round(abs(corr), 9) DESC, b) AS r FROM {SERIES_CORR} WHERE NOT isnan(corr)) WHERE r <= 5 GROUP BY 1) c ON c.a = service || '/' || metric_name""", ISSUE_NUMBERS, "timestamp"))
 def predict_issues(t):
     rows = issues(t, P.top_correlated(series_corr(t)))
     return rows.withColumn("correlated", F.array_join(F.transform("correlated_metrics", lambda x: x["metric"]), ",")).drop("correlated_metrics")

@@ -92,7 +92,7 @@ def series_corr(t):
     return P.corr_matrix(P.to_wide(rows, SERIES), SERIES)
 
 
-@query("P09_top_correlated", plain(f"SELECT a, b, abs(corr) AS corr, row_number() OVER (PARTITION BY a ORDER BY abs(corr) DESC, b)::BIGINT AS rank FROM {SERIES_CORR} WHERE NOT isnan(corr) QUALIFY rank <= 5", "corr"))
+@query("P09_top_correlated", plain(f"SELECT a, b, abs(corr) AS corr, row_number() OVER (PARTITION BY a ORDER BY round(abs(corr), 9) DESC, b)::BIGINT AS rank FROM {SERIES_CORR} WHERE NOT isnan(corr) QUALIFY rank <= 5", "corr"))
 def top_correlated(t):
     return P.top_correlated(series_corr(t))
 

@@ -44,8 +44,8 @@ def neighbours(t):
 
 @query("G03_correlated_contributors", plain(f"SELECT a AS metric, b AS contributor, abs(corr) AS correlation FROM {SERIES_CORR} WHERE NOT isnan(corr) AND abs(corr) > 0.3 AND a LIKE '%/error'", "correlation"))
 def correlated_contributors(t):
-    corr = series_corr(t)
-    return G.correlated_contributors(corr.select(F.col("a").alias("metric")).where(F.col("metric").endswith("/error")), corr, 0.3)
+    anomalous = t.metrics().where("metric_name = 'error'").select(F.concat_ws("/", "service", "metric_name").alias("metric"))
+    return G.correlated_contributors(anomalous, series_corr(t), 0.3)
 
 
 @query("G05_rank_causes", plain(f"""SELECT service, string_agg(cause, ',' ORDER BY r) AS causes, max(confidence) AS confidence FROM (

@@ -163,7 +163,7 @@ def label_values(t):
 def render_template(t):
     context = {"service": F.col("event_type"), "value": F.col("value")}
     return t.events.where(F.col("event_type") == "error").select("event_id",
-        L.render(F.lit("Anomaly Detected: {service} - {value}"), context).alias("title"),
+        L.render("Anomaly Detected: {service} - {value}", context).alias("title"),
         L.render(F.lit("Current value: {value}, expected {lower_bound}."), context).alias("message"))
 
 

@@ -27,6 +27,9 @@ def in_stretches(t, df, name, writer, parts=3):
     """
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path = scratch_path(t.spark, name)
+    # The number of state stores is fixed when a stream first starts: one per core.
+    shuffles = t.spark.conf.get("spark.sql.shuffle.partitions")
+    t.spark.conf.set("spark.sql.shuffle.partitions", str(t.spark.sparkContext.defaultParallelism))
     us = F.unix_micros("timestamp")
     ends = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
     width = (ends["hi"] - ends["lo"]) // parts + 1
@@ -34,6 +37,7 @@ def in_stretches(t, df, name, writer, parts=3):
         low = ends["lo"] + i * width
         df.where((us >= low) & (us < low + width)).write.mode("append").option("timestampFormat", ISO_MICROS).json(path)
         S.run_to_end(writer(t.spark.readStream.schema(df.schema).json(path)))
+    t.spark.conf.set("spark.sql.shuffle.partitions", shuffles)
 
 
 def appended(t, df, name, transform, parts=3):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,6 +26,9 @@ def local_session(cores: int | str = 8, app: str = "tidewatch") -> SparkSession:
     )
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
@@ -37,9 +39,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = os.path.join(tempfile.gettempdir(), "tidewatch-scratch")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tidewatch-scratch-")
+    return _LOCAL_SCRATCH[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -25,6 +25,11 @@ def _sum(columns) -> Column:
 
 def density_noise(df: DataFrame, key: str, dims: Sequence[str], eps: float = 0.5, min_points: int = 5, salt: int = 16) -> DataFrame:
     """The noise points of ``df``: neither core nor within ``eps`` (inclusive) of a core point. A point counts itself."""
+    return df.join(noise_keys(df, key, dims, eps, min_points, salt), key, "left_semi")
+
+
+def noise_keys(df: DataFrame, key: str, dims: Sequence[str], eps: float = 0.5, min_points: int = 5, salt: int = 16) -> DataFrame:
+    """The keys of the noise points."""
     d = len(dims)
     side = eps / math.sqrt(d)
     # A whisker below the exact side keeps two points of one cell within eps in floating point too.
@@ -63,5 +68,4 @@ def density_noise(df: DataFrame, key: str, dims: Sequence[str], eps: float = 0.5
     lonely = counted.where((F.col("_n") < min_points) & ~F.col("_beside_full")).select("_p")
     sparse_core = counted.where(F.col("_n") >= min_points).select(F.col("_p").alias("_q"))
     bordering = close.where(~F.col("_full")).join(sparse_core, "_q", "left_semi").select("_p").distinct()
-    noise = lonely.join(bordering, "_p", "left_anti").select(F.col("_p").alias(key))
-    return df.join(noise, key, "left_semi")
+    return lonely.join(bordering, "_p", "left_anti").select(F.col("_p").alias(key))

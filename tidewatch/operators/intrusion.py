@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.durations import micros, seconds, step_start
 from tidewatch.functions.labels import one_row_per_hit
 from tidewatch.operators.anomaly import fixed_score
-from tidewatch.operators.density import density_noise
+from tidewatch.operators.density import noise_keys
 from tidewatch.operators.ordered import in_order
 from tidewatch.operators.prepare import apply_scaler, fit_scaler
 from tidewatch.operators.selectors import one_hot
@@ -144,7 +144,7 @@ def detect_user(scored: DataFrame, risk: DataFrame, threshold: float = ANOMALY_A
 def detect_api(calls: DataFrame, dims: Sequence[str], key: str = "request_id", eps: float = 0.5, min_points: int = 5) -> DataFrame:
     """Calls that are density noise over the scaled features, graded by their endpoint."""
     scaled = apply_scaler(calls.select(key, *dims), dims, fit_scaler(calls, dims))
-    noise = calls.join(density_noise(scaled, key, dims, eps, min_points).select(key), key, "left_semi")
+    noise = calls.join(noise_keys(scaled, key, dims, eps, min_points), key, "left_semi")
     path = F.lower("endpoint")
     login = path.contains("login") | path.contains("auth")
     return noise.select(

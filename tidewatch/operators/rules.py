@@ -36,7 +36,7 @@ def alert_state(condition: DataFrame, by: Sequence[str], hold: str, step: str) -
 
 def series_key() -> Column:
     """One text per label set, whatever the order of the map entries."""
-    return F.to_json(F.array_sort(F.map_entries(F.col("labels")))).alias("_series")
+    return F.to_json(F.sort_array(F.map_entries(F.col("labels")))).alias("_series")
 
 
 @dataclass(frozen=True)

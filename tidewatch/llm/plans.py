@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import host_rules, licenses, mixing, sharding, sql
+from tidewatch.llm import host_rules, licenses, mixing, near_dups, packing, quality, sharding, sql
 from tidewatch.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,12 +24,33 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def tokenizer_path() -> str:
+    """The contract's vocabulary, from the package of public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_sum_of_squares")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), with_ids=False)
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+@query("op3_line_field")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, field)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op4_external_shuffle")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shards(table(spark, sf_dir, "documents"), count=40)
@@ -49,3 +70,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_sizes(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+
+
+@query("op10_minhash_bayes", sql.NEAR_DUPS)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -6,11 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm import host_rules, mixing, near_dups, packing, quality
 from tidewatch.llm.common import table
+from tidewatch.llm.plans import tokenizer_path
 from tidewatch.session import materialise
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
-#: Tokens and the quality model cannot be expressed in SQL; tests/llm compares the stages with brute force.
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the line field calls good."""
+    field = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, field).where("predicted = 1").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass their own rules and whose host does."""
+    return host_rules.apply_rules(docs).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one of smallest doc_id; equal rows once."""
+    return near_dups.deduplicated(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks, up to twice."""
+    return mixing.emit(mixing.mix(mixing.with_sizes(docs))).select(*docs.columns)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as token pieces with their places in sequences of 4096 tokens."""
+    return packing.pack(packing.pieces(docs, tokenizer_path()))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("source_mix", source_mix),
+    ("sequence_packing", sequence_packing),
+]
+#: Line marginals and token ids cannot be expressed in SQL; tests/llm holds every stage against brute force.
 ORACLE_SQL: str | None = None
 
 

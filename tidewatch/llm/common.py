@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +37,15 @@ def word_count(text: Column) -> Column:
 def hex_number(text: Column, digits: int = 8) -> Column:
     """The first hexadecimal digits of a text's MD5 as a number: a seeded hash that any SQL engine can repeat."""
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
+
+
+def text_slices(batch, column: int = 0, most: int = 4 << 20):
+    """An Arrow batch in slices of about ``most`` characters of a text column, so that long texts do not pile up."""
+    at, held = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()):
+        if held and held + n > most:
+            yield batch.slice(at, k - at)
+            at, held = k, 0
+        held += n
+    if at < batch.num_rows:
+        yield batch.slice(at)

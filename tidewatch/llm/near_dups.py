@@ -252,3 +252,10 @@ def near_duplicates(docs: DataFrame, hub_rounds: int = 2, miss: float = MISS) ->
     known = signed.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")
     out = known.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group, that of smallest doc_id, equal rows once; rows without a doc_id stay."""
+    kept = near_duplicates(docs.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    return named.unionByName(docs.where("doc_id IS NULL"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import host_rules, licenses, mixing, near_dups, packing, quality, sharding, sql
+from tidewatch.llm import host_rules, language, licenses, mixing, near_dups, packing, quality, sharding, sql, style_tree, topk
 from tidewatch.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
 
+@query("op7_threshold_topk", sql.TOP_K)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op8_language_filters")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = language.identify(docs.select("doc_id", "text"), language.train(docs.select("doc_id", "text", "lang")))
+    return told.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_style_tree")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op10_minhash_bayes", sql.NEAR_DUPS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

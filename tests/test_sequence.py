@@ -67,13 +67,13 @@ def test_suggested_chunk_bounds_the_rows(hot):
     assert Q.suggest_chunk(df, ["k"], rows_per_task=300) == "1h"
 
 
-@pytest.mark.parametrize("levels", [1, 2])
-def test_quantiles_of_large_groups(spark, levels):
+@pytest.mark.parametrize("fits", [10**6, 50, 3])
+def test_quantiles_of_large_groups(spark, fits):
     rng = np.random.default_rng(3)
     values = np.concatenate([rng.lognormal(size=900), np.full(600, 2.0)])
     df = spark.createDataFrame([("hot", float(v)) for v in values] + [("one", 5.0), ("two", 1.0), ("two", 2.0)], "k string, v double")
     probs = {"p0": 0.0, "p01": 0.01, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    rows = exact_quantiles(df, ["k"], "v", probs, cuts=16, levels=levels, small_group=0).collect()
+    rows = exact_quantiles(df, ["k"], "v", probs, cuts=16, fits=fits).collect()
     got = {r["k"]: r.asDict() for r in rows}
     for name, p in probs.items():
         assert got["hot"][name] == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
@@ -81,14 +81,14 @@ def test_quantiles_of_large_groups(spark, levels):
     assert got["two"]["p50"] == 1.5 and got["hot"]["n"] == 1500
 
 
-def test_exclusive_quantiles_on_both_paths(spark):
+def test_exclusive_quantiles(spark):
     import statistics
 
     data = [float(x * x % 101) for x in range(250)]
     df = spark.createDataFrame([(v,) for v in data], "v double")
     want = statistics.quantiles(data, n=100)
-    for small in (0, 1000):
-        row = exact_quantiles(df, [], "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, method="exclusive", small_group=small, cuts=8).first()
+    for fits in (5, 1000):
+        row = exact_quantiles(df, [], "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, method="exclusive", fits=fits, cuts=8).first()
         assert [row["p50"], row["p95"], row["p99"]] == pytest.approx([want[49], want[94], want[98]])
 
 
@@ -105,15 +105,14 @@ def test_standardise_constant_column(spark):
     assert sorted(tuple(r) for r in out) == [(-1.0, 0.0), (1.0, 0.0)]
 
 
-def test_wide_and_narrow_correlation_agree(spark, monkeypatch):
+def test_correlation_over_rows_where_both_are_present(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 4)) @ rng.normal(size=(4, 4)) + 1e6
-    rows = [tuple(None if rng.random() < 0.1 else float(v) for v in r) for r in x]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
-    want = {(r["a"], r["b"]): r["corr"] for r in P.corr_matrix(df, list("abcd")).collect()}
-    monkeypatch.setattr(P, "WIDEST_EXPRESSION_MATRIX", 1)
-    got = {(r["a"], r["b"]): r["corr"] for r in P.corr_matrix(df, list("abcd")).collect()}
-    assert want.keys() == got.keys() and len(got) == 12 and all(abs(want[k] - got[k]) < 1e-6 for k in want)
+    rows = [(*(None if rng.random() < 0.1 else float(v) for v in r), 7.0) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, still double").repartition(3)
+    want = df.toPandas().corr()
+    got = {(r["a"], r["b"]): r["corr"] for r in P.corr_matrix(df, ["a", "b", "c", "d", "still"]).collect()}
+    assert len(got) == 12 and all(abs(want.loc[a, b] - v) < 1e-6 for (a, b), v in got.items())
 
 
 def test_auc_with_ties(spark):

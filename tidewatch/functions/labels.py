@@ -162,7 +162,10 @@ def one_row_per_hit(df: DataFrame, candidates: Sequence[Column]) -> DataFrame:
 
 
 def mask_secrets(text: Column) -> Column:
-    """Hide values of secret-bearing keys; everything else, the user name included, stays."""
-    return F.regexp_replace(
-        text, r'(?i)("?\b(?:password|passwd|secret|token|api_key|authorization)\b"?\s*[=:]\s*"?)[^\s",;}]+', "$1***"
-    )
+    """Hide values of secret-bearing keys; everything else, the user name included, stays.
+
+    A quoted value goes up to its closing quote, an authorisation scheme goes with its token.
+    """
+    key = r'(?i)("?\b(?:password|passwd|secret|token|api_key|authorization)\b"?\s*[=:]\s*'
+    quoted = F.regexp_replace(text, key + r'")(?:[^"\\]|\\.)*"', '$1***"')
+    return F.regexp_replace(quoted, key + r'"?)(?:(?:bearer|basic|digest|negotiate)\s+)?[^\s",;}]+', "$1***")

@@ -104,11 +104,13 @@ def fit_nodes(
     df: DataFrame, columns: Sequence[str], key: str, trees: int = 100, sample: int = 256, seed: int = 42,
     max_features: float = 1.0,
 ) -> DataFrame:
-    """One row per tree with its node arrays. ``key`` identifies a row and drives the sampling."""
-    pool = (
-        df.select(key, *columns).withColumn("_draw", F.xxhash64(F.col(key), F.lit(seed))).orderBy("_draw", key)
-        .limit(trees * sample).drop("_draw")
-    )
+    """One row per tree with its node arrays. ``key`` identifies a row and drives the sampling.
+
+    The forest's own sampling: every tree sees ``sample`` rows of a uniform pool of about ``trees * sample`` rows.
+    """
+    # A row is in the pool if its hash lies below the share wanted: no order over the table, about trees x sample rows.
+    share = min(1.0, trees * sample / max(df.count(), 1))
+    pool = df.select(key, *columns).where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
     drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     drawn = drawn.withColumn("_pick", F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)))
     mine = W.partitionBy("tree").orderBy("_pick", key)

@@ -64,35 +64,45 @@ def lead_time_features(leads: DataFrame, additional: Sequence[str] = ("distance_
     return leads.select(
         "product_id", "supplier_id", F.col("quantity").cast("double").alias("quantity"),
         F.month("order_date").cast("double").alias("month"), F.weekday("order_date").cast("double").alias("day_of_week"),
-        *extra, F.col("lead_time_days").cast("double").alias("lead_time_days"),
+        *[F.col(c).cast("double").alias(c) if leads.schema[c].dataType.typeName() != "string" else F.col(c) for c in extra], F.col("lead_time_days").cast("double").alias("lead_time_days"),
     )
 
 
 def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42):
-    """Random forest regression on hashed product and supplier with quantity, month and weekday."""
+    """Random forest regression on product, supplier, quantity, month, weekday and the optional columns that are there.
+
+    Product and supplier enter as their mean lead time (``TargetEncoder``, smoothed towards the mean of all), so their
+    number does not matter and none collide; shipping method and priority likewise.
+    """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import FeatureHasher, VectorAssembler
+    from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
+    rows = lead_time_features(leads)
+    kinds = dict(rows.dtypes)
+    numbers = [c for c in rows.columns if c not in ("product_id", "supplier_id", "lead_time_days") and kinds[c] != "string"]
+    names = ["product_id", "supplier_id", *[c for c in rows.columns if kinds[c] == "string" and c not in ("product_id", "supplier_id")]]
     return Pipeline(
         stages=[
-            FeatureHasher(
-                inputCols=["product_id", "supplier_id"], outputCol="_who", numFeatures=256,
-                categoricalCols=["product_id", "supplier_id"],
+            StringIndexer(inputCols=names, outputCols=[f"_i_{c}" for c in names], handleInvalid="keep"),
+            TargetEncoder(
+                inputCols=[f"_i_{c}" for c in names], outputCols=[f"_m_{c}" for c in names], labelCol="lead_time_days",
+                targetType="continuous", handleInvalid="keep", smoothing=1.0,
             ),
-            VectorAssembler(inputCols=["_who", "quantity", "month", "day_of_week"], outputCol="_features"),
+            VectorAssembler(inputCols=[*[f"_m_{c}" for c in names], *numbers], outputCol="_features", handleInvalid="keep"),
             RandomForestRegressor(
                 featuresCol="_features", labelCol="lead_time_days", predictionCol="_days", numTrees=trees, maxDepth=depth, seed=seed
             ),
         ]
-    ).fit(lead_time_features(leads))
+    ).fit(rows)
 
 
 def predict_lead_time(model, requests: DataFrame) -> DataFrame:
     """Whole days, at least one. Requests carry product, supplier, quantity, month and weekday."""
     rows = model.transform(requests)
     days = F.greatest(F.lit(1.0), _whole(F.col("_days")))
-    return rows.withColumn("lead_time_days", days).drop("_who", "_features", "_days")
+    rows = rows.withColumn("lead_time_days", days)
+    return rows.drop("_features", "_days", *[c for c in rows.columns if c.startswith(("_i_", "_m_"))])
 
 
 def baseline_lead_time(leads: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -35,7 +35,8 @@ def authorise(requests: DataFrame, required_role: str) -> DataFrame:
 def plan_compliance(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Every rule over all resource changes (type, encrypted, mfa_enabled, enable_flow_logs, endpoint) of a plan.
 
-    A rule concerns the resources of its type; a plan without such resources satisfies it.
+    A rule concerns the resources of its type; a plan without such resources satisfies it. A cloud resource that names no
+    endpoint does not use a validated one.
     """
     kind = F.col("type")
     every = lambda applies, ok: F.coalesce(F.bool_and(F.when(applies, _true(ok))), F.lit(True))
@@ -43,7 +44,7 @@ def plan_compliance(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "enforce_encryption": every(F.col("encrypted").isNotNull(), F.col("encrypted")),
         "enforce_mfa": every(kind == "aws_iam_user", F.col("mfa_enabled")),
         "enforce_flow_logs": every(kind == "aws_vpc", F.col("enable_flow_logs")),
-        "enforce_fips_endpoints": every(kind.startswith("aws_") & F.col("endpoint").isNotNull(), F.col("endpoint").contains("fips")),
+        "enforce_fips_endpoints": every(kind.startswith("aws_"), F.col("endpoint").contains("fips")),
     }
     out = changes.groupBy(*by).agg(*[c.alias(n) for n, c in rules.items()])
     passed = F.lit(True)

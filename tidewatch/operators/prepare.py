@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,7 +13,6 @@ from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.operators.sequence import cumulative_over_value, with_last_known
 
 METRIC_KEY = ("metric_name",)
-WIDEST_EXPRESSION_MATRIX = 24
 
 # Minimum quality per model, and which measures are upper limits.
 TARGETS = {
@@ -141,26 +139,20 @@ def _gram(columns: Sequence[str]):
 def corr_matrix(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every two columns over the rows where both are present: a, b, corr (both orders).
 
-    Rows are never paired with rows. Few columns are plain aggregates; many go through per-partition product sums of
-    the scaled columns, which are then added up.
+    Rows are never paired with rows: product sums of the scaled columns are built per partition and added up. A column
+    without spread has no correlation.
     """
     columns = list(columns)
-    if len(columns) <= WIDEST_EXPRESSION_MATRIX:
-        pairs = [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr")) for a, b in combinations(columns, 2)
-        ]
-        upper = wide.agg(F.array(*pairs).alias("p")).select(F.inline("p"))
-    else:
-        scaled = apply_scaler(wide.select(*columns), columns, fit_scaler(wide, columns))
-        parts = scaled.mapInPandas(_gram(columns), "i int, j int, n double, x double, y double, xx double, yy double, xy double")
-        total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
-        top = F.col("n") * F.col("xy") - F.col("x") * F.col("y")
-        under = (F.col("n") * F.col("xx") - F.col("x") * F.col("x")) * (F.col("n") * F.col("yy") - F.col("y") * F.col("y"))
-        names = F.array(*[F.lit(c) for c in columns])
-        upper = total.select(
-            names[F.col("i")].alias("a"), names[F.col("j")].alias("b"),
-            F.when((F.col("n") > 1) & (under > 0), top / F.sqrt(under)).alias("corr"),
-        )
+    scaled = apply_scaler(wide.select(*columns), columns, fit_scaler(wide, columns))
+    parts = scaled.mapInPandas(_gram(columns), "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    top = F.col("n") * F.col("xy") - F.col("x") * F.col("y")
+    under = (F.col("n") * F.col("xx") - F.col("x") * F.col("x")) * (F.col("n") * F.col("yy") - F.col("y") * F.col("y"))
+    names = F.array(*[F.lit(c) for c in columns])
+    upper = total.select(
+        names[F.col("i")].alias("a"), names[F.col("j")].alias("b"),
+        F.when((F.col("n") > 1) & (under > 0), top / F.sqrt(under)).alias("corr"),
+    )
     upper = upper.where(F.col("corr").isNotNull() & ~F.isnan("corr"))
     return upper.select(F.inline(F.array(F.struct("a", "b", "corr"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))))
 

@@ -2,17 +2,20 @@
 
 ``percentile`` keeps every distinct value of a group in one hash map. Here a sketch cuts each group into bins of about
 equal size, counts per bin tell which bin holds each wanted rank, and only those bins are ordered. ``levels`` repeats
-the cut inside the chosen bins, dividing what is ordered by ``cuts`` each time.
+the cut inside the chosen bins, dividing what is ordered by ``cuts`` each time; equal values count as one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil, log
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.session import materialise
+
 
 def _positions(probs: Mapping[str, float], method: str):
     """Per wanted quantile: 0-based lower rank, and the weight of the next rank, given the count ``_n``."""
@@ -33,52 +36,29 @@ def _positions(probs: Mapping[str, float], method: str):
     return F.array(*out)
 
 
-# Groups up to this size are handled by one aggregate; only larger ones are cut into bins.
-SMALL_GROUP = 100_000
+#: Values of one bin that a task may order.
+FITS = 1_000_000
 
 
 def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: Mapping[str, float],
-    method: str = "linear",
-    cuts: int = 128,
-    levels: int = 1,
-    small_group: int = SMALL_GROUP,
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], method: str = "linear", cuts: int = 128, fits: int = FITS,
 ) -> DataFrame:
-    """One row per group: the group columns, ``n`` and one column per entry of ``probs``. Nulls are skipped."""
+    """One row per group: the group columns, ``n`` and one column per entry of ``probs``. Nulls are skipped.
+
+    The source is read once: keys and values are written and counted, and the largest group tells how often bins must
+    be cut until none holds more than ``fits`` values. Every group takes the same path, whatever its size.
+    """
     groups = [f"_g{i}" for i in range(len(by))] or ["_g0"]
     keys = [F.col(c).alias(g) for c, g in zip(by, groups)] or [F.lit(0).alias("_g0")]
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    sizes = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    out = _large_groups(values.join(sizes.where(F.col("_n") > small_group).select(*groups), groups), groups, probs, method, cuts, levels)
-    if small_group:
-        few = values.join(sizes.where(F.col("_n") <= small_group).select(*groups), groups)
-        out = _small_groups(few, groups, probs, method).unionByName(out)
+    values = materialise(values, "quantile-values")
+    largest = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 1
+    levels = max(1, ceil(log(max(largest / fits, 1), cuts)))
+    out = _binned(values, groups, probs, method, cuts, levels)
     return out.select(*[F.col(g).alias(c) for c, g in zip(by, groups)], "n", *probs)
 
 
-def _small_groups(values: DataFrame, groups: Sequence[str], probs: Mapping[str, float], method: str) -> DataFrame:
-    if method == "linear":
-        out = values.groupBy(*groups).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile("_v", [float(p) for p in probs.values()]).alias("_p")
-        )
-        return out.select(*groups, "n", *[F.col("_p")[i].alias(name) for i, name in enumerate(probs)])
-    # At most SMALL_GROUP values per list.
-    out = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list("_v")).alias("_s"))
-    out = out.withColumn("_p", _positions(probs, method))
-    at = lambda i: F.col("_s")[F.least(i, F.col("_n") - 1).cast("int")]
-    return out.select(
-        *groups, F.col("_n").alias("n"),
-        *[
-            ((1 - F.col("_p")[i]["_w"]) * at(F.col("_p")[i]["_low"]) + F.col("_p")[i]["_w"] * at(F.col("_p")[i]["_low"] + 1)).alias(name)
-            for i, name in enumerate(probs)
-        ],
-    )
-
-
-def _large_groups(
+def _binned(
     values: DataFrame, groups: Sequence[str], probs: Mapping[str, float], method: str, cuts: int, levels: int
 ) -> DataFrame:
     wanted, part = None, list(groups)

@@ -6,12 +6,11 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.functions.durations import micros, step_start
+from tidewatch.functions.durations import micros
 from tidewatch.operators.cycles import cycle_outcomes
-from tidewatch.operators.sequence import with_last_known, with_previous
+from tidewatch.operators.sequence import running_total, with_last_known, with_previous
 
 SEVERITY_ORDER = {"low": 0, "medium": 1, "high": 2, "critical": 3}
 MAX_REPLICAS = 10
@@ -84,14 +83,26 @@ def circuit_state(failures: DataFrame, context: str, ident: str, threshold: int,
     return failures.join(out.select(ident, names[F.col("outcome")].alias("breaker")), ident)
 
 
-def eject_outliers(requests: DataFrame, host: str, tie: Sequence[str], errors: int = 5, interval: str = "30s", ejection: str = "30s") -> DataFrame:
-    """Hosts with ``errors`` server errors in a row inside one interval, and how long they stay out."""
-    slot = step_start(F.col("timestamp"), micros(interval))
-    order = W.partitionBy(host, "_slot").orderBy("timestamp", *tie)
-    rows = requests.withColumn("_slot", slot).withColumn("_bad", (F.col("status_code") >= 500).cast("int"))
-    rows = rows.withColumn("_run", F.sum(1 - F.col("_bad")).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    place = F.row_number().over(W.partitionBy(host, "_slot", "_run", "_bad").orderBy("timestamp", *tie))
-    rows = rows.withColumn("_place", place).where((F.col("_bad") == 1) & (F.col("_place") % errors == 0))
+def eject_outliers(
+    requests: DataFrame, host: str, tie: Sequence[str], errors: int = 5, interval: str = "30s", ejection: str = "30s", chunk: str = "1h",
+) -> DataFrame:
+    """Hosts with ``errors`` server errors in a row within one interval, and how long they stay out.
+
+    A run of errors counts wherever it lies: every ``errors``-th error of it ejects if the last ``errors`` of them span
+    no more than the interval. Runs are counted by sums carried over chunks, so a host of any size is split.
+    """
+    order = {"ts": "timestamp", "tie": tie, "chunk": chunk}
+    rows = requests.withColumn("_bad", (F.col("status_code") >= 500).cast("long"))
+    rows = running_total(rows, [host], {"_errors": "_bad"}, **order)
+    rows = rows.withColumn("_at_good", F.when(F.col("_bad") == 0, F.col("_errors")))
+    rows = with_last_known(rows, [host], {"_before": "_at_good"}, **order)
+    last = "timestamp"
+    for i in range(1, errors):
+        rows = with_previous(rows, [host], {f"_t{i}": last}, **order)
+        last = f"_t{i}"
+    place = F.col("_errors") - F.coalesce("_before", F.lit(0))
+    span = F.unix_micros("timestamp") - F.unix_micros(last)
+    rows = rows.where((F.col("_bad") == 1) & (place % errors == 0) & (span <= micros(interval)))
     return rows.select(
         host, F.col("timestamp").alias("ejected_at"), F.timestamp_micros(F.unix_micros("timestamp") + micros(ejection)).alias("back_at")
     )

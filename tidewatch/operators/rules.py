@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.durations import micros, seconds
 from tidewatch.functions.labels import matches
 from tidewatch.operators import timeseries as ts
+from tidewatch.session import materialise
 
 
 def alert_state(condition: DataFrame, by: Sequence[str], hold: str, step: str) -> DataFrame:
@@ -41,24 +43,37 @@ def series_key() -> Column:
 
 @dataclass(frozen=True)
 class Signals:
-    """Labelled samples (timestamp, name, labels, value) and the grid rules are evaluated on."""
+    """Labelled samples (timestamp, name, labels, value) and the grid rules are evaluated on.
+
+    The samples are read once: partials per series and step are written, and every rule starts from those.
+    """
 
     samples: DataFrame
     step: str = "15s"
 
-    def select(self, name: str, labels: Sequence[str], where: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
-        """Samples of one metric after the matchers: the named labels as columns, and ``_series`` for all labels."""
-        df = self.samples.where(F.col("name") == name)
+    @cached_property
+    def partials(self) -> DataFrame:
+        """Step partials of every series of every metric, with the series' labels."""
+        rows = self.samples.select("name", series_key(), "timestamp", "value")
+        parts = materialise(ts.step_partials(rows, ["name", "_series"], self.step), "rule-partials")
+        entries = F.from_json("_series", "array<struct<key:string,value:string>>")
+        return parts.withColumn("labels", F.map_from_entries(entries))
+
+    def select(self, names: str | Sequence[str], labels: Sequence[str], where: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+        """Partials of the metrics after the matchers: name, the named labels as columns, and ``_series`` for all labels."""
+        df = self.partials.where(F.col("name").isin([names] if isinstance(names, str) else list(names)))
         for key, (op, pattern) in (where or {}).items():
             df = df.where(matches(F.col("labels")[key], op, pattern))
-        return df.select(*[F.col("labels")[k].alias(k) for k in labels], series_key(), "timestamp", "value")
+        return df.withColumns({k: F.col("labels")[k] for k in labels}).drop("labels")
 
     def now(self, name, labels, where=None) -> DataFrame:
-        return ts.instant(self.select(name, labels, where), labels, self.step)
+        """The last sample of every series of the metric, each still on its own."""
+        return ts.instant_of(self.select(name, labels, where), [*labels, "_series"], self.step)
 
-    def rate(self, name, labels, window, where=None) -> DataFrame:
-        """Rates of every series of the metric, each still on its own."""
-        return ts.rate(self.select(name, labels, where), [*labels, "_series"], window, self.step)
+    def rate(self, names, labels, window, where=None) -> DataFrame:
+        """Rates of every series of the metrics, each still on its own."""
+        out = ts.increase_of(self.select(names, labels, where), ["name", *labels, "_series"], window, self.step)
+        return out.withColumn("value", F.col("value") / seconds(window))
 
 
 @dataclass(frozen=True)
@@ -109,9 +124,7 @@ RECORDED = {
 
 def recording_rules(signals: Signals, window: str = "5m", by: str = "job") -> DataFrame:
     """The six recorded per-job signals as one wide table per (job, eval_ts), in one pass over the samples."""
-    rows = signals.samples.where(F.col("name").isin(list(RECORDED)))
-    rows = rows.select("name", F.col("labels")[by].alias(by), series_key(), "timestamp", "value")
-    rates = ts.rate(rows, ["name", by, "_series"], window, signals.step)
+    rates = signals.rate(list(RECORDED), (by,), window)
     wide = rates.groupBy(by, "eval_ts").agg(
         *[F.sum(F.when(F.col("name") == metric, F.col("value"))).alias(f"_{c}") for metric, c in RECORDED.items()]
     )
@@ -140,7 +153,9 @@ def _over(vector: DataFrame, op: str, limit: float) -> DataFrame:
 
 
 def _fraction(s: Signals, top: str, bottom: str, by: tuple[str, ...], where=None, scale: float = 1.0) -> DataFrame:
-    out = ts.utilisation(s.now(top, by, where), s.now(bottom, by, where), by)
+    """One metric over the other, series by series: both carry the same labels."""
+    on = (*by, "_series")
+    out = ts.vector_binop(s.now(top, by, where), s.now(bottom, by, where), "/", on)
     return out.withColumn("value", F.col("value") * scale)
 
 
@@ -148,7 +163,7 @@ def _cpu_share(s: Signals, by: tuple[str, ...]) -> DataFrame:
     where = {"container": ("!=", "")}
     used = ts.sum_by(s.rate("container_cpu_usage_seconds_total", by, "5m", where), *by)
     quota = ts.vector_binop(
-        s.now("container_spec_cpu_quota", by, where), s.now("container_spec_cpu_period", by, where), "/", by
+        s.now("container_spec_cpu_quota", by, where), s.now("container_spec_cpu_period", by, where), "/", (*by, "_series")
     )
     return ts.vector_binop(used, ts.sum_by(quota, *by), "/", by)
 
@@ -195,42 +210,41 @@ def rule_set(thresholds: Mapping[str, float] | None = None) -> list[Rule]:
     team = lambda t: {"team": t}
     return [
         Rule("ServiceDown", lambda s: _over(s.now("up", ("job", "service", "instance"), {"job": ("=", "kubernetes-pods")}), "==", 0),
-             ("job", "service", "instance"), "1m", "critical", team("platform")),
+             ("job", "service", "instance", "_series"), "1m", "critical", team("platform")),
         Rule("HighErrorRate", lambda s: _over(_share(s, "http_requests_total", SERVICE, "5m"), ">", 0.05),
              SERVICE, "5m", "critical", team("application")),
         Rule("APIEndpointDown", lambda s: _over(s.now("probe_success", ("job", "instance"), {"job": ("=", "blackbox")}), "==", 0),
-             ("job", "instance"), "5m", "critical", team("application")),
+             ("job", "instance", "_series"), "5m", "critical", team("application")),
         Rule("HighLatency", lambda s: _over(_quantile(s, "http_request_duration_seconds_bucket", 0.95, SERVICE, "5m"), ">", 0.5),
              SERVICE, "5m", "warning", team("application")),
         Rule("HighCPUUsage", lambda s: _over(_cpu_share(s, POD), ">", 0.8), POD, "10m", "warning", team("platform")),
         Rule("HighMemoryUsage",
              lambda s: _over(_fraction(s, "container_memory_working_set_bytes", "container_spec_memory_limit_bytes", POD, named), ">", 0.8),
-             POD, "10m", "warning", team("platform")),
+             (*POD, "_series"), "10m", "warning", team("platform")),
         Rule("DiskSpaceRunningOut",
              lambda s: _over(_fraction(s, "node_filesystem_avail_bytes", "node_filesystem_size_bytes", ("instance", "mountpoint"), scale=100), "<", 10),
-             ("instance", "mountpoint"), "5m", "warning", team("platform")),
+             ("instance", "mountpoint", "_series"), "5m", "warning", team("platform")),
         Rule("HorizontalPodAutoscalerMaxed",
              lambda s: ts.vector_eq(
                  s.now("kube_horizontalpodautoscaler_status_current_replicas", ("namespace", "horizontalpodautoscaler"), KUBE_STATE),
                  s.now("kube_horizontalpodautoscaler_spec_max_replicas", ("namespace", "horizontalpodautoscaler"), KUBE_STATE),
-                 ("namespace", "horizontalpodautoscaler")),
-             ("namespace", "horizontalpodautoscaler"), "15m", "warning", team("platform")),
+                 ("namespace", "horizontalpodautoscaler", "_series")),
+             ("namespace", "horizontalpodautoscaler", "_series"), "15m", "warning", team("platform")),
         Rule("KubePodPending", lambda s: _over(s.now("kube_pod_status_phase", ("namespace", "pod"), {"phase": ("=", "Pending")}), "==", 1),
-             ("namespace", "pod"), "15m", "warning", team("platform")),
+             ("namespace", "pod", "_series"), "15m", "warning", team("platform")),
         Rule("DatabaseConnectionPoolSaturation",
              lambda s: _over(_fraction(s, "db_connections_current", "db_connections_max", ("database",)), ">", 0.8),
-             ("database",), "5m", "warning", team("database")),
+             ("database", "_series"), "5m", "warning", team("database")),
         Rule("HighDatabaseCPU", lambda s: _over(s.rate("pg_stat_activity_count", ("database",), "5m", {"state": ("=", "active")}), ">", 20),
              ("database", "_series"), "5m", "warning", team("database")),
         Rule("SLOAvailabilityBreach",
-             lambda s: _over(ts.slo_availability(s.select("http_requests_total", ("status",)), ("status", "_series"), (),
-                                                 matches(F.col("status"), "=~", "5.."), "1h", s.step), "<", 99.9),
+             lambda s: _over(ts.availability_of(s.rate("http_requests_total", ("status",), "1h"), (), matches(F.col("status"), "=~", "5..")), "<", 99.9),
              (), "5m", "critical", team("sre")),
         Rule("SLOLatencyBreach", lambda s: _over(_quantile(s, "http_request_duration_seconds_bucket", 0.95, (), "1h"), ">", 0.3),
              (), "5m", "critical", team("sre")),
         Rule("ContainerRunningAsRoot", lambda s: _over(s.now("container_spec_security_context_run_as_user", POD, named), "==", 0),
-             POD, "5m", "warning", team("security")),
-        Rule("PrivilegedContainer", lambda s: s.now("kube_pod_container_info", POD, named), POD, "5m", "warning", team("security")),
+             (*POD, "_series"), "5m", "warning", team("security")),
+        Rule("PrivilegedContainer", lambda s: s.now("kube_pod_container_info", POD, named), (*POD, "_series"), "5m", "warning", team("security")),
         Rule("UnusualNetworkTraffic",
              lambda s: _over(ts.sum_by(s.rate("container_network_transmit_bytes_total", ("pod", "namespace"), "5m",
                                               {"namespace": ("!=", "kube-system")}), "pod", "namespace"), ">", 100 * 1024 * 1024),
@@ -239,23 +253,23 @@ def rule_set(thresholds: Mapping[str, float] | None = None) -> list[Rule]:
         Rule("JobHighErrorRate", lambda s: _over(_job_error_ratio(s), ">", 0.05), ("job",), "5m", "warning"),
         Rule("OrderRateDrop", _order_drop, ("job",), "15m", "warning"),
         Rule("CartAbandonmentRateHigh", lambda s: _over(_recorded(s, "cart_abandonment_rate5m"), ">", 0.7), ("job",), "15m", "warning"),
-        Rule("RequestHighLatency", lambda s: _over(s.now("http_request_duration_seconds", ("service",)), ">", 1), ("service",), "5m", "critical"),
+        Rule("RequestHighLatency", lambda s: _over(s.now("http_request_duration_seconds", ("service",)), ">", 1), ("service", "_series"), "5m", "critical"),
         Rule("ErrorRateHigh", lambda s: _over(_unsummed_error_ratio(s), ">", 0.01), ("service", "status", "_series"), "5m", "critical"),
-        Rule("ComplianceViolation", lambda s: _over(s.now("compliance_check_status", ("service",)), "==", 0), ("service",), "1m", "critical"),
+        Rule("ComplianceViolation", lambda s: _over(s.now("compliance_check_status", ("service",)), "==", 0), ("service", "_series"), "1m", "critical"),
         Rule("TenantCostSpike", lambda s: _grown(s, "kubecost_namespace_cost", ("namespace",), "7d", 1.5), ("namespace",), "24h", "warning", {"category": "cost"}),
         Rule("ClusterCostIncrease", lambda s: _grown(s, "kubecost_cluster_total_cost", (), "1d", 1.2), (), "6h", "warning", {"category": "cost"}),
         Rule("UnusedResourceCost", lambda s: _over(ts.sum_by(s.now("kubecost_idle_cost", ("namespace",)), "namespace"), ">", 100),
              ("namespace",), "24h", "info", {"category": "cost"}),
         Rule("TenantResourceQuotaExceeded",
-             lambda s: ts.vector_binop(s.now("namespace:container_cpu_usage:sum", ("namespace",)), s.now("namespace:resource_quota:cpu", ("namespace",)), ">", ("namespace",)),
-             ("namespace",), "15m", "warning"),
+             lambda s: ts.vector_binop(s.now("namespace:container_cpu_usage:sum", ("namespace",)), s.now("namespace:resource_quota:cpu", ("namespace",)), ">", ("namespace", "_series")),
+             ("namespace", "_series"), "15m", "warning"),
         Rule("EdgeDeviceOffline", lambda s: _over(s.now("up", ("job", "device_id"), {"job": ("=", "edge-device")}), "==", 0),
-             ("job", "device_id"), "5m", "warning"),
+             ("job", "device_id", "_series"), "5m", "warning"),
         Rule("EdgeDeviceHighLatency", lambda s: _over(s.now("edge_latency_seconds", ("device_id",), {"quantile": ("=", "0.9")}), ">", 1),
-             ("device_id",), "10m", "warning"),
+             ("device_id", "_series"), "10m", "warning"),
         Rule("EdgeDeviceStorageCritical",
              lambda s: _over(_fraction(s, "edge_storage_free_bytes", "edge_storage_total_bytes", ("device_id",), scale=100), "<", 10),
-             ("device_id",), "5m", "critical"),
+             ("device_id", "_series"), "5m", "critical"),
         Rule("ServiceHighErrorRate", lambda s: _over(_share(s, "http_requests_total", ("service",), "5m"), ">", 0.05), ("service",), "5m", "critical"),
         Rule("SlowResponseTime", lambda s: _over(_quantile(s, "http_request_duration_seconds_bucket", 0.95, ("service",), "5m"), ">", 2),
              ("service",), "5m", "warning"),

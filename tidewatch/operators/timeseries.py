@@ -28,17 +28,21 @@ def _moved(value: Column, before: Column) -> Column:
 
 
 def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
-    """One row per series and step: rise and changes inside the step and on entering it, first and last sample."""
+    """One row per series and step: rise and changes inside the step and on entering it, last sample, sum and extremes.
+
+    Samples of one time stand in order of their value, so equal times give the same result on every run.
+    """
     rows = samples.select(*by, F.col(ts).alias("_ts"), F.col(value).alias("_v"), step_end(F.col(ts), micros(step)).alias("_end"))
     rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    inside = W.partitionBy(*by, "_end").orderBy("_ts")
+    inside = W.partitionBy(*by, "_end").orderBy("_ts", "_v")
     rows = rows.withColumn("_b", F.lag("_v").over(inside))
     parts = rows.groupBy(*by, "_end").agg(
         F.sum(_rise(F.col("_v"), F.col("_b"))).alias("_rise"),
         F.sum(_moved(F.col("_v"), F.col("_b"))).alias("_moves"),
         F.count(F.lit(1)).alias("_n"),
-        F.min_by("_v", "_ts").alias("_head"),
-        F.max_by("_v", "_ts").alias("_last"),
+        F.min_by("_v", F.struct("_ts", "_v")).alias("_head"),
+        F.max_by("_v", F.struct("_ts", "_v")).alias("_last"),
+        F.sum("_v").alias("_sum"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.max("_ts").alias("_last_ts"),
     )
     series = W.partitionBy(*by).orderBy("_end")
@@ -72,8 +76,13 @@ def increase(
     samples: DataFrame, by: Sequence[str], window: str, step: str, ts: str = "timestamp", value: str = "value"
 ) -> DataFrame:
     """Reset-corrected counter increase between the first and last sample of each window (at least two samples)."""
+    return increase_of(step_partials(samples, by, step, ts, value), by, window, step)
+
+
+def increase_of(parts: DataFrame, by: Sequence[str], window: str, step: str) -> DataFrame:
+    """``increase`` from step partials that are already there."""
     frame = _frame(by, window, step)
-    grid = on_grid(step_partials(samples, by, step, ts, value), by, window, step)
+    grid = on_grid(parts, by, window, step)
     total = F.sum(F.col("_rise") + F.col("_rise_in")).over(frame) - F.first("_rise_in", ignorenulls=True).over(frame)
     grid = grid.withColumns({"_value": total, "_count": F.sum("_n").over(frame)})
     return _evaluated(grid.where(F.col("_count") >= 2), by, F.col("_value"))
@@ -97,11 +106,17 @@ def instant(
 ) -> DataFrame:
     """Last sample of each series at every step, no older than the lookback."""
     rows = samples.select(*by, F.col(ts).alias("_ts"), F.col(value).alias("_v"), step_end(F.col(ts), micros(step)).alias("_end"))
-    parts = rows.groupBy(*by, "_end").agg(F.max_by("_v", "_ts").alias("_last"))
+    parts = rows.groupBy(*by, "_end").agg(F.max_by("_v", F.struct("_ts", "_v")).alias("_last"))
     grid = on_grid(parts, by, lookback, step)
     return _evaluated(grid, by, F.last("_last", ignorenulls=True).over(_frame(by, lookback, step)))
 
 
+def instant_of(parts: DataFrame, by: Sequence[str], step: str, lookback: str = LOOKBACK) -> DataFrame:
+    """``instant`` from step partials that are already there."""
+    grid = on_grid(parts.select(*by, "_end", "_last"), by, lookback, step)
+    return _evaluated(grid, by, F.last("_last", ignorenulls=True).over(_frame(by, lookback, step)))
+
+
 def aggregate_by(vector: DataFrame, by: Sequence[str], how: str = "sum") -> DataFrame:
     """Aggregate over series at each evaluation time."""
     fn = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}[how]
@@ -233,12 +248,9 @@ def dedup_replicas(samples: DataFrame, by: Sequence[str], replica: str = "replic
 
 def downsample(samples: DataFrame, by: Sequence[str], block: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
     """One row per series and block with mergeable partials; counters keep what a rate over tiers needs."""
-    parts = step_partials(samples, by, block, ts, value)
-    sums = samples.where(F.col(value).isNotNull()).groupBy(*by, step_end(F.col(ts), micros(block)).alias("_end")).agg(
-        F.sum(value).alias("sum"), F.min(value).alias("min"), F.max(value).alias("max"),
-    )
-    return parts.join(sums, [*by, "_end"]).select(
-        *by, F.timestamp_micros("_end").alias("block_end"), F.col("_n").alias("count"), "sum", "min", "max",
+    return step_partials(samples, by, block, ts, value).select(
+        *by, F.timestamp_micros("_end").alias("block_end"), F.col("_n").alias("count"),
+        F.col("_sum").alias("sum"), F.col("_min").alias("min"), F.col("_max").alias("max"),
         F.col("_last").alias("last"), F.col("_last_ts").alias("last_ts"), (F.col("_rise") + F.col("_rise_in")).alias("rise"),
     )
 
@@ -255,9 +267,12 @@ def slo_availability(
     requests: DataFrame, series: Sequence[str], by: Sequence[str], failed: Column, window: str = "1h", step: str = "1m"
 ) -> DataFrame:
     """100 x (1 - failed/total) of request counters; ``series`` are the columns that tell the counters apart."""
-    out = rate(requests, series, window, step).groupBy(*by, "eval_ts").agg(
-        F.sum(F.when(failed, F.col("value")).otherwise(0.0)).alias("_bad"), F.sum("value").alias("_all")
-    )
+    return availability_of(rate(requests, series, window, step), by, failed)
+
+
+def availability_of(rates: DataFrame, by: Sequence[str], failed: Column) -> DataFrame:
+    """100 x (1 - failed/total) of rates that are already there."""
+    out = rates.groupBy(*by, "eval_ts").agg(F.sum(F.when(failed, F.col("value")).otherwise(0.0)).alias("_bad"), F.sum("value").alias("_all"))
     return out.select(*by, "eval_ts", (100 * (1 - F.try_divide("_bad", "_all"))).alias("value"))
 
 

@@ -105,13 +105,13 @@ def authorise(t):
 
 
 @query("C10_plan_compliance", """SELECT user_id, bool_and(event_type != 'view' OR event_id % 9 != 0) AS enforce_encryption, coalesce(bool_and(event_id % 5 != 0) FILTER (event_type = 'error'), true) AS enforce_mfa,
-   coalesce(bool_and(event_id % 4 != 0) FILTER (event_type = 'click'), true) AS enforce_flow_logs, coalesce(bool_and(event_id % 8 != 0) FILTER (event_type = 'purchase'), true) AS enforce_fips_endpoints,
+   coalesce(bool_and(event_id % 4 != 0) FILTER (event_type = 'click'), true) AS enforce_flow_logs, bool_and(CASE WHEN event_type = 'purchase' THEN event_id % 8 != 0 WHEN event_type = 'view' THEN event_id % 11 != 0 ELSE true END) AS enforce_fips_endpoints,
    enforce_encryption AND enforce_mfa AND enforce_flow_logs AND enforce_fips_endpoints AS main FROM events GROUP BY 1""")
 def plan_compliance(t):
     e, kind = F.col("event_id"), F.col("event_type")
     rows = t.events.select("user_id", F.when(kind == "error", "aws_iam_user").when(kind == "click", "aws_vpc").otherwise("aws_thing").alias("type"),
         F.when(kind == "view", e % 9 != 0).alias("encrypted"), F.when(e % 5 != 0, True).alias("mfa_enabled"), (e % 4 != 0).alias("enable_flow_logs"),
-        F.when(kind == "purchase", F.when(e % 8 != 0, "s3-fips.host").otherwise("s3.host")).alias("endpoint"))
+        F.when(kind == "purchase", F.when(e % 8 != 0, "s3-fips.host").otherwise("s3.host")).when((kind == "view") & (e % 11 == 0), None).otherwise("kms-fips.host").alias("endpoint"))
     return P.plan_compliance(rows, ["user_id"])
 
 

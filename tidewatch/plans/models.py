@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import anomaly as A
 from tidewatch.operators import classify as K
+from tidewatch.operators import commerce as C
 from tidewatch.operators import forest as X
 from tidewatch.operators import fraud
 from tidewatch.operators import inventory as I
@@ -37,11 +38,13 @@ def isolation_forest_score(t):
 
 @query("A16_score_endpoints")
 def score_endpoints(t):
-    rows = A.service_features(calls(t), "1d").withColumn("key", F.xxhash64("service", "endpoint", "window_start"))
+    """All four detectors: calls with sessions, and the shop's features of the day."""
+    made = calls(t).withColumn("session_id", F.concat_ws("-", "user_id", F.date_format("timestamp", "yyyyMMddHH")))
+    shop = C.business_features(t.events.select(F.date_trunc("day", "ts").alias("window_start"), "event_type", "value"), ["window_start"])
+    rows = A.service_features(made, "1d").join(shop, "window_start", "left").withColumn("key", F.xxhash64("service", "endpoint", "window_start"))
     rows = materialise(rows, "service-features")
-    detectors = {n: d for n, d in A.DETECTORS.items() if all(c in rows.columns for c in d[1])}
-    models = {n: X.fit(rows, d[1], "key", trees=50) for n, d in detectors.items()}
-    return X.score_endpoints(rows, models, detectors)
+    models = {n: X.fit(rows, d[1], "key") for n, d in A.DETECTORS.items()}
+    return X.score_endpoints(rows, models, A.DETECTORS)
 
 
 def training(t):
@@ -62,8 +65,7 @@ def random_forest(t):
 @query("F03_boosting")
 def boosting(t):
     rows, features = training(t)
-    # Ten rounds show the planted rule; the operator's own default is 100.
-    model = K.fit_boosting(rows, features, "label", rounds=10)
+    model = K.fit_boosting(rows, features, "label")
     return K.positive_probability(model, rows).select("transaction_id", "label", "probability")
 
 
@@ -89,6 +91,6 @@ def classify_cause(t):
 @query("I05_fit_lead_time")
 def fit_lead_time(t):
     leads = I.lead_times(t.purchase_orders())
-    model = I.fit_lead_time(leads, trees=20)
+    model = I.fit_lead_time(leads)
     asked = I.lead_time_features(leads).drop("lead_time_days")
     return I.predict_lead_time(model, asked).groupBy("supplier_id").agg(F.avg("lead_time_days").alias("lead_time_days"), F.count("*").alias("n"))

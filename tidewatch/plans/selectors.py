@@ -188,6 +188,11 @@ def weighted_split(t):
     return t.events.select("event_id", S.weighted_split(F.col("event_id").cast("string"), {"v1": 90, "v2": 10}).alias("subset"))
 
 
-@query("R20_mask_secrets", f"SELECT log_id, regexp_replace(message, 'password=[^ ]+', 'password=***') AS message FROM {LOGS}")
+@query("R20_mask_secrets", f"""SELECT log_id, regexp_replace(message, 'password=[^ ]+', 'password=***') || CASE log_id % 4 WHEN 0 THEN ' Authorization: ***' WHEN 1 THEN ' {{"password": "***", "user": "u"}}'
+   WHEN 2 THEN ' token=*** next' ELSE ' {{"authorization": "***"}}' END AS message FROM {LOGS}""")
 def mask_secrets(t):
-    return t.logs().select("log_id", L.mask_secrets(F.col("message")).alias("message"))
+    """The messages, each followed by a header, a quoted value of several words, a bare value or a quoted scheme."""
+    part = F.col("log_id") % 4
+    more = F.when(part == 0, " Authorization: Bearer abc123").when(part == 1, ' {"password": "two words, \\"more\\"", "user": "u"}').when(part == 2, " token=xyz next")
+    message = F.concat("message", F.coalesce(more, F.lit(' {"authorization": "Basic dXNlcjpw"}')))
+    return t.logs().select("log_id", L.mask_secrets(message).alias("message"))

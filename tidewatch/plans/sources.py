@@ -29,16 +29,16 @@ def read_feature_csv(t):
     return S.read_feature_csv(t.spark, f"{root}/*")[0].select("event_id", "value", "extra")
 
 
-@query("S03_parse_metric_payload", plain("SELECT user_id, ts AS timestamp, event_type AS metric_name, value FROM events", "value", "timestamp"))
+@query("S03_parse_metric_payload", plain("SELECT user_id, ts AS timestamp, event_type || ', \"' || user_id || '\"' AS metric_name, value FROM events", "value", "timestamp"))
 def parse_metric_payload(t):
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    rows = t.events.select("user_id", F.floor(F.col("event_id") / 10).alias("batch"), stamp.alias("timestamp"), F.col("event_type").alias("metric_name"), "value")
+    rows = t.events.select("user_id", F.floor(F.col("event_id") / 10).alias("batch"), stamp.alias("timestamp"), F.format_string('%s, "%d"', "event_type", "user_id").alias("metric_name"), "value")
     bodies = rows.groupBy("user_id", "batch").agg(F.collect_list(F.struct("timestamp", "metric_name", "value")).alias("s"))
     kind = F.col("batch") % 4
     listed = F.to_json("s")
     named = F.to_json(F.struct(F.transform("s", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["metric_name"].alias("name"), x["value"].alias("value"))).alias("metrics")))
     columnar = F.to_json(F.struct(F.col("s.timestamp").alias("timestamp"), F.col("s.metric_name").alias("metric_name"), F.col("s.value").alias("value")))
-    text = F.concat(F.lit("value,timestamp,metric_name\n"), F.array_join(F.transform("s", lambda x: F.concat_ws(",", x["value"].cast("string"), x["timestamp"], x["metric_name"])), "\n"))
+    text = F.concat(F.lit("value,timestamp,metric_name\n"), F.array_join(F.transform("s", lambda x: F.concat_ws(",", x["value"].cast("string"), x["timestamp"], F.concat(F.lit('"'), F.replace(x["metric_name"], F.lit('"'), F.lit('""')), F.lit('"')))), "\n"))
     body = F.when(kind == 0, listed).when(kind == 1, named).when(kind == 2, columnar).otherwise(text)
     return S.parse_metric_payload(bodies.select("user_id", body.alias("body")), "body")
 

@@ -188,27 +188,78 @@ def alert_state(t):
     return R.alert_state(ts.threshold_filter(hourly(t), ">", 60), ["service", "metric_name"], "3h", "1h")
 
 
-# The labelled samples of the rule set, with a step that suits the sparse test data.
+# Samples of the rule set: every label set holds several series (job, instance), with a step that suits the sparse data.
+GAUGES = {
+    "http_request_duration_seconds": "value", "kubecost_idle_cost": "value / 2", "container_memory_working_set_bytes": "value",
+    "container_spec_memory_limit_bytes": "event_id % 7 * 20", "compliance_check_status": "event_id % 3", "db_connections_current": "event_id % 50",
+    "db_connections_max": "40", "node_filesystem_avail_bytes": "event_id % 30", "node_filesystem_size_bytes": "100", "edge_storage_free_bytes": "event_id % 25",
+    "edge_storage_total_bytes": "100", "namespace:container_cpu_usage:sum": "event_id % 9", "namespace:resource_quota:cpu": "event_id % 5 + 1",
+}
+ALIKE = ("service", "namespace", "database", "device_id", "pod", "mountpoint")
+
+
+def rule_samples(t):
+    """Events as labelled samples: request counters, and one gauge of every name above per event."""
+    service = F.concat(F.lit("svc-"), (F.col("user_id") % 10).cast("string"))
+    base = F.create_map(
+        *[x for k in ALIKE for x in (F.lit(k), service)], F.lit("job"), F.concat(F.lit("job-"), (F.col("user_id") % 3).cast("string")),
+        F.lit("instance"), F.concat(F.lit("i-"), (F.col("user_id") % 2).cast("string")), F.lit("container"), F.lit("app"),
+    )
+    gauges = [F.struct(F.lit(n).alias("name"), base.alias("labels"), F.expr(x).cast("double").alias("value")) for n, x in GAUGES.items()]
+    counted = F.map_concat(base, F.create_map(F.lit("status"), F.when(F.col("event_type") == "error", "500").otherwise("200")))
+    requests = F.struct(F.lit("http_requests_total").alias("name"), counted.alias("labels"), (F.col("event_id") % 1000).cast("double").alias("value"))
+    return t.events.select(F.col("ts").alias("timestamp"), F.inline(F.array(requests, *gauges)))
+
+
+LABELLED = "'job-' || (user_id % 3) AS job, 'i-' || (user_id % 2) AS instance"
 ERROR_SHARE = f"""(SELECT service, eval_ts, a / nullif(b, 0) AS value FROM (SELECT service, eval_ts, sum(inc) FILTER (status = '500') AS a, sum(inc) AS b
-   FROM {windowed(COUNTERS.replace("SELECT ts,", "SELECT ts, 'job-' || (user_id % 3) AS job,"), 'service, status, job', '5 MINUTE', '5 MINUTE', 'hour')} WHERE n >= 2 GROUP BY 1, 2) WHERE a IS NOT NULL)"""
-LATENCY_NOW = f"""(SELECT service, eval_ts, last_value AS value FROM {windowed(f'(SELECT ts, {SVC} AS service, value FROM events)', 'service', '5 MINUTE', '5 MINUTE', 'hour')})"""
+   FROM {windowed(COUNTERS.replace("SELECT ts,", f"SELECT ts, {LABELLED},"), 'service, status, job, instance', '5 MINUTE', '5 MINUTE', 'hour')} WHERE n >= 2 GROUP BY 1, 2) WHERE a IS NOT NULL)"""
 
 
-@query("T17_rule_set", plain(f"""SELECT 'RequestHighLatency' AS alert, 'critical' AS severity, service, state, value, eval_ts, active_since FROM {state_sql(f"(SELECT * FROM {LATENCY_NOW} WHERE value > 1)", 'service', '5 MINUTE', '5 MINUTE')}
-   UNION ALL SELECT 'ServiceHighErrorRate', 'critical', service, state, value, eval_ts, active_since FROM {state_sql(f"(SELECT * FROM {ERROR_SHARE} WHERE value > 0.05)", 'service', '5 MINUTE', '5 MINUTE')}
-   UNION ALL SELECT 'HighErrorRateAnomaly', 'critical', service, state, value, eval_ts, active_since FROM {state_sql(f"(SELECT * FROM {ERROR_SHARE} WHERE value > 0.2)", 'service', '5 MINUTE', '5 MINUTE')}""", "value", "eval_ts active_since"))
+def now_sql(name):
+    """SQL: the last value of every series of a gauge at every step."""
+    rows = f"(SELECT ts, {SVC} AS service, {LABELLED}, ({GAUGES[name]})::DOUBLE AS value FROM events)"
+    return f"(SELECT service, job, instance, eval_ts, last_value AS value FROM {windowed(rows, 'service, job, instance', '5 MINUTE', '5 MINUTE', 'hour')})"
+
+
+def share_sql(top, bottom, scale=1):
+    return f"(SELECT service, job, instance, eval_ts, a.value / nullif(b.value, 0) * {scale} AS value FROM {now_sql(top)} a JOIN {now_sql(bottom)} b USING (service, job, instance, eval_ts))"
+
+
+EACH = "service, job, instance"
+# Rule: severity, the published expression in SQL, its condition, the labels that tell instances apart, how long it must hold.
+RULE_SQL = {
+    "RequestHighLatency": ("critical", now_sql("http_request_duration_seconds"), "value > 1", EACH, "5 MINUTE"),
+    "ServiceHighErrorRate": ("critical", ERROR_SHARE, "value > 0.05", "service", "5 MINUTE"),
+    "HighErrorRateAnomaly": ("critical", ERROR_SHARE, "value > 0.2", "service", "5 MINUTE"),
+    "UnusedResourceCost": ("info", f"(SELECT service, eval_ts, sum(value) AS value FROM {now_sql('kubecost_idle_cost')} GROUP BY 1, 2)", "value > 100", "service", "24 HOUR"),
+    "HighMemoryUsage": ("warning", share_sql("container_memory_working_set_bytes", "container_spec_memory_limit_bytes"), "value > 0.8", EACH, "10 MINUTE"),
+    "ComplianceViolation": ("critical", now_sql("compliance_check_status"), "value = 0", EACH, "1 MINUTE"),
+    "DatabaseConnectionPoolSaturation": ("warning", share_sql("db_connections_current", "db_connections_max"), "value > 0.8", EACH, "5 MINUTE"),
+    "DiskSpaceRunningOut": ("warning", share_sql("node_filesystem_avail_bytes", "node_filesystem_size_bytes", 100), "value < 10", EACH, "5 MINUTE"),
+    "EdgeDeviceStorageCritical": ("critical", share_sql("edge_storage_free_bytes", "edge_storage_total_bytes", 100), "value < 10", EACH, "5 MINUTE"),
+    "TenantResourceQuotaExceeded": ("warning", f"""(SELECT service, job, instance, eval_ts, a.value FROM {now_sql('namespace:container_cpu_usage:sum')} a
+        JOIN {now_sql('namespace:resource_quota:cpu')} b USING (service, job, instance, eval_ts) WHERE a.value > b.value)""", "true", EACH, "15 MINUTE"),
+}
+
+
+def alerts_sql(name):
+    severity, vector, condition, keys, hold = RULE_SQL[name]
+    return f"SELECT '{name}' AS alert, '{severity}' AS severity, service, state, value, eval_ts, active_since FROM {state_sql(f'(SELECT * FROM {vector} WHERE {condition})', keys, hold, '5 MINUTE')}"
+
+
+@query("T17_rule_set", plain(" UNION ALL ".join(map(alerts_sql, RULE_SQL)), "value", "eval_ts active_since"))
 def rule_set(t):
-    wanted = {"RequestHighLatency", "ServiceHighErrorRate", "HighErrorRateAnomaly"}
-    rules = [r for r in R.rule_set({"error_rate": 0.2}) if r.name in wanted]
-    return R.evaluate_rules(rules, R.Signals(t.labelled(), "5m")).select(
-        "alert", "severity", F.col("labels")["service"].alias("service"), "state", "value", "eval_ts", "active_since")
+    rules = [r for r in R.rule_set({"error_rate": 0.2}) if r.name in RULE_SQL]
+    service = F.coalesce(*[F.col("labels")[k] for k in ALIKE])
+    return R.evaluate_rules(rules, R.Signals(rule_samples(t), "5m")).select("alert", "severity", service.alias("service"), "state", "value", "eval_ts", "active_since")
 
 
-@query("T18_active_alerts", plain(f"""SELECT 'RequestHighLatency' AS "Alert", service AS "Service", 'critical' AS "Severity", 'firing' AS "Status", eval_ts AS "Time"
-   FROM {state_sql(f"(SELECT * FROM {LATENCY_NOW} WHERE value > 1)", 'service', '5 MINUTE', '5 MINUTE')} WHERE state = 'firing'""", ts='"Time"'))
+@query("T18_active_alerts", plain(f"""SELECT alert AS "Alert", service AS "Service", severity AS "Severity", state AS "Status", eval_ts AS "Time"
+   FROM ({alerts_sql('RequestHighLatency')} UNION ALL {alerts_sql('ServiceHighErrorRate')} UNION ALL {alerts_sql('ComplianceViolation')}) WHERE state = 'firing'""", ts='"Time"'))
 def active_alerts(t):
-    rules = [r for r in R.rule_set() if r.name == "RequestHighLatency"]
-    return R.active_alerts(R.evaluate_rules(rules, R.Signals(t.labelled(), "5m")))
+    rules = [r for r in R.rule_set() if r.name in ("RequestHighLatency", "ServiceHighErrorRate", "ComplianceViolation")]
+    return R.active_alerts(R.evaluate_rules(rules, R.Signals(rule_samples(t), "5m")))
 
 
 @query("T19_slo_availability", plain(f"SELECT service, eval_ts, 100 * (1 - coalesce(sum(value) FILTER (status = '500'), 0) / nullif(sum(value), 0)) AS value FROM {RATES} GROUP BY 1, 2 HAVING sum(value) != 0", "value", "eval_ts"))

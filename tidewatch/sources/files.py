@@ -93,13 +93,17 @@ def parse_metric_payload(df: DataFrame, column: str) -> DataFrame:
     )
     zipped = F.when(columnar["value"].isNotNull() & (F.size(columnar["value"]) > 0), zipped)
     lines = F.split(F.when(~is_list & ~is_object, F.trim(body)), "\r?\n")
-    header = F.transform(F.split(lines[0], ","), lambda c: F.trim(c))
-    at = lambda cells, name: F.try_element_at(cells, F.nullif(F.array_position(header, name), F.lit(0)).cast("int"))
+    cells = lambda line: F.transform(
+        F.regexp_extract_all(line, F.lit(r'(?:^|,)(\s*"(?:[^"]|"")*"\s*|[^,]*)'), F.lit(1)),
+        lambda c: F.when(F.trim(c).startswith('"'), F.replace(F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(F.trim(c)),
+    )
+    header = cells(lines[0])
+    at = lambda found, name: F.try_element_at(found, F.nullif(F.array_position(header, name), F.lit(0)).cast("int"))
     from_csv = F.transform(
         F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
         lambda line: F.struct(
-            F.trim(at(F.split(line, ","), "timestamp")).alias("timestamp"), F.trim(at(F.split(line, ","), "metric_name")).alias("metric_name"),
-            F.lit(None).cast("string").alias("name"), at(F.split(line, ","), "value").try_cast("double").alias("value"),
+            at(cells(line), "timestamp").alias("timestamp"), at(cells(line), "metric_name").alias("metric_name"),
+            F.lit(None).cast("string").alias("name"), at(cells(line), "value").try_cast("double").alias("value"),
         ),
     )
     samples = F.coalesce(listed, wrapped, zipped, from_csv)

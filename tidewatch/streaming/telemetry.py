@@ -85,7 +85,9 @@ def upsert_batch(path: str, bad_path: str, key: str, ts: str) -> Callable[[DataF
     def write(batch: DataFrame, batch_id: int) -> None:
         good, bad = good_and_bad(batch) if CORRUPT in batch.columns else (batch, None)
         rest = [c for c in good.columns if c != key]
-        newest = good.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(ts, *[c for c in rest if c != ts])).alias("_r"))
+        # Maps have no order; their JSON text does, so of equal times one row wins on every run.
+        tie = [F.to_json(c) if isinstance(good.schema[c].dataType, T.MapType) else F.col(c) for c in rest if c != ts]
+        newest = good.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(ts, *tie)).alias("_r"))
         newest.select(key, "_r.*").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         if bad is not None:
             bad.write.mode("overwrite").json(f"{bad_path}/batch={batch_id}")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from math import ceil
 
@@ -39,9 +40,29 @@ PLACE = ("sequence_id", "offset")
 #: an ASCII mark other than an apostrophe follows. Such parts recur, so each worker keeps the tokens of up to so many.
 _PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,!$%&*#;:?)\"])|[^ \n]+")
 _KEPT = 600_000
+#: A part of nothing but Latin letters is one word to the tokenizer; its model can be asked without the steps before it.
+_LETTERS = re.compile(r"[a-zà-öø-ÿ]+").fullmatch
 _TOKENS: dict[str, tuple[object, dict[str, bytes]]] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    letter = {b: chr(b) if b in plain else chr(next(other)) for b in range(256)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+
+_BYTES = _byte_letters()
+
+
+def _word_by_word(tokenizer) -> bool:
+    """Whether the model alone gives the tokenizer's ids for words of letters."""
+    probe = ["word", "unheardof", "é", "straße", "ciónñandü", "a"]
+    alone = [[t.id for t in tokenizer.model.tokenize(p.translate(_BYTES))] for p in probe]
+    return alone == [tokenizer.encode(p, add_special_tokens=False).ids for p in probe]
+
+
 def _encoder(path: str):
     """``encode(texts)``: each text's ids as little-endian 32-bit bytes."""
     from tokenizers import Tokenizer
@@ -49,16 +70,22 @@ def _encoder(path: str):
     if path not in _TOKENS:
         _TOKENS[path] = (Tokenizer.from_file(path), {})
     tokenizer, known = _TOKENS[path]
+    word = tokenizer.model.tokenize if _word_by_word(tokenizer) else None
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         parts = [_PART.findall(t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
         if len(known) > _KEPT:
             known.clear()
         new = list(set().union(*parts).difference(known))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for part, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[part] = np.array(found.ids, "<u4").tobytes()
+        rest = []
+        for part in new:
+            low = part.lower()
+            if word and _LETTERS(low):
+                known[part] = array("I", [t.id for t in word(low if low.isascii() else low.translate(_BYTES))]).tobytes()
+            else:
+                rest.append(part)
+        for part, found in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[part] = array("I", found.ids).tobytes()
         for p in parts:
             yield b"".join(map(known.__getitem__, p))
 

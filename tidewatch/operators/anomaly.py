@@ -44,7 +44,14 @@ def dynamic_threshold(
     min_history: int = MIN_HISTORY, max_history: int = MAX_HISTORY, tie: Sequence[str] = (),
 ) -> DataFrame:
     """Flag new samples outside mean +- sensitivity deviations of their history; short histories flag nothing."""
-    rows = new.join(history_stats(history, by, max_history, tie), list(by), "left")
+    return flag_outside(new, history_stats(history, by, max_history, tie), by, sensitivity, min_history)
+
+
+def flag_outside(
+    new: DataFrame, stats: DataFrame, by: Sequence[str] = METRIC_KEY, sensitivity: float = SENSITIVITY, min_history: int = MIN_HISTORY,
+) -> DataFrame:
+    """``dynamic_threshold`` with statistics of the history that are already there."""
+    rows = new.join(stats, list(by), "left")
     usable = F.col("hist_n") >= min_history
     lower = F.when(usable, F.col("hist_mean") - sensitivity * F.col("hist_std"))
     upper = F.when(usable, F.col("hist_mean") + sensitivity * F.col("hist_std"))

@@ -75,7 +75,7 @@ def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int
     number does not matter and none collide; shipping method and priority likewise.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
+    from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
     rows = lead_time_features(leads)
@@ -89,7 +89,9 @@ def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int
                 inputCols=[f"_i_{c}" for c in names], outputCols=[f"_m_{c}" for c in names], labelCol="lead_time_days",
                 targetType="continuous", handleInvalid="keep", smoothing=1.0,
             ),
-            VectorAssembler(inputCols=[*[f"_m_{c}" for c in names], *numbers], outputCol="_features", handleInvalid="keep"),
+            # Adding nothing drops the mark that these columns hold categories: the forest is to see plain numbers.
+            SQLTransformer(statement=f"SELECT *, {', '.join(f'_m_{c} + 0.0D AS _f_{c}' for c in names)} FROM __THIS__"),
+            VectorAssembler(inputCols=[*[f"_f_{c}" for c in names], *numbers], outputCol="_features", handleInvalid="keep"),
             RandomForestRegressor(
                 featuresCol="_features", labelCol="lead_time_days", predictionCol="_days", numTrees=trees, maxDepth=depth, seed=seed
             ),
@@ -102,7 +104,7 @@ def predict_lead_time(model, requests: DataFrame) -> DataFrame:
     rows = model.transform(requests)
     days = F.greatest(F.lit(1.0), _whole(F.col("_days")))
     rows = rows.withColumn("lead_time_days", days)
-    return rows.drop("_features", "_days", *[c for c in rows.columns if c.startswith(("_i_", "_m_"))])
+    return rows.drop("_features", "_days", *[c for c in rows.columns if c.startswith(("_i_", "_m_", "_f_"))])
 
 
 def baseline_lead_time(leads: DataFrame, wanted: DataFrame) -> DataFrame:

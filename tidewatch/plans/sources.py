@@ -43,19 +43,31 @@ def parse_metric_payload(t):
     return S.parse_metric_payload(bodies.select("user_id", body.alias("body")), "body")
 
 
-@query("S04_read_loadtest_json")
+SCENARIO = "list_value('anomaly_detection', 'root_cause_analysis', 'predictive_alerting', 'dashboard_load')[user_id % 4 + 1]"
+
+
+@query("S04_read_loadtest_json", f"""SELECT {SCENARIO} AS scenario, strftime(date_trunc('second', max(ts)), '%Y-%m-%d %H:%M:%S.%f') AS timestamp, max(value) AS max, min(value) AS min,
+   count(*)::DOUBLE AS count, 0.0::DOUBLE AS p99, count(*) FILTER (event_type = 'error')::DOUBLE AS failed FROM events GROUP BY 1""")
 def read_loadtest_json(t):
-    root = scratch_path(t.spark, "loadtest")
+    """Summary documents of each scenario, written as a test run writes them, through the reader."""
     from tidewatch.operators import loadtest as B
 
+    root = scratch_path(t.spark, "loadtest")
     names = F.array(*[F.lit(s) for s in B.SCENARIOS])
-    points = t.events.select(names[(F.col("user_id") % 4).cast("int")].alias("scenario"), F.lit("Point").alias("type"),
-        F.concat(names[(F.col("user_id") % 4).cast("int")], F.lit("_latency")).alias("metric"), F.struct(F.col("ts").alias("time"), F.col("value").alias("value")).alias("data"))
+    value = lambda c, n: F.create_map(F.lit(n), c.cast("double"))
+    entry = lambda c: F.struct(c.alias("values"))
+    runs = t.events.groupBy(names[(F.col("user_id") % 4).cast("int")].alias("scenario")).agg(
+        (F.unix_seconds(F.max("ts")) * 1000).alias("timestamp"),
+        F.create_map(
+            F.lit("http_req_duration"), entry(F.map_concat(value(F.max("value"), "max"), value(F.min("value"), "min"), value(F.count("*"), "count"))),
+            F.lit("http_req_failed"), entry(value(F.count_if(F.col("event_type") == "error"), "count")),
+        ).alias("metrics"),
+    )
     for name in B.SCENARIOS:
-        points.where(F.col("scenario") == name).drop("scenario").write.json(f"{root}/{name}")
-    read = t.spark.read.schema("type string, metric string, data struct<time:timestamp,value:double>").json(f"{root}/*")
-    rows = read.select(F.regexp_replace("metric", "_latency$", "").alias("scenario"), F.col("data.value").alias("latency_ms"), F.lit(False).alias("failed"))
-    return B.check_thresholds(B.summarise_load(rows))
+        runs.where(F.col("scenario") == name).drop("scenario").write.json(f"{root}/k6-{name}-1.json")
+    read = S.read_loadtest_json(t.spark, root)
+    took = F.col("metrics")["http_req_duration"]
+    return read.select("scenario", "timestamp", *[took[n].alias(n) for n in ("max", "min", "count", "p99")], F.col("metrics")["http_req_failed"]["count"].alias("failed"))
 
 
 ARCHIVED = "SELECT event_id, user_id, ts AS timestamp, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour FROM events"

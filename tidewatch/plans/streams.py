@@ -7,7 +7,7 @@ from tidewatch.plans.alerting import base, keyed
 from tidewatch.plans.catalog import ORACLES, plain, query
 from tidewatch.plans.selectors import LOGS
 from tidewatch.plans.timeseries import recorded_samples
-from tidewatch.session import ROCKSDB, scratch_path
+from tidewatch.session import ROCKSDB, materialise, scratch_path
 from tidewatch.sources.files import ISO_MICROS
 from tidewatch.streaming import stateful as Z
 from tidewatch.streaming import telemetry as S
@@ -66,13 +66,16 @@ def upsert_sink(t):
     return S.current_rows(t.spark, path, "trace_id").select("trace_id", "timestamp", "level", "span_id")
 
 
-@query("S10_periodic_scoring")
+@query("S10_periodic_scoring", """SELECT event_type AS metric_name, coalesce(c >= 30 AND (value < m - 3 * s OR value > m + 3 * s), false) AS is_anomaly, count(*)::BIGINT AS n
+   FROM events JOIN (SELECT event_type, avg(value) AS m, stddev_samp(value) AS s, count(*) AS c FROM (
+     SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, value DESC) AS r FROM events) WHERE r <= 1000 GROUP BY 1) USING (event_type) GROUP BY 1, 2""")
 def periodic_scoring(t):
     metrics = t.metrics().select("timestamp", "metric_name", "value", "service")
-    history = metrics
+    # The history's statistics are worked out once, not in every batch.
+    stats = materialise(A.history_stats(metrics, tie=["value"]), "history-stats")
     path, checkpoint = scratch_path(t.spark, "scored"), scratch_path(t.spark, "scored-checkpoint")
     stream = S.good_and_bad(S.telemetry_stream(t.spark, "metrics", folder=as_files(t, metrics, "scoring-in"), max_files=2))[0]
-    S.run_to_end(S.periodic_scoring(stream, lambda batch: A.dynamic_threshold(history, batch), path, checkpoint))
+    S.run_to_end(S.periodic_scoring(stream, lambda batch: A.flag_outside(batch, stats), path, checkpoint))
     rows = t.spark.read.schema("metric_name string, is_anomaly boolean").json(path)
     return rows.groupBy("metric_name", "is_anomaly").agg(F.count("*").alias("n"))
 

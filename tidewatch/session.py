@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,12 +30,13 @@ def local_session(cores: int | str = 8, app: str = "tidewatch") -> SparkSession:
 
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of its own, below the working machine's temporary folder.
+    Only a local session that names none gets a folder of its own, which goes when the program ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -42,12 +46,23 @@ def scratch_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tidewatch-scratch-")
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[app], ignore_errors=True)
     return _LOCAL_SCRATCH[app]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/tidewatch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch root."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below this application's folder in the scratch root."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote to the scratch root; call it once all results have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df, name: str):
@@ -55,3 +70,18 @@ def materialise(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Needless where they have it already: from ``--py-files``, from an installed package or from ``PYTHONPATH``.
+    """
+    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if app in _SHIPPED or root in known or not os.path.isdir(package) or os.path.basename(root) in ("site-packages", "dist-packages"):
+        return
+    _SHIPPED.add(app)
+    with tempfile.TemporaryDirectory() as folder:
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "tidewatch-package"), "zip", root, "tidewatch"))

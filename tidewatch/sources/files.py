@@ -123,9 +123,9 @@ RESULT_SCHEMA = "timestamp bigint, metrics map<string,struct<values:map<string,d
 
 
 def read_loadtest_json(spark: SparkSession, path: str) -> DataFrame:
-    """Summary documents ``k6-*.json``: scenario (from the file name), time, and statistics per metric."""
-    rows = spark.read.schema(RESULT_SCHEMA).option("multiLine", True).option("pathGlobFilter", "k6-*.json").json(path)
-    name = F.col("_metadata.file_name")
+    """Summary documents ``k6-*.json`` (files, or folders of files): scenario (from that name), time, and statistics per metric."""
+    rows = spark.read.schema(RESULT_SCHEMA).option("multiLine", True).json(f"{path}/k6-*.json")
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"/(k6-[^/]*\.json)", 1)
     stats = F.transform_values(
         "metrics",
         lambda _, v: F.struct(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.session import ship
 
 # File schemas seen so far: reading a footer costs a job, once per file is enough.
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -18,6 +19,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship(spark)
         self.spark = spark
         self.folder = folder
 

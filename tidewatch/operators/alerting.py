@@ -136,7 +136,7 @@ def to_alerts(findings: DataFrame, kind: str, ts: str = "timestamp") -> DataFram
     )
 
 
-def suppress_duplicates(alerts: DataFrame, ident: str, window: str = DEDUPE_WINDOW, key: str = "dedupe_key", chunk: str = "1d") -> DataFrame:
+def suppress_duplicates(alerts: DataFrame, ident: str, window: str = DEDUPE_WINDOW, key: str = "dedupe_key", chunk: str | None = None) -> DataFrame:
     """Drop an alert if one of its key was accepted less than ``window`` before; exact for keys of any size."""
     kept = cycle_outcomes(alerts, key, ident, "timestamp", 1, window, chunk).where(F.col("outcome") == 1)
     return alerts.join(kept.select(ident), ident, "left_semi")

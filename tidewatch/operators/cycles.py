@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, step_start
 from tidewatch.operators.ordered import in_order, whole_groups
+from tidewatch.operators.sequence import suggest_chunk
 
 NEVER = -1
 MAP_SCHEMA = (
@@ -136,13 +137,13 @@ def _replay(threshold: int, timeout: int):
 
 
 def cycle_outcomes(
-    events: DataFrame, key: str, ident: str, ts: str, threshold: int, timeout: str, chunk: str = "1d"
+    events: DataFrame, key: str, ident: str, ts: str, threshold: int, timeout: str, chunk: str | None = None
 ) -> DataFrame:
     """``ident`` and outcome of every event: 0 counted, 1 trips, 2 swallowed. Events of one time go in ``ident`` order.
 
-    One task holds one key's events of one ``chunk`` at a time.
+    One task holds one key's events of one ``chunk`` at a time; left out, the chunk follows from the rows.
     """
-    width, gap = micros(chunk), micros(timeout)
+    width, gap = micros(chunk or suggest_chunk(events, [key], ts)), micros(timeout)
     rows = events.select(
         F.col(key).cast("string").alias("_key"), F.col(ident).alias("_id"), F.unix_micros(ts).alias("_us"),
         step_start(F.col(ts), width).alias("_chunk"),

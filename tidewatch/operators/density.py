@@ -2,8 +2,9 @@
 
 Points fall into cells whose diagonal is ``eps``. All points of a cell that holds ``min_points`` are core points, so they
 need no comparison at all. What is left are cells with fewer points; only their points are compared, and only with cells
-that can reach them. A cell without enough points has few of them, so the number of comparisons stays a small multiple
-of the number of points even if one cell holds most of the table.
+that can reach them, found by blocks over the most spread dimensions. A cell without enough points has few of them, so one
+cell that holds most of the table costs no more than a pass over it. Points that fill far more than four dimensions
+thinly have many cells within reach of each other; project such points first.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_DIMENSIONS = 2
+from tidewatch.session import materialise
+
+BLOCK_DIMENSIONS = 4
 
 
 def _sum(columns) -> Column:
@@ -36,14 +39,17 @@ def noise_keys(df: DataFrame, key: str, dims: Sequence[str], eps: float = 0.5, m
     side *= 1 - 1e-9
     points = df.select(F.col(key).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(dims)])
     cell = F.array(*[F.floor(F.col(f"_x{i}") / side) for i in range(d)])
-    points = points.withColumn("_cell", cell)
+    # The points are read once; every step below starts from the written copy.
+    points = materialise(points.withColumn("_cell", cell), "density-points")
     sizes = points.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
     sparse_cells = sizes.where(F.col("_size") < min_points).select("_cell")
 
-    # Cells that may hold neighbours of a sparse cell: blocks over the first dimensions find them by an equi-join.
+    # Cells that may hold neighbours of a sparse cell: blocks over the most spread dimensions find them by an equi-join.
     k = min(d, BLOCK_DIMENSIONS)
     reach = math.ceil(eps / side)
-    block = lambda c: [F.floor(c[i] / reach) for i in range(k)]
+    spread = points.agg(*[F.approx_count_distinct(F.floor(F.col("_cell")[i] / reach)).alias(f"s{i}") for i in range(d)]).first()
+    widest = sorted(range(d), key=lambda i: (-spread[f"s{i}"], i))[:k]
+    block = lambda c: [F.floor(c[i] / reach) for i in widest]
     blocks = [f"_b{i}" for i in range(k)]
     around = F.array(*[F.array(*[F.lit(o) for o in offset]) for offset in itertools.product((-1, 0, 1), repeat=k)])
     near = sparse_cells.select(F.col("_cell").alias("_sparse"), F.explode(around).alias("_o"))

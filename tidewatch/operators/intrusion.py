@@ -47,7 +47,7 @@ def _window(ts: str, width: str) -> Column:
     return F.timestamp_micros(step_start(F.col(ts), micros(width))).alias("window_start")
 
 
-def network_features(requests: DataFrame, width: str = "1h", chunk: str = "1h") -> DataFrame:
+def network_features(requests: DataFrame, width: str = "1h", chunk: str | None = None) -> DataFrame:
     """Traffic per address and window; intervals are to the address's request before."""
     rows = with_previous(requests, ["ip_address"], {"_before": "timestamp"}, tie=["request_id"], chunk=chunk)
     gap = (F.unix_micros("timestamp") - F.unix_micros("_before")) / 1_000_000
@@ -65,7 +65,7 @@ def network_features(requests: DataFrame, width: str = "1h", chunk: str = "1h")
     )
 
 
-def user_features(activity: DataFrame, width: str = "1d", gap: str = "30m", chunk: str = "1d") -> DataFrame:
+def user_features(activity: DataFrame, width: str = "1d", gap: str = "30m", chunk: str | None = None) -> DataFrame:
     """Behaviour per user and window.
 
     ``activity`` has user_id, timestamp and action (login, page_view, failed_login, password_change, profile_change,

@@ -169,7 +169,7 @@ def recommendations(products: DataFrame, stats: DataFrame, leads: DataFrame, req
     )
 
 
-def low_stock_events(movements: DataFrame, threshold: float, opening: float, tie: Sequence[str], chunk: str = "30d") -> DataFrame:
+def low_stock_events(movements: DataFrame, threshold: float, opening: float, tie: Sequence[str], chunk: str | None = None) -> DataFrame:
     """Stock movements (product_id, timestamp, delta) after which the stock fell below the threshold."""
     rows = running_total(movements, ["product_id"], {"_moved": "delta"}, tie=tie, chunk=chunk)
     level = F.lit(opening) + F.col("_moved")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.labels import calendar
 from tidewatch.operators.quantiles import exact_quantiles
-from tidewatch.operators.sequence import cumulative_over_value, with_last_known
+from tidewatch.operators.sequence import cumulative_over_value, suggest_chunk, with_last_known
 
 METRIC_KEY = ("metric_name",)
 
@@ -36,11 +36,12 @@ def dedup_samples(
 
 
 def interpolate_time(
-    samples: DataFrame, by: Sequence[str] = METRIC_KEY, ts: str = "timestamp", value: str = "value", chunk: str = "1h"
+    samples: DataFrame, by: Sequence[str] = METRIC_KEY, ts: str = "timestamp", value: str = "value", chunk: str | None = None
 ) -> DataFrame:
     """Missing values linear in time between their neighbours; the last value closes a trailing gap; a leading gap is dropped."""
     known_at = F.when(F.col(value).isNotNull(), F.unix_micros(ts))
     rows = samples.withColumn("_at", known_at)
+    chunk = chunk or suggest_chunk(rows, by, ts)
     rows = with_last_known(rows, by, {"_v0": value, "_t0": "_at"}, ts, chunk=chunk)
     rows = with_last_known(rows, by, {"_v1": value, "_t1": "_at"}, ts, chunk=chunk, ahead=True)
     share = (F.unix_micros(ts) - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))
@@ -65,12 +66,12 @@ def to_wide(samples: DataFrame, columns: Sequence[str], at: str = "timestamp", n
     return samples.groupBy(at).pivot(name, list(columns)).agg(F.avg(value))
 
 
-def ffill(samples: DataFrame, by: Sequence[str] = METRIC_KEY, ts: str = "timestamp", value: str = "value", chunk: str = "1h") -> DataFrame:
+def ffill(samples: DataFrame, by: Sequence[str] = METRIC_KEY, ts: str = "timestamp", value: str = "value", chunk: str | None = None) -> DataFrame:
     """Carry the last value forward in each series."""
     return with_last_known(samples, by, {"_last": value}, ts, chunk=chunk).withColumn(value, F.col("_last")).drop("_last")
 
 
-def ffill_wide(wide: DataFrame, columns: Sequence[str], at: str = "timestamp", chunk: str = "30d") -> DataFrame:
+def ffill_wide(wide: DataFrame, columns: Sequence[str], at: str = "timestamp", chunk: str | None = None) -> DataFrame:
     """Carry forward in every column of a wide matrix."""
     rows = with_last_known(wide.withColumn("_all", F.lit(0)), ["_all"], {f"_f_{c}": c for c in columns}, at, chunk=chunk)
     return rows.select(*[c for c in wide.columns if c not in columns], *[F.col(f"_f_{c}").alias(c) for c in columns])

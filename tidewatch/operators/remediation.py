@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros
 from tidewatch.operators.cycles import cycle_outcomes
-from tidewatch.operators.sequence import running_total, with_last_known, with_previous
+from tidewatch.operators.sequence import running_total, suggest_chunk, with_last_known, with_previous
 
 SEVERITY_ORDER = {"low": 0, "medium": 1, "high": 2, "critical": 3}
 MAX_REPLICAS = 10
@@ -76,7 +76,7 @@ def rollback_plan(executions: DataFrame) -> DataFrame:
     )
 
 
-def circuit_state(failures: DataFrame, context: str, ident: str, threshold: int, reset: str, chunk: str = "1d") -> DataFrame:
+def circuit_state(failures: DataFrame, context: str, ident: str, threshold: int, reset: str, chunk: str | None = None) -> DataFrame:
     """What each failure meets: counted, the one that opens the breaker, or refused while it is open."""
     names = F.create_map(F.lit(0), F.lit("counted"), F.lit(1), F.lit("opened"), F.lit(2), F.lit("refused"))
     out = cycle_outcomes(failures, context, ident, "timestamp", threshold, reset, chunk)
@@ -84,14 +84,14 @@ def circuit_state(failures: DataFrame, context: str, ident: str, threshold: int,
 
 
 def eject_outliers(
-    requests: DataFrame, host: str, tie: Sequence[str], errors: int = 5, interval: str = "30s", ejection: str = "30s", chunk: str = "1h",
+    requests: DataFrame, host: str, tie: Sequence[str], errors: int = 5, interval: str = "30s", ejection: str = "30s", chunk: str | None = None,
 ) -> DataFrame:
     """Hosts with ``errors`` server errors in a row within one interval, and how long they stay out.
 
     A run of errors counts wherever it lies: every ``errors``-th error of it ejects if the last ``errors`` of them span
     no more than the interval. Runs are counted by sums carried over chunks, so a host of any size is split.
     """
-    order = {"ts": "timestamp", "tie": tie, "chunk": chunk}
+    order = {"ts": "timestamp", "tie": tie, "chunk": chunk or suggest_chunk(requests, [host])}
     rows = requests.withColumn("_bad", (F.col("status_code") >= 500).cast("long"))
     rows = running_total(rows, [host], {"_errors": "_bad"}, **order)
     rows = rows.withColumn("_at_good", F.when(F.col("_bad") == 0, F.col("_errors")))
@@ -108,8 +108,9 @@ def eject_outliers(
     )
 
 
-def health_state(probes: DataFrame, target: str, tie: Sequence[str], good: int = 3, bad: int = 2, chunk: str = "1d") -> DataFrame:
+def health_state(probes: DataFrame, target: str, tie: Sequence[str], good: int = 3, bad: int = 2, chunk: str | None = None) -> DataFrame:
     """State after each probe: healthy after ``good`` successes in a row, unhealthy after ``bad`` failures in a row."""
+    chunk = chunk or suggest_chunk(probes, [target])
     rows, last = probes, "ok"
     seen = ["ok"]
     for i in range(1, max(good, bad)):

@@ -2,7 +2,8 @@
 
 A window over a whole series puts that series into one task. Each helper here cuts a series into time chunks, works
 inside the chunks, summarises every chunk in one row, and carries what crosses a boundary over those summaries only.
-``chunk`` is the longest stretch of one series that one task sees.
+``chunk`` is the longest stretch of one series that one task sees; left out, the rows are counted and the widest stretch
+is taken in which no series holds more than a task should.
 """
 
 from __future__ import annotations
@@ -15,9 +16,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, step_start
 
-CHUNK = "1h"
-
-
 def suggest_chunk(
     df: DataFrame, keys: Sequence[str], ts: str = "timestamp", rows_per_task: int = 5_000_000,
     candidates: Sequence[str] = ("1d", "6h", "1h", "10m", "1m", "10s", "1s"),
@@ -42,9 +40,10 @@ def _order(ts: str, tie: Sequence[str]) -> list[Column]:
 
 def with_previous(
     df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], ts: str = "timestamp",
-    tie: Sequence[str] = (), chunk: str = CHUNK,
+    tie: Sequence[str] = (), chunk: str | None = None,
 ) -> DataFrame:
     """Add, for each new name, the named column's value in the row before within the series."""
+    chunk = chunk or suggest_chunk(df, keys, ts)
     rows = _chunked(df, ts, chunk)
     inside = W.partitionBy(*keys, "_chunk").orderBy(*_order(ts, tie))
     packed = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
@@ -60,9 +59,10 @@ def with_previous(
 
 def with_last_known(
     df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], ts: str = "timestamp",
-    tie: Sequence[str] = (), chunk: str = CHUNK, ahead: bool = False,
+    tie: Sequence[str] = (), chunk: str | None = None, ahead: bool = False,
 ) -> DataFrame:
     """Add, for each new name, the last non-null value at or before the row (or the next one, with ``ahead``)."""
+    chunk = chunk or suggest_chunk(df, keys, ts)
     rows = _chunked(df, ts, chunk)
     order = _order(ts, tie)
     if ahead:
@@ -91,9 +91,10 @@ def with_last_known(
 
 def running_total(
     df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], ts: str = "timestamp",
-    tie: Sequence[str] = (), chunk: str = CHUNK,
+    tie: Sequence[str] = (), chunk: str | None = None,
 ) -> DataFrame:
     """Add, for each new name, the running sum of the named column up to and including the row."""
+    chunk = chunk or suggest_chunk(df, keys, ts)
     rows = _chunked(df, ts, chunk)
     inside = W.partitionBy(*keys, "_chunk").orderBy(*_order(ts, tie)).rowsBetween(W.unboundedPreceding, 0)
     across = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
@@ -106,12 +107,13 @@ def running_total(
 
 
 def sessions(
-    df: DataFrame, keys: Sequence[str], gap: str, sums: Mapping[str, Column], ts: str = "timestamp", chunk: str = CHUNK
+    df: DataFrame, keys: Sequence[str], gap: str, sums: Mapping[str, Column], ts: str = "timestamp", chunk: str | None = None
 ) -> DataFrame:
     """Sessions per key: runs of rows less than ``gap`` apart, with start, end and the given sums.
 
     Runs are first built inside a chunk; what remains per key is at most a few runs per chunk, which are then merged.
     """
+    chunk = chunk or suggest_chunk(df, keys, ts)
     limit = micros(gap)
     rows = _chunked(df, ts, chunk).withColumn("_us", F.unix_micros(ts))
     inside = W.partitionBy(*keys, "_chunk").orderBy("_us")

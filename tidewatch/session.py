@@ -83,5 +83,10 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED or root in known or not os.path.isdir(package) or os.path.basename(root) in ("site-packages", "dist-packages"):
         return
     _SHIPPED.add(app)
-    with tempfile.TemporaryDirectory() as folder:
-        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "tidewatch-package"), "zip", root, "tidewatch"))
+    if spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+        return
+    # Executors fetch the archive from the driver, also later ones: it stays as long as the program runs.
+    folder = tempfile.mkdtemp(prefix="tidewatch-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "tidewatch-package"), "zip", root, "tidewatch"))

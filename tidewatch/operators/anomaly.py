@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, seconds, step_start
+from tidewatch.functions.labels import one_row_per_hit
 from tidewatch.operators.prepare import METRIC_KEY, recent
 from tidewatch.operators.quantiles import exact_quantiles
 
@@ -287,6 +289,35 @@ def generate_rules(thresholds: DataFrame, comparison: str = ">", hold: str = "5m
     )
 
 
+def rules_from_config(thresholds: DataFrame, configs: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """Rule rows for configured metrics with a limit: own alert name, query, comparison, hold, severity, dashboard, labels
+    and annotations. A configuration (name, alert_name, query, ...) is an expression on the metric's row: no join."""
+    limit = F.format_string("%.6f", F.col("threshold"))
+    text = lambda pairs: F.map_from_arrays(F.array(*[F.lit(k) for k in pairs]), F.array(*[v if isinstance(v, Column) else F.lit(str(v)) for v in pairs.values()]))
+    hits = []
+    for c in configs:
+        labels = {"severity": c.get("severity", "warning"), "type": "dynamic_threshold", "metric": c["name"], **c.get("labels", {})}
+        notes = {
+            "summary": f"{c['alert_name']} - Dynamic threshold exceeded",
+            "description": F.concat(F.lit("{{ $labels.instance }} has exceeded the dynamic threshold of "), limit, F.lit(f" for {c['name']}")),
+            "threshold_value": limit, "dashboard": c.get("dashboard", ""), **c.get("annotations", {}),
+        }
+        rule = F.struct(
+            F.lit("dynamic_thresholds").alias("group"), F.lit(c["alert_name"]).alias("alert"), F.concat_ws(" ", F.lit(c["query"]), F.lit(c.get("comparison", ">")), limit).alias("expr"),
+            F.lit(c.get("for", "5m")).alias("for"), text(labels).alias("labels"), text(notes).alias("annotations"),
+        )
+        hits.append(F.when((F.col("metric_name") == c["name"]) & F.col("threshold").isNotNull(), rule))
+    return one_row_per_hit(thresholds.select("metric_name", "threshold"), hits).drop("metric_name", "threshold")
+
+
+def rules_document(rules: DataFrame) -> DataFrame:
+    """One document of groups; it holds as many rules as there are configured metrics."""
+    fields = [c for c in rules.columns if c != "group"]
+    groups = rules.groupBy("group").agg(F.sort_array(F.collect_list(F.to_json(F.struct(*fields)))).alias("_r"))
+    text = F.concat(F.lit('{"name":"'), F.col("group"), F.lit('","rules":['), F.array_join("_r", ","), F.lit("]}"))
+    return groups.agg(F.concat(F.lit('{"groups":['), F.array_join(F.sort_array(F.collect_list(text)), ","), F.lit("]}")).alias("document"))
+
+
 def service_features(calls: DataFrame, width: str = "1h", by: Sequence[str] = ("service", "endpoint")) -> DataFrame:
     """Latency quantiles, errors, throughput and users per service, endpoint and window.
 

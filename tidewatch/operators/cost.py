@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.session import materialise
+
 from tidewatch.functions.labels import one_row_per_hit
 
 # Shared services, tenants, budgets, quota defaults.
@@ -44,10 +46,14 @@ def share_costs(
 ) -> DataFrame:
     """Spread the cost of the shared rows over the tenants of the same period, in proportion to their weight."""
     is_shared = F.col("namespace").isin(SHARED_SERVICES) if shared is None else shared
-    own = costs.where(~is_shared).groupBy(*period, tenant).agg(F.sum("cost").alias("cost"), F.sum(weight).alias("_w"))
-    totals = own.groupBy(*period).agg(F.sum("_w").alias("_all"))
-    pool = costs.where(is_shared).groupBy(*period).agg(F.sum("cost").alias("_pool"))
-    rows = own.join(totals, list(period)).join(pool, list(period), "left")
+    own = lambda c: F.when(~is_shared, c)
+    # One pass: tenants and the pool are sums of the same rows; what is left holds one row per period and tenant.
+    sums = costs.groupBy(*period, tenant).agg(
+        F.sum(own(F.col("cost"))).alias("cost"), F.sum(own(F.col(weight))).alias("_w"), F.count_if(~is_shared).alias("_rows"),
+        F.sum(F.when(is_shared, F.col("cost"))).alias("_shared"),
+    )
+    whole = W.partitionBy(*period)
+    rows = sums.withColumns({"_all": F.sum("_w").over(whole), "_pool": F.sum("_shared").over(whole)}).where("_rows > 0")
     part = F.coalesce(F.col("_pool"), F.lit(0.0)) * F.coalesce(F.try_divide("_w", "_all"), F.lit(0.0))
     return rows.select(*period, tenant, "cost", part.alias(out), (F.col("cost") + part).alias("total_cost"))
 
@@ -55,9 +61,8 @@ def share_costs(
 def share_idle(costs: DataFrame, idle: DataFrame, tenant: str, period: Sequence[str], weight: str = "cpu") -> DataFrame:
     """Spread idle cost (period columns, idle_cost) over the tenants of its period."""
     own = costs.groupBy(*period, tenant).agg(F.sum("cost").alias("cost"), F.sum(weight).alias("_w"))
-    totals = own.groupBy(*period).agg(F.sum("_w").alias("_all"))
     pool = idle.groupBy(*period).agg(F.sum("idle_cost").alias("_pool"))
-    rows = own.join(totals, list(period)).join(pool, list(period), "left")
+    rows = own.withColumn("_all", F.sum("_w").over(W.partitionBy(*period))).join(pool, list(period), "left")
     part = F.coalesce(F.col("_pool"), F.lit(0.0)) * F.coalesce(F.try_divide("_w", "_all"), F.lit(0.0))
     return rows.select(*period, tenant, "cost", part.alias("idle_cost"), (F.col("cost") + part).alias("total_cost"))
 
@@ -93,6 +98,7 @@ def chargeback(costs: DataFrame, keys: Sequence[str] = ("team", "department", "c
 
 def cost_spike(daily: DataFrame, by: Sequence[str], back_days: int, factor: float, day: str = "day") -> DataFrame:
     """Days whose cost exceeds ``factor`` times that of ``back_days`` before: an equi-join on the shifted day."""
+    daily = materialise(daily, "daily-cost")  # read twice below
     before = daily.select(*by, F.date_add(day, back_days).alias(day), F.col("cost").alias("cost_before"))
     rows = daily.join(before, [*by, day])
     return rows.where(F.col("cost") > F.col("cost_before") * factor)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -165,6 +165,13 @@ def sync_status(devices: DataFrame, pending: DataFrame, syncs: DataFrame) -> Dat
     return rows.select("device_id", "last_sync", F.coalesce("online", F.lit(False)).alias("online"), F.coalesce("pending_changes", F.lit(0)).alias("pending_changes"))
 
 
+def read_packages(spark: SparkSession, path: str) -> DataFrame:
+    """Package files below a folder: package (file name, or the folder's partition value), content as bytes."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.coalesce(F.nullif(F.regexp_extract("path", r"/package=([^/]+)/[^/]+$", 1), F.lit("")), F.regexp_extract("path", r"([^/]+)$", 1))
+    return rows.select(name.alias("package"), "content")
+
+
 def verify_packages(packages: DataFrame, content: str = "content", expected: str = "package_hash") -> DataFrame:
     """SHA-256 of the content against the expected hex text."""
     return packages.withColumn("actual_hash", F.sha2(F.col(content), 256)).withColumn("accepted", F.lower(expected) == F.col("actual_hash"))

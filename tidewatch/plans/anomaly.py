@@ -184,6 +184,22 @@ def generate_rules(t):
     return rules.select("group", "alert", "expr", "for", "severity", F.col("labels")["metric"].alias("metric"), F.col("annotations")["threshold_value"].alias("threshold_value"))
 
 
+CONFIGS = [
+    {"name": "view", "alert_name": "ViewsHigh", "query": "sum(rate(views_total[5m]))", "severity": "critical", "dashboard": "shop", "labels": {"team": "web"}},
+    {"name": "error", "alert_name": "FewErrors", "query": "errors_total", "comparison": "<", "for": "10m", "annotations": {"runbook": "r1"}},
+    {"name": "absent", "alert_name": "Never", "query": "x"},
+]
+NOTE = "'{{ $labels.instance }} has exceeded the dynamic threshold of ' || l || ' for ' || metric_name"
+
+
+@query("A14_rules_from_configuration", f"""WITH limits AS (SELECT metric_name, printf('%.6f', mean + 3 * std) AS l FROM {DESCRIBED})
+   SELECT 'dynamic_thresholds' AS "group", 'ViewsHigh' AS alert, 'sum(rate(views_total[5m])) > ' || l AS expr, '5m' AS "for", 'critical' AS severity, 'web' AS team, {NOTE} AS description, 'shop' AS dashboard, NULL AS runbook FROM limits WHERE metric_name = 'view'
+   UNION ALL SELECT 'dynamic_thresholds', 'FewErrors', 'errors_total < ' || l, '10m', 'warning', NULL, {NOTE}, '', 'r1' FROM limits WHERE metric_name = 'error'""")
+def rules_from_configuration(t):
+    rules = A.rules_from_config(A.generate_thresholds(P.describe_metric(t.metrics())), CONFIGS)
+    return rules.select("group", "alert", "expr", "for", *[F.col("labels")[k].alias(k) for k in ("severity", "team")], *[F.col("annotations")[k].alias(k) for k in ("description", "dashboard", "runbook")])
+
+
 def calls(t):
     return t.events.select(
         F.concat(F.lit("svc-"), (F.col("user_id") % 10).cast("string")).alias("service"), F.concat(F.lit("/"), F.col("event_type")).alias("endpoint"),

@@ -140,6 +140,54 @@ def evaluate(t):
     return P.meets_targets(both, "fraud_detector")
 
 
+def targets_sql(model, measures, source):
+    limits = P.TARGETS[model]
+    return " UNION ALL ".join(f"SELECT '{m}' AS measure, ({measures[m]})::DOUBLE AS value, {x}::DOUBLE AS target, ({measures[m]}) {'<=' if m in P.UPPER_LIMITS else '>='} {x} AS met FROM {source}" for m, x in limits.items())
+
+
+CONFUSION = f"""(SELECT tp / (tp + fp) AS precision, tp / (tp + fn) AS recall, 2 * tp / (2 * tp + fp + fn) AS f1, fp / (fp + tn) AS false_positive_rate, (tp + tn) / (tp + fp + fn + tn) AS accuracy FROM (
+   SELECT count(*) FILTER (label = 1 AND prediction = 1)::DOUBLE AS tp, count(*) FILTER (label = 0 AND prediction = 1)::DOUBLE AS fp,
+     count(*) FILTER (label = 1 AND prediction = 0)::DOUBLE AS fn, count(*) FILTER (label = 0 AND prediction = 0)::DOUBLE AS tn FROM {SCORED}))"""
+SAME = {m: m for m in ("precision", "recall", "f1", "false_positive_rate", "accuracy")}
+
+
+@query("P13_evaluate_detection", plain(f"SELECT 'anomaly_detector' AS model, * FROM ({targets_sql('anomaly_detector', SAME, CONFUSION)}) UNION ALL SELECT 'intrusion_detector', * FROM ({targets_sql('intrusion_detector', SAME, CONFUSION)})", "value target"))
+def evaluate_detection(t):
+    measured = P.confusion(scored(t))
+    kinds = [P.meets_targets(measured, m).select(F.lit(m).alias("model"), "*") for m in ("anomaly_detector", "intrusion_detector")]
+    return kinds[0].unionByName(kinds[1])
+
+
+LEAD = f"(SELECT *, (SELECT avg(epoch_us(ts) / 3600000000.0 % 48) FROM events WHERE event_type = 'error') AS lead_time_hours FROM {CONFUSION})"
+
+
+@query("P13_evaluate_prediction", plain(targets_sql("predictive_alerting", SAME | {"lead_time_hours": "lead_time_hours"}, LEAD), "value target"))
+def evaluate_prediction(t):
+    lead = t.events.where("event_type = 'error'").agg(F.avg((F.unix_micros("ts") / 3_600_000_000) % 48)).scalar()
+    return P.meets_targets(P.confusion(scored(t)).withColumn("lead_time_hours", lead), "predictive_alerting")
+
+
+RANKED = """(SELECT avg((user_id % 5 = event_id % 5)::INT) AS accuracy, avg((user_id % 5 IN (event_id % 5, (event_id + 1) % 5, (event_id + 2) % 5))::INT) AS top_k_accuracy FROM events)"""
+
+
+@query("P13_evaluate_ranking", plain(targets_sql("root_cause_analyzer", {"accuracy": "accuracy", "top_k_accuracy": "top_k_accuracy"}, RANKED), "value target"))
+def evaluate_ranking(t):
+    rows = t.events.select((F.col("user_id") % 5).alias("label"), F.array(*[(F.col("event_id") + i) % 5 for i in range(3)]).alias("candidates"))
+    first = rows.agg(F.avg((F.col("candidates")[0] == F.col("label")).cast("int"))).scalar()
+    return P.meets_targets(P.topk_accuracy(rows).withColumn("accuracy", first), "root_cause_analyzer").orderBy("measure")
+
+
+DEMAND = """(SELECT avg(CASE WHEN l_quantity != 0 THEN abs((l_quantity - p) / l_quantity) END) * 100 AS mape, sqrt(avg((l_quantity - p) * (l_quantity - p))) AS rmse, avg((stock < l_quantity)::INT) AS stockout_rate
+   FROM (SELECT l_quantity::DOUBLE AS l_quantity, l_quantity::DOUBLE + l_linenumber - 3 AS p, l_partkey % 60 AS stock FROM lineitem))"""
+
+
+@query("P13_evaluate_demand", plain(targets_sql("inventory_optimizer", {m: m for m in ("mape", "rmse", "stockout_rate")}, DEMAND), "value target"))
+def evaluate_demand(t):
+    quantity = F.col("l_quantity").cast("double")
+    rows = t.read("lineitem").select(quantity.alias("actual"), (quantity + F.col("l_linenumber") - 3).alias("predicted"), (F.col("l_partkey") % 60).alias("stock"))
+    return P.meets_targets(P.forecast_errors(rows, stock="stock"), "inventory_optimizer")
+
+
 EDGES = [10, 20, 40, 80, 160]
 BIN = " + ".join(f"(value >= {e})::INT" for e in EDGES)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.durations import micros, seconds, step_start
 from tidewatch.functions.labels import one_row_per_hit, render
 from tidewatch.operators.cycles import cycle_outcomes
+from tidewatch.operators.ordered import in_order
 
 DEDUPE_WINDOW = "300s"
 RATE_LIMIT = 10
@@ -157,6 +160,41 @@ def rate_limit(alerts: DataFrame, tie: Sequence[str], limit: int = RATE_LIMIT, w
     return slotted.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit).drop("_slot", "_rank")
 
 
+def _admit(limit: int, slot: int, window: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        queue, current, taken, accepted = None, None, 0, {}
+        for pdf in batches:
+            ok = np.zeros(len(pdf), dtype=bool)
+            for i, (who, key, us) in enumerate(zip(pdf["_queue"], pdf["_key"], pdf["_us"])):
+                if who != queue:
+                    queue, current, accepted = who, None, {}
+                if us // slot != current:
+                    # What is held: keys accepted within the window, at most ``limit`` per slot.
+                    current, taken = us // slot, 0
+                    accepted = {k: t for k, t in accepted.items() if us - t < window}
+                if taken < limit and us - accepted.get(key, us - window) >= window:
+                    ok[i], accepted[key] = True, us
+                    taken += 1
+            yield pdf.loc[ok, ["_id"]]
+
+    return run
+
+
+def admit(
+    alerts: DataFrame, ident: str, limit: int = RATE_LIMIT, slot: str = "60s", window: str = DEDUPE_WINDOW, key: str = "dedupe_key", by: Sequence[str] = (),
+) -> DataFrame:
+    """The alerts a queue lets through: at most ``limit`` accepted per fixed ``slot``, and none whose key was accepted
+    less than ``window`` before. Only accepted alerts count: a duplicate uses no budget, a limited alert is not remembered.
+
+    A queue is sequential by nature: its alerts stream through one task in order, with the keys accepted within the
+    window as its state. ``by`` names the columns that make queues of their own, which run side by side.
+    """
+    queue = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]) if by else F.lit("")
+    rows = alerts.select(queue.alias("_queue"), F.col(ident).alias("_id"), F.coalesce(F.col(key), F.lit("")).alias("_key"), F.unix_micros("timestamp").alias("_us"))
+    kept = in_order(rows, ["_queue"], ["_us", "_id"]).mapInPandas(_admit(limit, micros(slot), micros(window)), f"_id {dict(alerts.dtypes)[ident]}")
+    return alerts.join(kept.withColumnRenamed("_id", ident), ident, "left_semi")
+
+
 def fan_out(alerts: DataFrame, channels: Sequence[Mapping[str, Any]] = CHANNELS) -> DataFrame:
     """One row per alert and channel that takes it. The channels are expressions on the alert's row: no join."""
     hits = []

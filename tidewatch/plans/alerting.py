@@ -85,6 +85,17 @@ def rate_limit(t):
     return L.rate_limit(base(t).select("event_id", "timestamp"), ["event_id"], 10, "1h")
 
 
+@query("L04_admit", plain(f"""WITH RECURSIVE a AS MATERIALIZED (SELECT event_id, timestamp, service || ':' || event_type AS k, date_trunc('hour', timestamp) AS slot, row_number() OVER (ORDER BY timestamp, event_id) AS i FROM {BASE}),
+   walk AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS event_id, NULL::TIMESTAMP AS timestamp, NULL::TIMESTAMP AS slot, 0 AS taken, false AS ok, [{{'k': '', 't': TIMESTAMP '1970-01-01'}}] AS held
+     UNION ALL SELECT i, event_id, timestamp, slot, used + ok::INT, ok, CASE WHEN ok THEN list_append(list_filter(held, lambda x: timestamp - x.t < INTERVAL 12 HOUR), {{'k': k, 't': timestamp}}) ELSE held END FROM (
+       SELECT *, used < 2 AND len(list_filter(held, lambda x: x.k = k AND timestamp - x.t < INTERVAL 12 HOUR)) = 0 AS ok FROM (
+         SELECT a.*, w.held, CASE WHEN w.slot = a.slot THEN w.taken ELSE 0 END AS used FROM walk w JOIN a ON a.i = w.i + 1)))
+   SELECT event_id, timestamp FROM walk WHERE ok""", ts="timestamp"))
+def admit(t):
+    """Budget and duplicates together, against a walk over all alerts in order."""
+    return L.admit(keyed(t), "event_id", limit=2, slot="1h", window="12h").select("event_id", "timestamp")
+
+
 @query("L05_fan_out", f"""SELECT kind, severity, channel, count(*)::BIGINT AS n FROM {ALERTS}, (VALUES ('general-slack', NULL, NULL, true), ('critical-slack', ['critical'], NULL, true), ('pagerduty', ['error', 'critical'], NULL, true), ('email-digest', NULL, NULL, true), ('webhook', NULL, NULL, true), ('business', NULL, ['business'], true), ('off', NULL, NULL, false)) c(channel, sev, tag, enabled)
    WHERE enabled AND (sev IS NULL OR list_contains(sev, severity)) AND (tag IS NULL OR list_has_any(tag, string_split(tags, ','))) GROUP BY 1, 2, 3""")
 def fan_out(t):

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidewatch.operators import anomaly as A
-from tidewatch.plans.alerting import base, keyed
+from tidewatch.operators import alerting as L
+from tidewatch.plans.alerting import base, keyed, routable
 from tidewatch.plans.catalog import ORACLES, plain, query
 from tidewatch.plans.selectors import LOGS
 from tidewatch.plans.timeseries import recorded_samples
@@ -30,14 +31,16 @@ def in_stretches(t, df, name, writer, parts=3):
     # The number of state stores is fixed when a stream first starts: one per core.
     shuffles = t.spark.conf.get("spark.sql.shuffle.partitions")
     t.spark.conf.set("spark.sql.shuffle.partitions", str(t.spark.sparkContext.defaultParallelism))
-    us = F.unix_micros("timestamp")
-    ends = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-    width = (ends["hi"] - ends["lo"]) // parts + 1
-    for i in range(parts):
-        low = ends["lo"] + i * width
-        df.where((us >= low) & (us < low + width)).write.mode("append").option("timestampFormat", ISO_MICROS).json(path)
-        S.run_to_end(writer(t.spark.readStream.schema(df.schema).json(path)))
-    t.spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    try:
+        us = F.unix_micros("timestamp")
+        ends = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+        width = (ends["hi"] - ends["lo"]) // parts + 1
+        for i in range(parts):
+            low = ends["lo"] + i * width
+            df.where((us >= low) & (us < low + width)).write.mode("append").option("timestampFormat", ISO_MICROS).json(path)
+            S.run_to_end(writer(t.spark.readStream.schema(df.schema).json(path)))
+    finally:
+        t.spark.conf.set("spark.sql.shuffle.partitions", shuffles)
 
 
 def appended(t, df, name, transform, parts=3):
@@ -84,9 +87,8 @@ def periodic_scoring(t):
 def update_history_stream(t):
     tx = t.transactions().select("user_id", "amount", "timestamp", F.col("email_is_disposable").alias("is_fraud"))
     path, checkpoint = scratch_path(t.spark, "history"), scratch_path(t.spark, "history-checkpoint")
-    keep = lambda batch, _: batch.write.mode("overwrite").parquet(path)
-    in_stretches(t, tx, "history-in", lambda rows: Z.history_stream(rows).writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint))
-    return t.spark.read.parquet(path)
+    in_stretches(t, tx, "history-in", lambda rows: Z.history_stream(rows).writeStream.outputMode("update").foreachBatch(S.update_batch(path)).option("checkpointLocation", checkpoint))
+    return S.latest_rows(t.spark, path, "user_id")
 
 
 @query("L03_suppress_duplicates_stream", ORACLES["L03_suppress_duplicates"])
@@ -111,6 +113,17 @@ def circuit_state_stream(t):
     return rows.withColumnRenamed("key", "service")
 
 
+@query("L09_group_notifications_stream", f"""SELECT concat_ws('|', receiver, alertname, cluster, service) AS "group", sent_at[:23] || '000' AS sent_at, new_alerts FROM ({ORACLES['L09_group_notifications']}) WHERE NOT repeated""")
+def group_notifications_stream(t):
+    """What each group sends, tick by tick, in whole milliseconds; a last row a day later lets the watermark pass the last tick."""
+    columns = ("receiver", "alertname", "cluster", "service", "group_wait", "timestamp")
+    rows = L.route(routable(t)).select(*columns)
+    end = rows.agg((F.max("timestamp") + F.expr("INTERVAL 1 DAY")).alias("timestamp"))
+    flush = end.select(*[F.lit("flush").alias(c) for c in columns[:-1]], "timestamp")
+    sent = appended(t, rows.unionByName(flush), "groups", lambda r: Z.group_stream(r, columns[1:4], "6h", "24h"), 2)
+    return sent.where("group NOT LIKE 'flush%' AND new_alerts > 0").select("group", F.timestamp_millis("sent_ms").alias("sent_at"), "new_alerts")
+
+
 @query("T15_recording_stream", ORACLES["T15_recording_rules"])
 def recording_stream(t):
     samples = recorded_samples(t)

@@ -27,11 +27,11 @@ def history_stream(transactions: DataFrame) -> DataFrame:
 class CycleProcessor(StatefulProcessor):
     """Per key: count events, trip at the threshold, swallow until the timeout has passed (see operators.cycles)."""
 
-    def __init__(self, threshold: int, timeout_us: int, ident: str):
-        self.threshold, self.timeout_us, self.ident = threshold, timeout_us, ident
+    def __init__(self, threshold: int, timeout_us: int, ident: str, idle_ms: int | None = None):
+        self.threshold, self.timeout_us, self.ident, self.idle_ms = threshold, timeout_us, ident, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("cycle", "until bigint, count int")
+        self.state = handle.getValueState("cycle", "until bigint, count int", self.idle_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         until, count = self.state.get() if self.state.exists() else (-1, 0)
@@ -56,31 +56,39 @@ class CycleProcessor(StatefulProcessor):
         pass
 
 
-def cycle_stream(events: DataFrame, key: str, ident: str, threshold: int, timeout: str, ts: str = "timestamp") -> DataFrame:
-    """Stream of key, ident and outcome (0 counted, 1 trips or is accepted, 2 swallowed)."""
+def cycle_stream(
+    events: DataFrame, key: str, ident: str, threshold: int, timeout: str, ts: str = "timestamp", idle: str | None = None,
+) -> DataFrame:
+    """Stream of key, ident and outcome (0 counted, 1 trips or is accepted, 2 swallowed).
+
+    ``idle`` is how long, by the clock, a key without events keeps its state: give a live stream one above its timeout,
+    or the state of keys that never come back grows for ever. A replay of old events must not set it.
+    """
     rows = events.select(F.col(key).cast("string").alias("key"), ident, F.unix_micros(ts).alias("at_us"))
     kind = dict(events.dtypes)[ident]
     return rows.groupBy("key").transformWithStateInPandas(
-        CycleProcessor(threshold, micros(timeout), ident), f"key string, {ident} {kind}, outcome int", "Append", "None"
+        CycleProcessor(threshold, micros(timeout), ident, micros(idle) // 1000 if idle else None),
+        f"key string, {ident} {kind}, outcome int", "Append", "ProcessingTime" if idle else "None",
     )
 
 
-def suppress_stream(alerts: DataFrame, ident: str, window: str = "300s", key: str = "dedupe_key") -> DataFrame:
+def suppress_stream(alerts: DataFrame, ident: str, window: str = "300s", key: str = "dedupe_key", idle: str | None = None) -> DataFrame:
     """Accepted alerts: none of the same key was accepted less than ``window`` before."""
-    return cycle_stream(alerts, key, ident, 1, window).where(F.col("outcome") == 1).drop("outcome")
+    return cycle_stream(alerts, key, ident, 1, window, idle=idle).where(F.col("outcome") == 1).drop("outcome")
 
 
-def circuit_stream(failures: DataFrame, context: str, ident: str, threshold: int, reset: str) -> DataFrame:
+def circuit_stream(failures: DataFrame, context: str, ident: str, threshold: int, reset: str, idle: str | None = None) -> DataFrame:
     names = F.create_map(F.lit(0), F.lit("counted"), F.lit(1), F.lit("opened"), F.lit(2), F.lit("refused"))
-    return cycle_stream(failures, context, ident, threshold, reset).withColumn("breaker", names[F.col("outcome")]).drop("outcome")
+    return cycle_stream(failures, context, ident, threshold, reset, idle=idle).withColumn("breaker", names[F.col("outcome")]).drop("outcome")
 
 
 def rate_limit_batch(path: str, tie: Sequence[str], limit: int, window: str = "60s") -> Callable[[DataFrame, int], None]:
     """At most ``limit`` accepted alerts per fixed window over all batches.
 
-    Each batch is cut to ``limit`` rows per window before anything else, so what is compared with the stored counts is
-    small. Accepted rows of a batch replace their own folder when it is repeated.
+    Each batch is cut to ``limit`` rows per window before anything else, and only the days it touches are read of what
+    was accepted before. Accepted rows of a batch replace their own folder when it is repeated.
     """
+    day = micros("1d")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -90,11 +98,17 @@ def rate_limit_batch(path: str, tie: Sequence[str], limit: int, window: str = "6
         from pyspark.sql import Window as W
 
         few = few.withColumn("_rank", F.row_number().over(W.partitionBy("_slot").orderBy(*order)))
-        if batch_id > 0:
-            stored = spark.read.option("basePath", path).schema("_slot bigint, batch bigint").parquet(path)
-            taken = stored.where(F.col("batch") < batch_id).groupBy("_slot").agg(F.count(F.lit(1)).alias("_taken"))
+        few = few.withColumn("_day", step_start(F.col("timestamp"), day))
+        kept = few = few.persist()
+        ends = few.agg(F.min("_day").alias("lo"), F.max("_day").alias("hi")).first()
+        if batch_id > 0 and ends["lo"] is not None:
+            stored = spark.read.option("basePath", path).schema("_slot bigint, batch bigint, _day bigint").parquet(path)
+            # Both columns are folders: other days and later batches are not opened.
+            stored = stored.where((F.col("batch") < batch_id) & F.col("_day").between(ends["lo"], ends["hi"]))
+            taken = stored.groupBy("_slot").agg(F.count(F.lit(1)).alias("_taken"))
             few = few.join(taken, "_slot", "left").where(F.col("_rank") + F.coalesce("_taken", F.lit(0)) <= limit).drop("_taken")
-        few.drop("_rank").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        few.drop("_rank").write.mode("overwrite").partitionBy("_day").parquet(f"{path}/batch={batch_id}")
+        kept.unpersist()
 
     return run
 

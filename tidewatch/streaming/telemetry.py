@@ -113,6 +113,18 @@ def compact(spark: SparkSession, path: str, target: str, key: str, ts: str = "ti
     return current_rows(spark, target, key, ts)
 
 
+def update_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch writer for update mode: only the rows that changed, under the batch's number; a repeated batch replaces its own."""
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def latest_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Each key's row from the newest batch that changed it."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    rest = [c for c in rows.columns if c not in (key, "batch")]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(key, "_r.*")
+
+
 def periodic_scoring(records: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str = SCORING_INTERVAL) -> DataStreamWriter:
     """Score what arrived in each interval and write the predictions; a repeated batch replaces its own files."""
 

@@ -168,12 +168,13 @@ def test_signature_edge_cases(spark):
     assert hit({"x": {"pattern": {"no_such_field": 60}}}) == []
 
 
-def test_leaky_bucket_walk(spark):
+@pytest.mark.parametrize("ticks", [N.CHUNK_TICKS, 7])
+def test_leaky_bucket_walk(spark, ticks):
     rng = random.Random(3)
     seconds = sorted(rng.choices(range(400), k=1500))
     rows = [(i, "hot" if i % 5 else "cool", T0 + dt.timedelta(seconds=s)) for i, s in enumerate(seconds)]
     df = spark.createDataFrame(rows, "request_id int, ip_address string, timestamp timestamp")
-    got = {(r["ip_address"], (r["window_start"] - T0).seconds): (r["refused"], r["level"]) for r in N.ip_rate_limit(df, rate=3, burst=5).collect()}
+    got = {(r["ip_address"], (r["window_start"] - T0).seconds): (r["refused"], r["level"]) for r in N.ip_rate_limit(df, rate=3, burst=5, chunk_ticks=ticks).collect()}
     for ip in ("hot", "cool"):
         level = 0.0
         for s in range(400):

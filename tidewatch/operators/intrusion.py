@@ -16,10 +16,11 @@ from tidewatch.functions.durations import micros, seconds, step_start
 from tidewatch.functions.labels import one_row_per_hit
 from tidewatch.operators.anomaly import fixed_score
 from tidewatch.operators.density import noise_keys
-from tidewatch.operators.ordered import in_order
+from tidewatch.operators.ordered import in_order, whole_groups
 from tidewatch.operators.prepare import apply_scaler, fit_scaler
 from tidewatch.operators.selectors import one_hot
 from tidewatch.operators.sequence import sessions, with_previous
+from tidewatch.session import materialise
 
 ANOMALY_AT = 0.95
 MAX_REQUEST_RATE = 100
@@ -210,32 +211,84 @@ def update_user_risk(current: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def _fill(rate: float, burst: float):
+#: Units of time in a chunk: an address has at most one row per unit, so no group of rows is larger.
+CHUNK_TICKS = 100_000
+
+
+def _clamps(rate: float, burst: float):
+    """A chunk as one clamp: whatever level it is entered with, it is left with ``min(high, max(low, level + shift))``.
+
+    Every unit is such a clamp (drain, add, cut at the burst), and clamps compose to clamps.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, offsets in whole_groups(batches, ["_key", "_chunk"]):
+            keys, chunks, ticks, counts = (pdf[c].to_numpy() for c in ("_key", "_chunk", "_tick", "_n"))
+            out = []
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+                low, high, shift, last = 0.0, burst, 0.0, ticks[a] - 1
+                for tick, n in zip(ticks[a:b].tolist(), counts[a:b].tolist(), strict=True):
+                    add, step = n - rate, n - rate - rate * (tick - last - 1)
+                    floor = min(burst, max(0.0, add))
+                    low, high, shift, last = min(burst, max(floor, low + step)), min(burst, max(floor, high + step)), shift + step, tick
+                out.append((keys[a], chunks[a], ticks[a], last, low, high, shift))
+            yield pd.DataFrame(out, columns=["_key", "_chunk", "_first", "_last", "_low", "_high", "_shift"])
+
+    return run
+
+
+def _enter(rate: float):
+    """Level just before each chunk's first unit; rows come sorted by address and chunk."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, level, last = None, 0.0, 0
         for pdf in batches:
-            refused, after = np.empty(len(pdf)), np.empty(len(pdf))
-            for i, (who, tick, n) in enumerate(zip(pdf["_key"], pdf["_tick"], pdf["_n"])):
+            before = np.empty(len(pdf))
+            for i, (who, first, end, low, high, shift) in enumerate(zip(*(pdf[c] for c in ("_key", "_first", "_last", "_low", "_high", "_shift")), strict=True)):
                 if who != key:
-                    key, level, last = who, 0.0, tick - 1
-                full = max(0.0, level - rate * (tick - last - 1)) + n - rate
-                refused[i], level, last = max(0.0, full - burst), min(burst, max(0.0, full)), tick
-                after[i] = level
-            yield pdf.assign(refused=refused, level=after)
+                    key, level, last = who, 0.0, first - 1
+                before[i] = max(0.0, level - rate * (first - last - 1))
+                level, last = min(high, max(low, before[i] + shift)), end
+            yield pd.DataFrame({"_key": pdf["_key"], "_chunk": pdf["_chunk"], "_before": before})
+
+    return run
+
+
+def _fill(rate: float, burst: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, offsets in whole_groups(batches, ["_key", "_chunk"]):
+            ticks, counts, before = (pdf[c].to_numpy() for c in ("_tick", "_n", "_before"))
+            refused, after = np.empty(len(pdf)), np.empty(len(pdf))
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+                level, last = before[a], ticks[a] - 1
+                for i in range(a, b):
+                    full = max(0.0, level - rate * (ticks[i] - last - 1)) + counts[i] - rate
+                    refused[i], level, last = max(0.0, full - burst), min(burst, max(0.0, full)), ticks[i]
+                    after[i] = level
+            yield pdf[["_key", "_tick", "_n"]].assign(refused=refused, level=after)
 
     return run
 
 
-def ip_rate_limit(requests: DataFrame, rate: float = 100, burst: float = 200, unit: str = "1s", key: str = "ip_address") -> DataFrame:
+def ip_rate_limit(
+    requests: DataFrame, rate: float = 100, burst: float = 200, unit: str = "1s", key: str = "ip_address", chunk_ticks: int = CHUNK_TICKS,
+) -> DataFrame:
     """Leaky bucket per address and time unit: requests, how many are refused, and the fill level afterwards.
 
-    Requests are counted per unit before the shuffle, so an address has at most one row per unit of time however many
-    requests it sends; the bucket then runs over those rows as they stream by in order.
+    Requests are counted per unit before the shuffle. An address's history is cut into chunks of time: each chunk is
+    summarised as a clamp of the level, the clamps are chained (one row per chunk), and the chunks are then filled side
+    by side, so one busy address keeps no task to itself.
     """
     size = micros(unit)
     tick = F.floor(F.unix_micros("timestamp") / size)
     counts = requests.groupBy(F.col(key).cast("string").alias("_key"), tick.alias("_tick")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = in_order(counts, ["_key"], ["_tick"]).mapInPandas(
+    counts = materialise(counts.withColumn("_chunk", F.floor(F.col("_tick") / chunk_ticks)), "request-counts")
+    of = ["_key", "_chunk"]
+    chunks = in_order(counts, of, ["_tick"]).mapInPandas(
+        _clamps(float(rate), float(burst)), "_key string, _chunk bigint, _first bigint, _last bigint, _low double, _high double, _shift double"
+    )
+    entered = in_order(chunks, ["_key"], ["_chunk"]).mapInPandas(_enter(float(rate)), "_key string, _chunk bigint, _before double")
+    rows = in_order(counts.join(entered, of), of, ["_tick"]).mapInPandas(
         _fill(float(rate), float(burst)), "_key string, _tick bigint, _n bigint, refused double, level double"
     )
     return rows.select(

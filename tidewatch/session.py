@@ -7,8 +7,11 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -61,15 +64,47 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete everything this application wrote to the scratch root; call it once all results have been read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    _delete(spark, _own_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df, name: str):
+#: Where the tables that ``materialise`` returned lie, and the lists that record new ones.
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_RECORDERS: list[list[str]] = []
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write once and read back: cuts lineage with files that survive a lost executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    for paths in _RECORDERS:
+        paths.append(path)
+    return out
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The paths ``materialise`` writes to inside the block."""
+    paths: list[str] = []
+    _RECORDERS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDERS.remove(paths)
+
+
+def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete written tables (or paths of such) that nothing will read again."""
+    for table in tables:
+        path = table if isinstance(table, str) else _WRITTEN.pop(table, None)
+        if path and path.startswith(_own_folder(spark)):
+            _delete(spark, path)
 
 
 def ship(spark: SparkSession) -> None:

@@ -9,12 +9,14 @@ is taken in which no series holds more than a task should.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import micros, step_start
+from tidewatch.session import materialise
 
 def suggest_chunk(
     df: DataFrame, keys: Sequence[str], ts: str = "timestamp", rows_per_task: int = 5_000_000,
@@ -139,18 +141,21 @@ def sessions(
     )
 
 
-def cumulative_over_value(df: DataFrame, value: str, columns: Mapping[str, str], bins: int = 256) -> DataFrame:
+def cumulative_over_value(df: DataFrame, value: str, columns: Mapping[str, str], rows_per_task: int = 1_000_000) -> DataFrame:
     """Running sums over the whole frame in order of a numeric column (which must hold each value once).
 
-    Rows are spread over ``bins`` ranges of the value, cut by a sketch, so no task orders the whole frame.
+    Rows are spread over ranges of the value, cut by a sketch into as many as keep about ``rows_per_task`` in each, so no
+    task orders the whole frame however large it is.
     """
+    df = materialise(df, "by-value")
+    bins = max(16, ceil(df.count() / rows_per_task))
     cuts = df.select(F.percentile_approx(value, [i / bins for i in range(1, bins)], bins * 20).alias("_cuts"))
     rows = df.withColumn("_cuts", cuts.scalar()).withColumn(
         "_bin", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
     ).drop("_cuts")
     inside = W.partitionBy("_bin").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     sums = rows.groupBy("_bin").agg(*[F.sum(old).alias(f"_sum_{new}") for new, old in columns.items()])
-    # One row per bin is left here: a single-partition window over at most ``bins`` rows.
+    # One row per bin is left here: a single-partition window over the bins.
     across = W.partitionBy(F.lit(0)).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     carried = sums.select("_bin", *[F.sum(f"_sum_{new}").over(across).alias(f"_carry_{new}") for new in columns])
     rows = rows.withColumns({f"_in_{new}": F.sum(old).over(inside) for new, old in columns.items()}).join(carried, "_bin")

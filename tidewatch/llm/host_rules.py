@@ -92,7 +92,7 @@ def host_verdicts(counted: DataFrame, host: str = "source", max_rate: float = 0.
         *[F.sum(f"__f_{r}").alias(f"__fail_{r}") for r in names],
         *[F.sum(F.col(f"__f_{r}") * F.col(f"__f_{r}") / F.col("__n")).alias(f"__sq_{r}") for r in names],
     )
-    judged = hosts.join(F.broadcast(fit))  # one row
+    judged = hosts.withColumn("__fit", fit.select(F.struct("*")).scalar()).select("*", "__fit.*")  # one row for all
     for r in names:
         mean = F.col(f"__fail_{r}") / F.col("__all")
         chance = mean * (1 - mean)

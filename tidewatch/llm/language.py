@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import text_slices, without
+from tidewatch.llm.common import lean, text_slices, without
 from tidewatch.llm.quality import held_out
 from tidewatch.llm.shingles import mix
 
@@ -127,6 +127,7 @@ def train(docs: DataFrame, sample: int = 8000, least: float = 2e-5, share: float
     rate = F.element_at(F.create_map(*[F.lit(x) for name in languages for x in (name, sample / len(languages) / named[name])]), F.col("lang"))
     picked = known.where(F.pmod(F.col("__h"), F.lit(1 << 30)) < rate * (1 << 30)).select(number.alias("l"), "text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_slices(whole, 1):
@@ -151,6 +152,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     names = [*kept.columns, "lang_pred", "score"]
     shared = docs.sparkSession.sparkContext.broadcast(filters)  # bounded by ``most`` and the number of languages
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for whole in batches:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import without
+from tidewatch.llm.common import lean, without
 from tidewatch.session import materialise
 
 CAPACITY = 4096
@@ -39,7 +39,7 @@ PLACE = ("sequence_id", "offset")
 #: Where a text may be cut without changing its tokens: at spaces and line ends, and behind a run of Latin letters that
 #: an ASCII mark other than an apostrophe follows. Such parts recur, so each worker keeps the tokens of up to so many.
 _PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,!$%&*#;:?)\"])|[^ \n]+")
-_KEPT = 600_000
+_KEPT = 150_000
 #: A part of nothing but Latin letters is one word to the tokenizer; its model can be asked without the steps before it.
 _LETTERS = re.compile(r"[a-zà-öø-ÿ]+").fullmatch
 _TOKENS: dict[str, tuple[object, dict[str, bytes]]] = {}
@@ -99,6 +99,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
     names = kept.columns + [c for c in PIECE if with_ids or c != "ids"]
     tail = np.array([end], "<u4").tobytes()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_path)
         serial = TaskContext.get().partitionId() << 33

@@ -4,7 +4,7 @@ Every line is good or bad; a line's features are its own and those of the lines
 tied by learned transitions. Training knows only documents: all lines of a labelled document carry its label. A
 document's score is the marginal probability of "good" over its lines (forward-backward), weighted by their length.
 
-The field is fitted on a bounded sample: the ``sample`` labelled documents of lowest hash, of at most ``most_lines``
+The field is fitted on a bounded sample: about ``sample`` labelled documents, drawn by hash, of at most ``most_lines``
 lines; scoring reads every text whole. Rows whose crc32(doc_id as text) mod 3 is 1 are held out.
 
 Defined results: a null or empty text is one empty line and gets that line's score; without labels of both kinds every
@@ -19,12 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import without
+from tidewatch.llm.common import lean, text_slices, without
 from tidewatch.llm.lines import WIDTH, line_features
 
 FOLDS, HELD_OUT = 3, 1
@@ -104,14 +103,17 @@ def fit(features: np.ndarray, lines: np.ndarray, labels: np.ndarray, steps: int
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, most_lines: int = 300) -> Field:
-    """Fits the field; at most ``sample`` texts come to the driver, as line features."""
+    """Fits the field; about ``sample`` texts come to the driver, as line features."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__quality")).dropDuplicates(["__id"])
-    picked = known.orderBy(F.xxhash64(F.lit(31), "__id")).limit(sample)
-    # At most ``sample`` ids.
+    # By a hash threshold, not by order: no partition sends more than its share.
+    share = min(1.0, sample / max(known.count(), 1))
+    picked = known.where(F.pmod(F.xxhash64(F.lit(31), "__id"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    # About ``sample`` ids.
     text = docs.select(F.col("doc_id").alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
     chosen = text.join(F.broadcast(picked), "__id").where(F.size(F.split("__text", "\n")) <= most_lines)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -133,9 +135,10 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
     kept = without(docs, "score", "predicted")
     names = [*kept.columns, "score"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _parts(whole):
+            for batch in text_slices(whole):
                 x, size, lines = line_features(batch.column(0).to_pylist())
                 p = field.marginals(x, lines)
                 weight = np.maximum(size, 1)
@@ -147,16 +150,3 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).alias("__text")
     out = docs.select(text, *[F.col(f"`{c}`") for c in kept.columns]).mapInArrow(run, shape)
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-
-
-def _parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about ``most`` characters, so that long texts do not pile up."""
-    at, held = 0, 0
-    sizes = pa.compute.utf8_length(batch.column(0)).to_pylist()
-    for k, n in enumerate(sizes):
-        if held and held + n > most:
-            yield batch.slice(at, k - at)
-            at, held = k, 0
-        held += n
-    if at < len(sizes):
-        yield batch.slice(at)

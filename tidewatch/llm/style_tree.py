@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.llm import html_blocks
-from tidewatch.llm.common import text_slices, without
+from tidewatch.llm.common import lean, text_slices, without
 from tidewatch.session import materialise
 
 INNER = ("__host", "__blocks", "__nodes")
@@ -48,6 +48,7 @@ def parsed(pages: DataFrame) -> DataFrame:
     nodes = pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("children", pa.int32())]))
     names = [*kept.columns, "__blocks", "__nodes"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = lru_cache(100_000)(html_blocks.path_key)
         for whole in batches:

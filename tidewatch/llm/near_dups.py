@@ -28,9 +28,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import lean
 from tidewatch.llm.components import components
 from tidewatch.llm.shingles import MinHash, mix, shingle_sets
-from tidewatch.session import materialise
+from tidewatch.session import discard, materialise
 
 HASHES, ROWS = 128, 4
 BANDS = HASHES // ROWS
@@ -59,7 +60,7 @@ def least_matches(miss: float = MISS, percent: int = PERCENT) -> list[int]:
     return out
 
 
-def _parts(batch: pd.DataFrame, column: str, most: int = 4 << 20) -> Iterator[pd.DataFrame]:
+def _parts(batch: pd.DataFrame, column: str, most: int = 1 << 20) -> Iterator[pd.DataFrame]:
     """A batch in parts of about ``most`` characters, so that long texts do not pile up."""
     sizes = batch[column].str.len().fillna(0).to_numpy()
     part = (np.cumsum(sizes) // most).astype(int)
@@ -74,6 +75,7 @@ def signatures(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """
     extra = ["text"] if with_text else []
 
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for rows in _parts(batch, "text"):
@@ -118,11 +120,13 @@ def verified(pairs: DataFrame, texts: DataFrame, miss: float = MISS) -> DataFram
     """Of ``pairs`` (a, b) those that reach the threshold; ``texts`` is (rep, sig, text)."""
     least = least_matches(miss)
 
+    @lean
     def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             if len(x):
                 yield x.iloc[may_reach(_minima(x["sa"]), _minima(x["sb"]), least)][["a", "b"]]
 
+    @lean
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             for rows in _parts(x, "ta"):
@@ -247,6 +251,8 @@ def near_duplicates(docs: DataFrame, hub_rounds: int = 2, miss: float = MISS) ->
         links = materialise(found if links is None else links.union(found), "dups-links")
         labels = components(links)
     links = materialise(links.union(rest_links(_unresolved(members, labels), texts, miss)), "dups-links")
+    # Every link is written: candidates and their texts are not needed any more.
+    discard(docs.sparkSession, members, texts)
     labels = components(links)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     known = signed.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")

@@ -149,7 +149,7 @@ def test_page_edges(spark):
     got = rows(style_tree.extract(pages))
     text = {r["page_id"]: r["text"] for r in got}
     assert len(got) == 9 and text[1] == text[2] == text[6] == ""
-    assert text[3] == "plain &am & text" and text[4].startswith("T & 4\n") and text[5] == "open x" and text[None] == "stray"
+    assert text[3] == "plain &am & text" and text[4].startswith("site motto\nT & 4\n") and text[5] == "open x" and text[None] == "stray"
     assert text[7].count("deep") == 3000
     assert style_tree.extract(pages.limit(0)).count() == 0
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.llm import host_rules, mixing, near_dups, packing, quality
 from tidewatch.llm.common import table
 from tidewatch.llm.plans import tokenizer_path
-from tidewatch.session import discard, materialise, recorded_scratch
+from tidewatch.session import discard, materialise, recorded_scratch, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: What the stage before has in the scratch folder.
@@ -23,6 +23,7 @@ def _stage(fn: Stage) -> Stage:
 
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
         read = docs.inputFiles()
         if not any(path in file for path in _LEFT for file in read):
             discard(spark, *_LEFT)

@@ -37,12 +37,13 @@ END = 1
 PIECE = ("piece_id", "piece", "start", "length", "ids", "ids_crc32")
 PLACE = ("sequence_id", "offset")
 #: Where a text may be cut without changing its tokens: at spaces and line ends, and behind a run of Latin letters that
-#: an ASCII mark other than an apostrophe follows. Such parts recur, so each worker keeps the tokens of up to so many.
+#: an ASCII mark other than an apostrophe follows. Such parts recur, so each worker keeps the tokens of so many, in two
+#: generations: parts of the older one that are met again move to the younger, the rest goes when the younger is full.
 _PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,!$%&*#;:?)\"])|[^ \n]+")
 _KEPT = 150_000
 #: A part of nothing but Latin letters is one word to the tokenizer; its model can be asked without the steps before it.
 _LETTERS = re.compile(r"[a-zà-öø-ÿ]+").fullmatch
-_TOKENS: dict[str, tuple[object, dict[str, bytes]]] = {}
+_TOKENS: dict[str, tuple[object, dict[str, bytes], dict[str, bytes]]] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -68,17 +69,21 @@ def _encoder(path: str):
     from tokenizers import Tokenizer
 
     if path not in _TOKENS:
-        _TOKENS[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _TOKENS[path]
+        _TOKENS[path] = (Tokenizer.from_file(path), {}, {})
+    tokenizer = _TOKENS[path][0]
     word = tokenizer.model.tokenize if _word_by_word(tokenizer) else None
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         parts = [_PART.findall(t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
+        _, known, old = _TOKENS[path]
         if len(known) > _KEPT:
-            known.clear()
-        new = list(set().union(*parts).difference(known))
+            known, old = {}, known
+            _TOKENS[path] = (tokenizer, known, old)
         rest = []
-        for part in new:
+        for part in set().union(*parts).difference(known):
+            if part in old:
+                known[part] = old[part]
+                continue
             low = part.lower()
             if word and _LETTERS(low):
                 known[part] = array("I", [t.id for t in word(low if low.isascii() else low.translate(_BYTES))]).tobytes()

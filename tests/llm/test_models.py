@@ -140,6 +140,17 @@ def test_importance_comes_from_the_site(spark):
     assert {r["text"] for r in rows(style_tree.extract(pages))} == {f"x\nstory {i}" for i in range(200)} or {r["text"] for r in rows(style_tree.extract(pages))} == {f"story {i}" for i in range(200)}
 
 
+def test_inline_children_do_not_cost_the_text(spark):
+    # Lines parted by br, links, and bare text between blocks; on a host of one page and one of 200.
+    parts = lambda i, gap: gap.join(f"line {i} {k}" for k in range(31))
+    html = lambda i: f"<body><div class=a>{parts(i, '<br>')}</div><div class=b>{parts(i, ' <a href=x>link</a> ')}</div><div class=c>{parts(i, '<hr>')}</div><p>motto</p></body>"
+    pages = spark.createDataFrame([(i, f"https://{'one' if i == 0 else 'many'}.example/{i}", html(i)) for i in range(201)], "page_id long, url string, html string")
+    for r in rows(style_tree.extract(pages)):
+        i = r["page_id"]
+        want = [parts(i, " "), parts(i, " link "), parts(i, "\n")] + (["motto"] if i == 0 else [])
+        assert r["text"] == "\n".join(want), r["text"]
+
+
 def test_page_edges(spark):
     data = [
         (1, None, None), (2, "x", ""), (3, "https://a.b/c", "plain &am &amp text"), (4, None, page(4)), (4, None, page(4)), (5, "https://a.b/d", "<p>open <b>x"),

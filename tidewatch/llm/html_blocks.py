@@ -33,7 +33,8 @@ class _Page(HTMLParser):
         self.stack: list[tuple[str, str, float]] = []  # tag, path, prior
         self.held: list[str] = []
         self.blocks: list[tuple[str, float, str]] = []
-        self.children: dict[str, list[str]] = {}
+        self.children: dict[str, list[str]] = {"": []}
+        self.elements: dict[str, int] = {}
 
     def _prior(self, tag: str, names: list[str]) -> float:
         above = self.stack[-1][2] if self.stack else NEUTRAL
@@ -61,14 +62,18 @@ class _Page(HTMLParser):
         names = _NAME.findall(" ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower())
         above = self.stack[-1][1] if self.stack else ""
         sign = ".".join([tag, *names[:4]])
-        self.children.setdefault(above, []).append(sign)
+        # Inline elements are part of the text, not of the layout.
+        if tag not in INLINE and tag != "br":
+            self.children.setdefault(above, []).append(sign)
         if tag in VOID:
             return
         prior = self._prior(tag, names)
         if tag in INLINE and self.stack and prior != self.stack[-1][2]:
             self._flush()
         self.stack.append((tag, f"{above}/{sign}", prior))
-        self.children.setdefault(self.stack[-1][1], [])
+        path = self.stack[-1][1]
+        self.children.setdefault(path, [])
+        self.elements[path] = self.elements.get(path, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -100,10 +105,21 @@ class _Page(HTMLParser):
         self.held.append(data)
 
 
-def parse(html: str | None) -> tuple[list[tuple[str, float, str]], dict[str, list[str]]]:
-    """(blocks: path, prior, text; children: path to the child elements it has here, in order)."""
+def _read(html: str | None) -> _Page:
     page = _Page()
     page.feed(html or "")
     page.close()
     page._flush()
+    return page
+
+
+def parse(html: str | None) -> tuple[list[tuple[str, float, str]], dict[str, list[str]]]:
+    """(blocks: path, prior, text; children: path to the block child elements it has here, in order)."""
+    page = _read(html)
     return page.blocks, page.children
+
+
+def parse_counted(html: str | None) -> tuple[list[tuple[str, float, str]], dict[str, tuple[list[str], int]]]:
+    """As ``parse``, with the number of a path's elements beside its children."""
+    page = _read(html)
+    return page.blocks, {p: (c, page.elements.get(p, 1)) for p, c in page.children.items()}

@@ -1,14 +1,16 @@
 """Main text by site style trees.
 
 The DOMs of a host's pages are merged: elements with the same path of tags and class names are one node of the host's
-tree. A node's presentations are the runs of child elements it has on the pages, its contents the texts it holds
-itself. Both are weighed by entropy over the pages that have the node: a node looking the same everywhere, or
+tree. A node's presentations are the runs of block child elements it has on the pages, its contents the texts it holds
+itself, inline elements included. Both are weighed by entropy over the pages that have the node: a node looking the same everywhere, or
 holding the same text on most pages, is furniture; one whose texts belong to single pages matters.
 
     presentation = -sum p_i log(p_i) / log(m + c)             over presentations i
     content      = 1 - mean over texts of log(k) / log(m + c)  a text standing on k of the node's m pages
-    importance   = (1 - g ** l) * presentation + g ** l * content + prior,  l child elements on average, g = 0.9
+    composite    = (1 - g ** l) * presentation + g ** l * content              l block children of an element on average, g = 0.9
+    importance   = max(content, composite) + prior
 
+The layout around a text can speak for it, never against it: a text of single pages counts in full wherever it stands.
 ``c`` pages of doubt keep a host of few pages from condemning its articles; ``prior`` favours article and main elements
 and rules out elements that are furniture by their tag or name on any site. Text of nodes below ``threshold`` is removed.
 
@@ -37,15 +39,15 @@ from tidewatch.session import materialise
 
 INNER = ("__host", "__blocks", "__nodes")
 _BLOCKS = T.ArrayType(T.StructType().add("path", T.LongType()).add("prior", T.DoubleType()).add("text", T.StringType()))
-_NODES = T.ArrayType(T.StructType().add("path", T.LongType()).add("style", T.LongType()).add("children", T.IntegerType()))
+_NODES = T.ArrayType(T.StructType().add("path", T.LongType()).add("style", T.LongType()).add("children", T.DoubleType()))
 
 
 def parsed(pages: DataFrame) -> DataFrame:
     """``pages`` without ``html``, with ``__host``, ``__blocks`` (path, prior, text) and ``__nodes`` (path, presentation,
-    number of children; one per path and page)."""
+    block children of an element; one per path and page)."""
     kept = without(pages, "html", *INNER)
     blocks = pa.list_(pa.struct([("path", pa.int64()), ("prior", pa.float64()), ("text", pa.string())]))
-    nodes = pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("children", pa.int32())]))
+    nodes = pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("children", pa.float64())]))
     names = [*kept.columns, "__blocks", "__nodes"]
 
     @lean
@@ -55,9 +57,9 @@ def parsed(pages: DataFrame) -> DataFrame:
             for batch in text_slices(whole, 0):
                 found, seen = [], []
                 for html in batch.column(0).to_pylist():
-                    b, children = html_blocks.parse(html)
+                    b, children = html_blocks.parse_counted(html)
                     found.append([{"path": key(p), "prior": v, "text": t} for p, v, t in b])
-                    seen.append([{"path": key(p), "style": key(">".join(k for k, _ in groupby(c))), "children": len(c)} for p, c in children.items()])
+                    seen.append([{"path": key(p), "style": key(">".join(k for k, _ in groupby(c))), "children": len(c) / n} for p, (c, n) in children.items()])
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, blocks), pa.array(seen, nodes)], names=names)
 
     shape = T.StructType(list(kept.schema.fields)).add("__blocks", _BLOCKS).add("__nodes", _NODES)
@@ -80,7 +82,8 @@ def importances(read: DataFrame, doubt: int = 8, depth: float = 0.9) -> DataFram
     content = common.groupBy("__host", "path").agg(F.avg(F.log("__k")).alias("__logk"), F.min("prior").alias("prior"))
     both = content.join(shown, ["__host", "path"])
     weight = F.pow(F.lit(depth), F.col("__l"))
-    value = (1 - weight) * F.col("__presentation") + weight * (1 - F.col("__logk") / log(F.col("__m"))) + F.col("prior")
+    own = 1 - F.col("__logk") / log(F.col("__m"))
+    value = F.greatest(own, (1 - weight) * F.col("__presentation") + weight * own) + F.col("prior")
     return both.select(F.col("__host").alias("host"), "path", value.alias("importance"))
 
 

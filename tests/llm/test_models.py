@@ -151,6 +151,32 @@ def test_inline_children_do_not_cost_the_text(spark):
         assert r["text"] == "\n".join(want), r["text"]
 
 
+def test_the_host_outvotes_priors(spark):
+    # A notice in every article goes; what a name calls furniture stays where its texts all differ, and goes where they do not.
+    html = lambda i: f"<body><article><p class=n>notice</p><p>story {i}</p></article><div class=promo>offer {i}</div><div class=ad>buy</div><p>{'end ' * 9}{i}</p></body>"
+    pages = spark.createDataFrame([(i, f"//{'few' if i < 20 else 'many'}.example/{i}", html(i)) for i in range(320)], "page_id long, url string, html string")
+    for r in rows(style_tree.extract(pages)):
+        i = r["page_id"]
+        offer = [] if i < 20 else [f"offer {i}"]
+        assert r["text"].split("\n") == [f"story {i}", *offer, "end " * 9 + str(i)], r["text"]
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "elementor-widget-wrap", "widget Blog", "search-results"])
+@pytest.mark.parametrize("count", [1, 50])
+def test_wrappers_keep_the_page(spark, name, count):
+    inner = ["<p>{0}</p><ul><li>item {0}</ul>", "<article><p>{0}</p></article><div class=comments>reader {0}</div>"]
+    html = lambda i, k: f"<body><form><p class=t>title {i}</p><div class='{name}'>{inner[k].format('story ' * 20 + str(i))}</div></form></body>"
+    pages = spark.createDataFrame([(k * 100 + i, f"//h{k}.example/{i}", html(i, k)) for i in range(count) for k in (0, 1)], "page_id long, url string, html string")
+    for r in rows(style_tree.extract(pages)):
+        assert f"{'story ' * 20}{r['page_id'] % 100}" in r["text"].split("\n"), r["text"]
+
+
+def test_copies_of_a_page_count_once(spark):
+    html = "<body><article><p>story</p></article><div>end</div></body>"
+    pages = spark.createDataFrame([(i, f"//h.example/{i}", html) for i in range(100)], "page_id long, url string, html string")
+    assert {r["text"] for r in rows(style_tree.extract(pages))} == {"story\nend"}
+
+
 def test_page_edges(spark):
     data = [
         (1, None, None), (2, "x", ""), (3, "https://a.b/c", "plain &am &amp text"), (4, None, page(4)), (4, None, page(4)), (5, "https://a.b/d", "<p>open <b>x"),

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from hashlib import blake2b
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-#: Elements that hold no reading text, whatever the site.
-NOISE_TAGS = frozenset("head title nav footer aside form script style noscript template button select option textarea input iframe svg canvas object audio video menu dialog".split())
+#: Elements that hold no reading text, whatever the site. Their text is left out.
+NOISE_TAGS = frozenset("head title nav footer script style noscript template button select option textarea input iframe svg canvas object audio video".split())
+#: Elements that are furniture more often than not, as those with a name of furniture.
+DOUBTED_TAGS = frozenset("aside form menu dialog".split())
 #: Words of a class or id that name page furniture.
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert popup modal overlay nav navbar navigation menu "
@@ -19,8 +23,18 @@ _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"t
 _SCOPES = frozenset("ul ol dl table tbody thead tfoot div article section main body html nav footer aside form header blockquote figure".split())
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
-#: What an element's kind adds to its importance.
-MAIN, NEUTRAL, NOISE = 0.3, 0.0, -1.0
+#: What an element's kind adds to its importance on a host of no pages; the more pages, the less (``style_tree``).
+MAIN, NEUTRAL, NAMED = 0.15, 0.0, -2.0
+#: Elements named as furniture that hold this share of a page's text are wrappers of the page: their name says nothing.
+WRAPS = 0.7
+
+
+class Mark(NamedTuple):
+    """What an element's tag and name, and those above it, say of its text."""
+
+    noise: bool = False
+    main: bool = False
+    named: tuple[str, ...] = ()  # paths of the elements named as furniture, within the nearest article or main
 
 
 def path_key(path: str) -> int:
@@ -30,28 +44,42 @@ def path_key(path: str) -> int:
 class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, float]] = []  # tag, path, prior
+        self.stack: list[tuple[str, str, Mark]] = []
         self.held: list[str] = []
-        self.blocks: list[tuple[str, float, str]] = []
+        self.marked: list[tuple[str, Mark, str]] = []
         self.children: dict[str, list[str]] = {"": []}
         self.elements: dict[str, int] = {}
 
-    def _prior(self, tag: str, names: list[str]) -> float:
-        above = self.stack[-1][2] if self.stack else NEUTRAL
-        if above == NOISE or tag in NOISE_TAGS or (tag == "header" and above != MAIN):
-            return NOISE
+    def _mark(self, tag: str, names: list[str], path: str) -> Mark:
+        above = self.stack[-1][2] if self.stack else Mark()
+        if above.noise or tag in NOISE_TAGS:
+            return Mark(noise=True)
         if tag in ("article", "main"):
-            return MAIN
+            return Mark(main=True)
         furniture = any(n in NOISE_NAMES for n in names) and not any(n in ("has", "with", "no") for n in names)
-        return NOISE if furniture and tag not in ("html", "body") else above
+        if tag in DOUBTED_TAGS or (tag == "header" and not above.main) or (furniture and tag not in ("html", "body")):
+            return above._replace(named=(*above.named, path))
+        return above
 
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.held)).strip()
         self.held = []
         if text:
-            path, prior = next(((p, v) for t, p, v in reversed(self.stack) if t not in INLINE), ("", NEUTRAL))
+            path = next((p for t, p, _ in reversed(self.stack) if t not in INLINE), "")
             # Furniture may be inline too.
-            self.blocks.append((path, min(prior, self.stack[-1][2]) if self.stack else prior, text))
+            mark = self.stack[-1][2] if self.stack else Mark()
+            if not mark.noise:
+                self.marked.append((path, mark, text))
+
+    def blocks(self) -> list[tuple[str, float, str]]:
+        """Path, prior and text of every block outside noise."""
+        shares: Counter[str] = Counter()
+        for _, mark, text in self.marked:
+            for path in set(mark.named):
+                shares[path] += len(text)
+        most = WRAPS * sum(len(text) for _, _, text in self.marked)
+        prior = lambda mark: NAMED if any(shares[p] < most for p in mark.named) else MAIN if mark.main else NEUTRAL
+        return [(path, prior(mark), text) for path, mark, text in self.marked]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE and tag != "br":
@@ -67,11 +95,11 @@ class _Page(HTMLParser):
             self.children.setdefault(above, []).append(sign)
         if tag in VOID:
             return
-        prior = self._prior(tag, names)
-        if tag in INLINE and self.stack and prior != self.stack[-1][2]:
+        path = f"{above}/{sign}"
+        mark = self._mark(tag, names, path)
+        if tag in INLINE and self.stack and mark != self.stack[-1][2]:
             self._flush()
-        self.stack.append((tag, f"{above}/{sign}", prior))
-        path = self.stack[-1][1]
+        self.stack.append((tag, path, mark))
         self.children.setdefault(path, [])
         self.elements[path] = self.elements.get(path, 0) + 1
 
@@ -116,10 +144,10 @@ def _read(html: str | None) -> _Page:
 def parse(html: str | None) -> tuple[list[tuple[str, float, str]], dict[str, list[str]]]:
     """(blocks: path, prior, text; children: path to the block child elements it has here, in order)."""
     page = _read(html)
-    return page.blocks, page.children
+    return page.blocks(), page.children
 
 
 def parse_counted(html: str | None) -> tuple[list[tuple[str, float, str]], dict[str, tuple[list[str], int]]]:
     """As ``parse``, with the number of a path's elements beside its children."""
     page = _read(html)
-    return page.blocks, {p: (c, page.elements.get(p, 1)) for p, c in page.children.items()}
+    return page.blocks(), {p: (c, page.elements.get(p, 1)) for p, c in page.children.items()}

@@ -59,6 +59,46 @@ def test_scan_equals_loops(spark):
         assert 0 <= r["score"] <= 1 and (r["score"] > 0) == bool(labels)
 
 
+NOTICES = {
+    "under the GNU GPL v3": "gpl-3", "under the GPL version 3": "gpl-3", "licensed under GPL version 2": "gpl-2", "under the GPL v1": "gpl-1", "General Public License version 1": "gpl-1",
+    "written for the gnu gpl 2": "gpl-2", "X11 license": "mit", "under the Expat licence": "mit", "SPDX-License-Identifier: 0BSD": "0bsd", "the WTFPL": "wtfpl",
+    "do what the fuck you want to public licence": "wtfpl",
+}
+
+
+def ways(parsed):
+    """Texts a pattern matches: every branch, what is optional both with and without, other repeats at their least."""
+    texts = [""]
+    for kind, value in parsed:
+        match str(kind):
+            case "LITERAL":
+                more = [chr(value)]
+            case "IN":
+                more = [chr(v) if str(k) == "LITERAL" else chr(v[0]) if str(k) == "RANGE" else "w" for k, v in value]
+            case "BRANCH":
+                more = [t for branch in value[1] for t in ways(branch)]
+            case "SUBPATTERN":
+                more = ways(value[3])
+            case "MAX_REPEAT":
+                low, high, inner = value
+                more = [t * n for t in ways(inner) for n in ({0, 1} if (low, high) == (0, 1) else {low})]
+        texts = [a + b for a in texts for b in dict.fromkeys(more)]
+    return texts
+
+
+def test_the_prefilter_loses_nothing(spark):
+    table = license_rules.rules()
+    for rule in table:
+        for text in ways(re._parser.parse(rule.pattern)):
+            assert re.fullmatch(rule.pattern, text) and f" {rule.keyword}" in f" {text}", (rule.id, text)
+    ungated = [rule._replace(keyword="") for rule in table]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*NOTICES, *TEXTS])], "doc_id long, text string")
+    for r in rows(licenses.scan(df)):
+        _, _, _, labels, kept = scanned(r["text"], ungated)
+        assert r["labels"] == ",".join(labels) and sorted((d["start"], d["stop"], d["label"]) for d in r["detections"]) == kept, r
+        assert r["labels"] == NOTICES.get(r["text"], r["labels"]), r
+
+
 def test_rules_are_many_and_distinct():
     table = license_rules.rules()
     assert len(table) > 300 and len({r.id for r in table}) == len(table)

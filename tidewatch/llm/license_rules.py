@@ -1,6 +1,8 @@
 """The signature rules of the licence scan, built from licence names and the ways a notice can name them.
 
 A rule is (id, label, priority, keyword, pattern). Patterns run over a text's lower-case words joined by single spaces.
+Every match of a pattern holds the rule's keyword at the start of a word: ways to name a licence that share no word are
+rules of their own.
 Priority 1 (a machine-readable tag) outranks 2 (a notice), 3 (a name with the word licence) and 4 (a bare mention).
 """
 
@@ -18,19 +20,25 @@ class Rule(NamedTuple):
 
 
 _V2 = r"(?:version |v ?)?2(?: 0)?"
+_GPL = r"(?:gnu )?gpl(?: version| v)? ?"
 # Label, words that name the licence, its keyword.
 NAMES = [
-    ("mit", r"(?:mit|expat|x11)", "mit"),
+    ("mit", r"mit", "mit"),
     ("mit", r"expat", "expat"),
+    ("mit", r"x11", "x11"),
     ("apache-2", rf"apache(?: software)?(?: license| licence)? {_V2}", "apache"),
     ("apache-1.1", r"apache(?: software)?(?: license| licence)? (?:version |v ?)?1 1", "apache"),
     ("bsd-2", r"(?:2 clause|simplified|freebsd) bsd|bsd 2(?: clause)?", "bsd"),
     ("bsd-3", r"(?:3 clause|new|modified|revised) bsd|bsd 3(?: clause)?", "bsd"),
     ("bsd-4", r"(?:4 clause|original) bsd|bsd 4(?: clause)?", "bsd"),
-    ("0bsd", r"(?:0bsd|zero clause bsd|0 clause bsd)", "bsd"),
-    ("gpl-1", r"(?:gnu )?(?:general public license|gpl)(?: version| v)? ?1(?: 0)?", "gnu"),
-    ("gpl-2", r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: version| v)? ?2(?: 0)?", "general public"),
-    ("gpl-3", r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: version| v)? ?3(?: 0)?", "general public"),
+    ("0bsd", r"(?:zero clause bsd|0 clause bsd)", "bsd"),
+    ("0bsd", r"0bsd", "0bsd"),
+    ("gpl-1", r"(?:gnu )?general public license(?: version| v)? ?1(?: 0)?", "general public"),
+    ("gpl-1", _GPL + r"1(?: 0)?", "gpl"),
+    ("gpl-2", r"(?:gnu )?general public licen[cs]e(?: version| v)? ?2(?: 0)?", "general public"),
+    ("gpl-2", _GPL + r"2(?: 0)?", "gpl"),
+    ("gpl-3", r"(?:gnu )?general public licen[cs]e(?: version| v)? ?3(?: 0)?", "general public"),
+    ("gpl-3", _GPL + r"3(?: 0)?", "gpl"),
     ("gpl-2", r"gpl ?v? ?2(?: 0)?", "gpl"),
     ("gpl-3", r"gpl ?v? ?3(?: 0)?", "gpl"),
     ("lgpl-2", r"(?:gnu )?(?:library|lesser) general public licen[cs]e(?: version| v)? ?2(?: 0)?", "general public"),
@@ -52,7 +60,8 @@ NAMES = [
     ("artistic-2", r"artistic licen[cs]e(?: version)? 2(?: 0)?", "artistic"),
     ("artistic-1", r"artistic licen[cs]e(?: version)? 1(?: 0)?", "artistic"),
     ("unlicense", r"unlicense", "unlicense"),
-    ("wtfpl", r"(?:wtfpl|do what the fuck you want to public licen[cs]e)", "public license"),
+    ("wtfpl", r"do what the fuck you want to public licen[cs]e", "do what the"),
+    ("wtfpl", r"wtfpl", "wtfpl"),
     ("ofl-1.1", r"sil open font licen[cs]e(?: version)?(?: 1 1)?", "open font"),
     ("ncsa", r"university of illinois ncsa open source licen[cs]e", "ncsa"),
     ("python-2", r"python software foundation licen[cs]e(?: version 2)?", "python software"),
@@ -114,8 +123,8 @@ def rules() -> list[Rule]:
         for way, priority, _, pattern in _WAYS:
             body = pattern.replace("{licence}", _LICENCE).replace("{name}", f"(?:{name})")
             found.append(Rule(f"{way}-{label}-{n}", label, priority, keyword, body))
-        # A name that says licence itself is a mention even without the word after it.
-        if "licen" in name:
+        # A name that says licence itself, or is short for one that does, is a mention even without the word after it.
+        if "licen" in name or name.startswith(_GPL) or name == "wtfpl":
             found.append(Rule(f"mention-{label}-{n}", label, 3, keyword, f"(?:{name})"))
     for label, short, long in COMMONS:
         found.append(Rule(f"tag-{label}", label, 1, "spdx", rf"spdx {_LICENCE} identifier cc {short}(?: [1-4] [0-9])?"))

@@ -173,3 +173,19 @@ def test_package_hash(spark, hash_case):
 
     df = spark.createDataFrame([(b"abc", hash_case(hashlib.sha256(b"abc").hexdigest())), (b"abd", "0" * 64)], "content binary, package_hash string")
     assert [r["accepted"] for r in E.verify_packages(df).collect()] == [True, False]
+
+
+def test_packages_are_many_bounded_files(spark, tmp_path):
+    import hashlib
+
+    lines = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "b").otherwise("a").alias("package"), F.concat(F.repeat(F.lit("\r é"), 30), F.col("id").cast("string")).alias("line"))
+    root = tmp_path / "packages"
+    E.write_packages(lines, str(root), "id", lines_per_file=150)
+    sizes = [len(f.read_bytes().split(b"\n")) - 1 for f in root.glob("package=a/*.txt")]
+    assert len(sizes) >= 14 and max(sizes) <= 150 and sum(sizes) == 2000
+    whole = {p: "".join("\r é" * 30 + f"{i}\n" for i in range(3000) if (i % 3 == 0) == (p == "b")).encode() for p in "ab"}
+    want = {p: hashlib.sha256(c).hexdigest() for p, c in whole.items()}
+    for chunk in (100, 8192):
+        assert {r["package"]: r["hash"] for r in E.package_hashes(E.read_packages(spark, str(root), chunk), "place").collect()} == want
+    told = lines.withColumn("content", F.encode(F.concat("line", F.lit("\n")), "UTF-8"))
+    assert {r["package"]: r["hash"] for r in E.package_hashes(told, "id").collect()} == want

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.durations import duration_seconds
 from tidewatch.functions.hashing import cohort
+from tidewatch.operators.ordered import in_order
 
 PHASES = "array<struct<id:string,percentage:double,duration:string,require_approval:boolean,approved:boolean,metrics:array<string>,thresholds:map<string,double>>>"
 ROLLOUT_SCHEMA = f"id string, version string, status string, target_groups array<string>, current_phase int, phases {PHASES}, package_hash string"
@@ -165,16 +168,52 @@ def sync_status(devices: DataFrame, pending: DataFrame, syncs: DataFrame) -> Dat
     return rows.select("device_id", "last_sync", F.coalesce("online", F.lit(False)).alias("online"), F.coalesce("pending_changes", F.lit(0)).alias("pending_changes"))
 
 
-def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """Package files below a folder: package (file name, or the folder's partition value), content as bytes."""
+def write_packages(lines: DataFrame, path: str, order: str, lines_per_file: int = 4000) -> None:
+    """Text files of ``line`` per ``package`` in an order; a package is as many bounded files as it takes, by ranges of the order."""
+    spread = lines.repartitionByRange("package", order).sortWithinPartitions("package", order)
+    spread.select("package", "line").write.partitionBy("package").option("maxRecordsPerFile", lines_per_file).text(path)
+
+
+def read_packages(spark: SparkSession, path: str, chunk: int = 8192) -> DataFrame:
+    """Package files below a folder, in chunks: package (file name, or the folder's partition value), the place of the
+    chunk in its package (part and counter of the file's name, its path, number within the file), content as bytes."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.coalesce(F.nullif(F.regexp_extract("path", r"/package=([^/]+)/[^/]+$", 1), F.lit("")), F.regexp_extract("path", r"([^/]+)$", 1))
-    return rows.select(name.alias("package"), "content")
+    number = lambda pattern: F.regexp_extract("path", pattern, 1).try_cast("int")
+    file = [number(r"/part-(\d+)-[^/]*$").alias("part"), number(r"\.c(\d+)[^/]*$").alias("counter"), F.col("path")]
+    starts = F.sequence(F.lit(0), F.floor(F.greatest(F.length("content") - 1, F.lit(0)) / chunk).cast("int"))
+    rows = rows.select(name.alias("package"), F.struct(*file).alias("file"), "content", F.explode(starts).alias("number"))
+    return rows.select("package", F.struct("file", "number").alias("place"), F.substring("content", F.col("number") * chunk + 1, F.lit(chunk)).alias("content"))
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    package, digest, done = None, None, []
+    for batch in batches:
+        for name, content in zip(batch.column("package").to_pylist(), batch.column("content")):
+            if digest is None or name != package:
+                if digest is not None:
+                    done.append((package, digest.hexdigest()))
+                package, digest = name, hashlib.sha256()
+            digest.update(content.as_buffer() or b"")
+    if digest is not None:
+        done.append((package, digest.hexdigest()))
+    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([d for _, d in done], pa.string())], names=["package", "hash"])
+
+
+def package_hashes(parts: DataFrame, order: str) -> DataFrame:
+    """SHA-256 of each ``package``'s ``content`` in an order of its parts. A digest is sequential by nature: a package's
+    parts stream through one task, which holds the digest's state and one batch, never the package."""
+    return in_order(parts.select("package", order, "content"), ["package"], [order]).mapInArrow(_digests, "package string, hash string")
 
 
 def verify_packages(packages: DataFrame, content: str = "content", expected: str = "package_hash") -> DataFrame:
     """SHA-256 of the content against the expected hex text."""
-    return packages.withColumn("actual_hash", F.sha2(F.col(content), 256)).withColumn("accepted", F.lower(expected) == F.col("actual_hash"))
+    return verify_hashes(packages.withColumn("actual_hash", F.sha2(F.col(content), 256)), expected)
+
+
+def verify_hashes(packages: DataFrame, expected: str = "package_hash") -> DataFrame:
+    """``actual_hash`` against the expected hex text."""
+    return packages.withColumn("accepted", F.lower(expected) == F.col("actual_hash"))
 
 
 def last_good_version(deployments: DataFrame, by: str = "environment") -> DataFrame:

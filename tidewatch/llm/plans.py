@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import host_rules, language, licenses, mixing, near_dups, packing, quality, sharding, sql, style_tree, topk
+from tidewatch.llm import fill_middle, hard_negatives, host_rules, language, licenses, lm_scoring, mixing, near_dups, packing, quality, sharding, sql, style_tree, topk
 from tidewatch.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_bayes", sql.NEAR_DUPS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_shared_lists", sql.HARD_NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", told), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_fill_middle", sql.FILL_MIDDLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_attention_score")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = lm_scoring.train(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return lm_scoring.score(docs, learned).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.operators import alerting as L
 from tidewatch.operators.density import density_noise
@@ -23,20 +24,20 @@ def walk(rows, limit, slot, window):
 def test_admit_equals_a_walk(spark):
     rows = [(i, f"k{(i * i) % 23 % 9}", (i * 37) % 2400) for i in range(600)]
     df = spark.createDataFrame([(i, k, T0 + dt.timedelta(seconds=s)) for i, k, s in rows], "id long, dedupe_key string, timestamp timestamp")
-    got = sorted(r["id"] for r in L.admit(df, "id", limit=3).collect())
+    got = sorted(r["id"] for r in L.admit(df.withColumn("q", F.lit(1)), "id", ["q"], limit=3).collect())
     assert got == walk(rows, 3, 60, 300) and got
 
 
 def test_a_duplicate_uses_no_budget_and_a_limited_alert_is_not_remembered(spark):
     rows = [(i, "same", 1) for i in range(10)] + [(20, "new", 30), (21, "late", 31), (22, "late", 70)]
     df = spark.createDataFrame([(i, k, T0 + dt.timedelta(seconds=s)) for i, k, s in rows], "id long, dedupe_key string, timestamp timestamp")
-    assert sorted(r["id"] for r in L.admit(df, "id", limit=2).collect()) == [0, 20, 22]
+    assert sorted(r["id"] for r in L.admit(df.withColumn("q", F.lit(1)), "id", ["q"], limit=2).collect()) == [0, 20, 22]
 
 
 def test_queues_do_not_share_a_budget(spark):
     df = spark.createDataFrame([(i, f"k{i}", f"t{i % 2}", T0) for i in range(6)], "id long, dedupe_key string, tenant string, timestamp timestamp")
-    assert sorted(r["id"] for r in L.admit(df, "id", limit=1, by=["tenant"]).collect()) == [0, 1]
-    assert L.admit(df.limit(0), "id").count() == 0
+    assert sorted(r["id"] for r in L.admit(df, "id", ["tenant"], limit=1).collect()) == [0, 1]
+    assert L.admit(df.limit(0), "id", ["tenant"]).count() == 0
 
 
 @pytest.mark.parametrize("dims", [1, 3, 5])

@@ -119,3 +119,13 @@ def test_health_and_ejection(spark):
     req = spark.createDataFrame([(i, "h", T0 + dt.timedelta(seconds=i), c) for i, c in enumerate(codes)], "id int, host string, timestamp timestamp, status_code int")
     out = R.eject_outliers(req, "host", ["id"]).collect()
     assert [((r["ejected_at"] - T0).seconds, (r["back_at"] - T0).seconds) for r in out] == [(7, 37)]
+
+
+def test_a_burst_behind_an_old_error_ejects_and_the_count_starts_anew(spark):
+    """One error, ten minutes later eleven in eleven seconds; a good answer in between breaks a run."""
+    at = [0, *range(600, 611), 700, 701, 702, 703, 704, 705]
+    codes = [503] * 12 + [503, 503, 200, 503, 503, 503]
+    req = spark.createDataFrame([(i, "h", T0 + dt.timedelta(seconds=s), c) for i, (s, c) in enumerate(zip(at, codes))], "id int, host string, timestamp timestamp, status_code int")
+    for chunk in ("3s", "1h", None):
+        out = R.eject_outliers(req, "host", ["id"], chunk=chunk).collect()
+        assert sorted((r["ejected_at"] - T0).seconds for r in out) == [604, 609]

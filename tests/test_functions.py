@@ -75,6 +75,15 @@ def test_mask_secrets(spark):
     assert row["a"] == 'login user=bob password=*** "token": "***" done'
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("password='two words' x", "password='***' x"), ("Authorization: ApiKey abc123", "Authorization: ***"), ("client_secret=a", "client_secret=***"),
+    ("access_token: b c", "access_token: *** c"), ("db_password=x;pwd=y", "db_password=***;pwd=***"), ('{"x-api-key": "k \\" k"}', '{"x-api-key": "***"}'),
+    ('password="no end', 'password="*** end'), ("compass=1 tokens=2 secretary=3", "compass=1 tokens=2 secretary=3"), ("token=***", "token=***"), ("", ""),
+])
+def test_secrets_in_all_their_forms(spark, text, want):
+    assert one(spark, a=L.mask_secrets(F.lit(text)))["a"] == want
+
+
 def test_relabel_replace_no_match_is_unchanged(spark):
     df = spark.createDataFrame([("10.0.0.1:80", "9404", "old"), ("nohost", "x", "old")], "address string, port string, target string")
     out = S.relabel_replace(df, ["address", "port"], "target", r"([^:]+)(?::\d+)?;(\d+)", "$1:$2").collect()

@@ -161,11 +161,20 @@ def one_row_per_hit(df: DataFrame, candidates: Sequence[Column]) -> DataFrame:
     return rows.select(*df.columns, "_hit.*")
 
 
+#: Keys whose values are secret, alone or behind a prefix that ends in ``_`` or ``-``.
+SECRET_KEYS = "password|passwd|pwd|secret|token|api[_-]?key|authorization"
+
+
 def mask_secrets(text: Column) -> Column:
     """Hide values of secret-bearing keys; everything else, the user name included, stays.
 
-    A quoted value goes up to its closing quote, an authorisation scheme goes with its token.
+    A quoted value goes up to its closing quote, single or double; an authorisation scheme of any name goes with its
+    token; ``client_secret`` and ``db-password`` count as their last word does.
     """
-    key = r'(?i)("?\b(?:password|passwd|secret|token|api_key|authorization)\b"?\s*[=:]\s*'
-    quoted = F.regexp_replace(text, key + r'")(?:[^"\\]|\\.)*"', '$1***"')
-    return F.regexp_replace(quoted, key + r'"?)(?:(?:bearer|basic|digest|negotiate)\s+)?[^\s",;}]+', "$1***")
+    key = rf"""(?i)(["']?(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_-])*(?:{SECRET_KEYS})["']?\s*[=:]\s*"""
+    double = F.regexp_replace(text, key + r'")(?:[^"\\]|\\.)*"', '$1***"')
+    single = F.regexp_replace(double, key + r"')(?:[^'\\]|\\.)*'", "$1***'")
+    scheme = r"""(?i)(["']?(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_-])*authorization["']?\s*[=:]\s*)(?![*"'])[A-Za-z][A-Za-z0-9+.-]*[ \t]+[^\s"',;}]+"""
+    header = F.regexp_replace(single, scheme, "$1***")
+    # What is left is bare, or quoted without an end.
+    return F.regexp_replace(header, key + r"""["']?)(?!\*\*\*)[^\s"',;}]+""", "$1***")

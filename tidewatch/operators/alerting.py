@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.functions.durations import micros, seconds, step_start
+from tidewatch.functions.durations import duration_seconds, micros, seconds, step_start
 from tidewatch.functions.labels import one_row_per_hit, render
 from tidewatch.operators.cycles import cycle_outcomes
 from tidewatch.operators.ordered import in_order
@@ -181,7 +181,7 @@ def _admit(limit: int, slot: int, window: int):
 
 
 def admit(
-    alerts: DataFrame, ident: str, limit: int = RATE_LIMIT, slot: str = "60s", window: str = DEDUPE_WINDOW, key: str = "dedupe_key", by: Sequence[str] = (),
+    alerts: DataFrame, ident: str, by: Sequence[str], limit: int = RATE_LIMIT, slot: str = "60s", window: str = DEDUPE_WINDOW, key: str = "dedupe_key",
 ) -> DataFrame:
     """The alerts a queue lets through: at most ``limit`` accepted per fixed ``slot``, and none whose key was accepted
     less than ``window`` before. Only accepted alerts count: a duplicate uses no budget, a limited alert is not remembered.
@@ -189,7 +189,7 @@ def admit(
     A queue is sequential by nature: its alerts stream through one task in order, with the keys accepted within the
     window as its state. ``by`` names the columns that make queues of their own, which run side by side.
     """
-    queue = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]) if by else F.lit("")
+    queue = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by])
     rows = alerts.select(queue.alias("_queue"), F.col(ident).alias("_id"), F.coalesce(F.col(key), F.lit("")).alias("_key"), F.unix_micros("timestamp").alias("_us"))
     kept = in_order(rows, ["_queue"], ["_us", "_id"]).mapInPandas(_admit(limit, micros(slot), micros(window)), f"_id {dict(alerts.dtypes)[ident]}")
     return alerts.join(kept.withColumnRenamed("_id", ident), ident, "left_semi")
@@ -249,7 +249,7 @@ def group_notifications(
     """
     size, again = seconds(interval), int(-(-seconds(repeat) // seconds(interval)))
     keys = ["receiver", *by]
-    wait = F.when(F.col("group_wait") == "15s", 15.0).otherwise(seconds(GROUP_WAIT))
+    wait = F.coalesce(duration_seconds(F.col("group_wait")), F.lit(seconds(GROUP_WAIT)))
     t = F.unix_micros("timestamp") / 1_000_000
     groups = routed.groupBy(*keys).agg((F.min(t) + F.min(wait)).alias("_first"))
     tick = F.greatest(F.lit(0), F.ceil((t - F.col("_first")) / size)).cast("long")

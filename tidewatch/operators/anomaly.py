@@ -53,7 +53,11 @@ def flag_outside(
     new: DataFrame, stats: DataFrame, by: Sequence[str] = METRIC_KEY, sensitivity: float = SENSITIVITY, min_history: int = MIN_HISTORY,
 ) -> DataFrame:
     """``dynamic_threshold`` with statistics of the history that are already there."""
-    rows = new.join(stats, list(by), "left")
+    return flagged(new.join(stats, list(by), "left"), sensitivity, min_history)
+
+
+def flagged(rows: DataFrame, sensitivity: float = SENSITIVITY, min_history: int = MIN_HISTORY) -> DataFrame:
+    """Verdicts on rows that carry their history's ``hist_mean``, ``hist_std`` and ``hist_n``, batch or stream."""
     usable = F.col("hist_n") >= min_history
     lower = F.when(usable, F.col("hist_mean") - sensitivity * F.col("hist_std"))
     upper = F.when(usable, F.col("hist_mean") + sensitivity * F.col("hist_std"))

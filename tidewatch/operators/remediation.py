@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.durations import micros
 from tidewatch.operators.cycles import cycle_outcomes
 from tidewatch.operators.sequence import running_total, suggest_chunk, with_last_known, with_previous
+from tidewatch.session import materialise
 
 SEVERITY_ORDER = {"low": 0, "medium": 1, "high": 2, "critical": 3}
 MAX_REPLICAS = 10
@@ -88,8 +89,10 @@ def eject_outliers(
 ) -> DataFrame:
     """Hosts with ``errors`` server errors in a row within one interval, and how long they stay out.
 
-    A run of errors counts wherever it lies: every ``errors``-th error of it ejects if the last ``errors`` of them span
-    no more than the interval. Runs are counted by sums carried over chunks, so a host of any size is split.
+    Any ``errors`` errors in a row count that span no more than the interval, wherever their run began; after an
+    ejection the count starts anew. Of the errors that end such a span, one is passed over if fewer than ``errors`` of
+    the host's errors came since the last ejection: the rule that suppresses duplicates, with the running number of
+    errors as its clock. Numbers and spans are carried over chunks, so a host of any size is split.
     """
     order = {"ts": "timestamp", "tie": tie, "chunk": chunk or suggest_chunk(requests, [host])}
     rows = requests.withColumn("_bad", (F.col("status_code") >= 500).cast("long"))
@@ -102,8 +105,12 @@ def eject_outliers(
         last = f"_t{i}"
     place = F.col("_errors") - F.coalesce("_before", F.lit(0))
     span = F.unix_micros("timestamp") - F.unix_micros(last)
-    rows = rows.where((F.col("_bad") == 1) & (place % errors == 0) & (span <= micros(interval)))
-    return rows.select(
+    rows = rows.where((F.col("_bad") == 1) & (place >= errors) & (span <= micros(interval)))
+    # An error's number tells it apart inside its host; a stretch of numbers fills a task.
+    named = F.concat_ws("|", F.col(host).cast("string"), F.col("_errors").cast("string"))
+    ends = materialise(rows.select(host, "timestamp", named.alias("_id"), F.timestamp_micros("_errors").alias("_clock")), "ejections")
+    kept = cycle_outcomes(ends, host, "_id", "_clock", 1, errors / 1_000_000, chunk="1s").where(F.col("outcome") == 1)
+    return ends.join(kept, "_id", "left_semi").select(
         host, F.col("timestamp").alias("ejected_at"), F.timestamp_micros(F.unix_micros("timestamp") + micros(ejection)).alias("back_at")
     )
 

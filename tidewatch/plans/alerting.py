@@ -57,11 +57,9 @@ def to_alerts(t):
     return alerts(t).drop("details", "dedupe_key").withColumn("tags", F.array_join("tags", ","))
 
 
-@query("L02_dedupe_key", f"SELECT source || ':' || title || ':' || strftime(timestamp, '%Y%m%d%H%M') AS dedupe_key, count(*)::BIGINT AS n FROM {ALERTS} WHERE kind IN ('service_health', 'fraud') GROUP BY 1")
+@query("L02_dedupe_key", f"SELECT source || ':' || title || ':' || strftime(timestamp, '%Y%m%d%H%M') AS dedupe_key, count(*)::BIGINT AS n FROM {ALERTS} GROUP BY 1")
 def dedupe_key(t):
-    f = findings(t)
-    rows = L.to_alerts(f["service_health"], "service_health").unionByName(L.to_alerts(f["fraud"], "fraud"))
-    return rows.groupBy("dedupe_key").agg(F.count("*").alias("n"))
+    return alerts(t).groupBy("dedupe_key").agg(F.count("*").alias("n"))
 
 
 def keyed(t):
@@ -85,15 +83,16 @@ def rate_limit(t):
     return L.rate_limit(base(t).select("event_id", "timestamp"), ["event_id"], 10, "1h")
 
 
-@query("L04_admit", plain(f"""WITH RECURSIVE a AS MATERIALIZED (SELECT event_id, timestamp, service || ':' || event_type AS k, date_trunc('hour', timestamp) AS slot, row_number() OVER (ORDER BY timestamp, event_id) AS i FROM {BASE}),
-   walk AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS event_id, NULL::TIMESTAMP AS timestamp, NULL::TIMESTAMP AS slot, 0 AS taken, false AS ok, [{{'k': '', 't': TIMESTAMP '1970-01-01'}}] AS held
-     UNION ALL SELECT i, event_id, timestamp, slot, used + ok::INT, ok, CASE WHEN ok THEN list_append(list_filter(held, lambda x: timestamp - x.t < INTERVAL 12 HOUR), {{'k': k, 't': timestamp}}) ELSE held END FROM (
-       SELECT *, used < 2 AND len(list_filter(held, lambda x: x.k = k AND timestamp - x.t < INTERVAL 12 HOUR)) = 0 AS ok FROM (
-         SELECT a.*, w.held, CASE WHEN w.slot = a.slot THEN w.taken ELSE 0 END AS used FROM walk w JOIN a ON a.i = w.i + 1)))
-   SELECT event_id, timestamp FROM walk WHERE ok""", ts="timestamp"))
+@query("L04_admit", plain(f"""WITH RECURSIVE a AS MATERIALIZED (SELECT event_id, timestamp, service, service || ':' || event_type AS k, date_trunc('hour', timestamp) AS slot, row_number() OVER (PARTITION BY service ORDER BY timestamp, event_id) AS i FROM {BASE}),
+   walk AS (SELECT DISTINCT service, 0::BIGINT AS i, NULL::BIGINT AS event_id, NULL::TIMESTAMP AS timestamp, NULL::TIMESTAMP AS slot, 0 AS taken, false AS ok, [{{'k': '', 't': TIMESTAMP '1970-01-01'}}] AS held FROM a
+     UNION ALL SELECT service, i, event_id, timestamp, slot, used + ok::INT, ok, CASE WHEN ok THEN list_append(list_filter(held, lambda x: timestamp - x.t < INTERVAL 12 HOUR), {{'k': k, 't': timestamp}}) ELSE held END FROM (
+       SELECT *, used < 1 AND len(list_filter(held, lambda x: x.k = k AND timestamp - x.t < INTERVAL 12 HOUR)) = 0 AS ok FROM (
+         SELECT a.*, w.held, CASE WHEN w.slot = a.slot THEN w.taken ELSE 0 END AS used FROM walk w JOIN a ON a.service = w.service AND a.i = w.i + 1)))
+   SELECT service, event_id, timestamp FROM walk WHERE ok""", ts="timestamp"))
 def admit(t):
-    """Budget and duplicates together, against a walk over all alerts in order."""
-    return L.admit(keyed(t), "event_id", limit=2, slot="1h", window="12h").select("event_id", "timestamp")
+    """Budget and duplicates together, a queue per service, against a walk over each queue's alerts in order."""
+    alerts = keyed(t).join(base(t).select("event_id", "service"), "event_id")
+    return L.admit(alerts, "event_id", ["service"], limit=1, slot="1h", window="12h").select("service", "event_id", "timestamp")
 
 
 @query("L05_fan_out", f"""SELECT kind, severity, channel, count(*)::BIGINT AS n FROM {ALERTS}, (VALUES ('general-slack', NULL, NULL, true), ('critical-slack', ['critical'], NULL, true), ('pagerduty', ['error', 'critical'], NULL, true), ('email-digest', NULL, NULL, true), ('webhook', NULL, NULL, true), ('business', NULL, ['business'], true), ('off', NULL, NULL, false)) c(channel, sev, tag, enabled)
@@ -204,14 +203,16 @@ def circuit_state(t):
     return R.circuit_state(failures, "service", "event_id", 3, "1d", "2d").drop("timestamp")
 
 
-@query("L16_eject_outliers", plain(f"""SELECT service, timestamp AS ejected_at, timestamp + INTERVAL 30 SECOND AS back_at FROM (
-   SELECT *, row_number() OVER (PARTITION BY service, run, bad ORDER BY timestamp, event_id) AS p, lag(timestamp, 4) OVER (PARTITION BY service ORDER BY timestamp, event_id) AS first FROM (
-   SELECT *, sum(1 - bad) OVER (PARTITION BY service ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, (event_type IN ('error', 'view', 'click'))::INT AS bad FROM {BASE})))
-   WHERE bad = 1 AND p % 5 = 0 AND timestamp - first <= INTERVAL 1 DAY""", ts="ejected_at back_at"))
+@query("L16_eject_outliers", plain(f"""WITH RECURSIVE r AS MATERIALIZED (SELECT service, timestamp, event_type IN ('error', 'view', 'click') AS bad, row_number() OVER (PARTITION BY service ORDER BY timestamp, event_id) AS i FROM {BASE}),
+   w AS (SELECT DISTINCT service, 0::BIGINT AS i, NULL::TIMESTAMP AS timestamp, false AS out, []::TIMESTAMP[] AS held FROM r
+     UNION ALL SELECT service, i, timestamp, out, CASE WHEN out THEN [] ELSE held END FROM (
+       SELECT *, len(held) = 5 AND timestamp - held[1] <= INTERVAL 12 HOUR AS out FROM (
+         SELECT r.service, r.i, r.timestamp, CASE WHEN bad THEN list_append(w.held, r.timestamp)[-5:] ELSE [] END AS held FROM w JOIN r ON r.service = w.service AND r.i = w.i + 1)))
+   SELECT service, timestamp AS ejected_at, timestamp + INTERVAL 30 SECOND AS back_at FROM w WHERE out""", ts="ejected_at back_at"))
 def eject_outliers(t):
-    """Runs cross midnight here, as they cross any other border."""
+    """Five errors in a row within the interval, then the count starts anew: against a walk over each service's requests."""
     rows = base(t).select("service", "timestamp", "event_id", F.when(F.col("event_type").isin("error", "view", "click"), 503).otherwise(200).alias("status_code"))
-    return R.eject_outliers(rows, "service", ["event_id"], interval="1d")
+    return R.eject_outliers(rows, "service", ["event_id"], interval="12h")
 
 
 @query("L17_health_state", f"""SELECT event_id, service, coalesce(last_value(turn IGNORE NULLS) OVER (PARTITION BY service ORDER BY timestamp, event_id), 'unknown') AS state FROM (

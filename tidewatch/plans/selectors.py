@@ -159,10 +159,10 @@ def label_values(t):
 
 @query("R17_render_template",
     """SELECT event_id, 'Anomaly Detected: ' || event_type || ' - ' || value AS title,
-      'Current value: ' || value || ', expected {lower_bound}.' AS message FROM events WHERE event_type = 'error'""")
+      'Current value: ' || value || ', expected {lower_bound}.' AS message FROM events""")
 def render_template(t):
     context = {"service": F.col("event_type"), "value": F.col("value")}
-    return t.events.where(F.col("event_type") == "error").select("event_id",
+    return t.events.select("event_id",
         L.render("Anomaly Detected: {service} - {value}", context).alias("title"),
         L.render(F.lit("Current value: {value}, expected {lower_bound}."), context).alias("message"))
 
@@ -188,11 +188,24 @@ def weighted_split(t):
     return t.events.select("event_id", S.weighted_split(F.col("event_id").cast("string"), {"v1": 90, "v2": 10}).alias("subset"))
 
 
-@query("R20_mask_secrets", f"""SELECT log_id, regexp_replace(message, 'password=[^ ]+', 'password=***') || CASE log_id % 4 WHEN 0 THEN ' Authorization: ***' WHEN 1 THEN ' {{"password": "***", "user": "u"}}'
-   WHEN 2 THEN ' token=*** next' ELSE ' {{"authorization": "***"}}' END AS message FROM {LOGS}""")
+# What follows a message, and what is left of it.
+SECRETS = [
+    (" Authorization: Bearer abc123", " Authorization: ***"), (' {"password": "two words, \\"more\\"", "user": "u"}', ' {"password": "***", "user": "u"}'),
+    (" token=xyz next", " token=*** next"), (' {"authorization": "Basic dXNlcjpw"}', ' {"authorization": "***"}'), (" password='two words' user=u", " password='***' user=u"),
+    (" Authorization: ApiKey abc123", " Authorization: ***"), (" client_secret=s3cr3t&user=u", " client_secret=***"), (" access_token: abc, db_password=x; pwd=y", " access_token: ***, db_password=***; pwd=***"),
+    (' password="open ended', ' password="*** ended'), (" tokens=3 secretary=ann", " tokens=3 secretary=ann"),
+]
+
+
+def _cases(number, column):
+    quoted = [x[column].replace("'", "''") for x in SECRETS]
+    return f"CASE {number} % {len(SECRETS)} " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(quoted)) + " END"
+
+
+@query("R20_mask_secrets", f"SELECT log_id, regexp_replace(message, 'password=[^ ]+', 'password=***') || {_cases('log_id', 1)} AS message FROM {LOGS}")
 def mask_secrets(t):
-    """The messages, each followed by a header, a quoted value of several words, a bare value or a quoted scheme."""
-    part = F.col("log_id") % 4
-    more = F.when(part == 0, " Authorization: Bearer abc123").when(part == 1, ' {"password": "two words, \\"more\\"", "user": "u"}').when(part == 2, " token=xyz next")
-    message = F.concat("message", F.coalesce(more, F.lit(' {"authorization": "Basic dXNlcjpw"}')))
-    return t.logs().select("log_id", L.mask_secrets(message).alias("message"))
+    """The messages, each followed by one of the forms a secret comes in, or by words that only look like one."""
+    more = F.lit(None).cast("string")
+    for i, (text, _) in enumerate(SECRETS):
+        more = F.when(F.col("log_id") % len(SECRETS) == i, text).otherwise(more)
+    return t.logs().select("log_id", L.mask_secrets(F.concat("message", more)).alias("message"))

@@ -103,10 +103,10 @@ def chargeback_report(t):
     return t.spark.read.option("header", True).schema("month date, team string, cost double, period string").csv(path).drop("month")
 
 
-@query("S12_latest_version", "SELECT 'model-' || (user_id % 6) AS name, max('v' || event_id) AS version, 'p/' || max('v' || event_id) AS path, count(*)::BIGINT AS versions FROM events WHERE event_type = 'purchase' GROUP BY 1")
+@query("S12_latest_version", "SELECT 'model-' || (user_id % 6) AS name, max('v' || event_id) AS version, 'p/' || max('v' || event_id) AS path, count(*)::BIGINT AS versions FROM events GROUP BY 1")
 def latest_version(t):
     version = F.concat(F.lit("v"), F.col("event_id").cast("string"))
-    rows = t.events.where("event_type = 'purchase'").select(F.concat(F.lit("model-"), (F.col("user_id") % 6).cast("string")).alias("name"), version.alias("version"),
+    rows = t.events.select(F.concat(F.lit("model-"), (F.col("user_id") % 6).cast("string")).alias("name"), version.alias("version"),
         F.concat(F.lit("p/"), version).alias("path"), F.col("ts").alias("saved_at"))
     return M.latest_versions(rows)
 

@@ -1,15 +1,17 @@
-"""Streams over the given tables, run to their end and read back."""
+"""Streams over the given tables, run to their end and read back."""
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import anomaly as A
 from tidewatch.operators import alerting as L
+from tidewatch.operators import anomaly as A
+from tidewatch.operators.timeseries import threshold_filter
 from tidewatch.plans.alerting import base, keyed, routable
 from tidewatch.plans.catalog import ORACLES, plain, query
 from tidewatch.plans.selectors import LOGS
-from tidewatch.plans.timeseries import recorded_samples
-from tidewatch.session import ROCKSDB, materialise, scratch_path
-from tidewatch.sources.files import ISO_MICROS
+from tidewatch.plans.timeseries import CONDITION, SERIES, hourly, recorded_samples, state_sql, sum_avg
+from tidewatch.session import ROCKSDB, scratch_path
+from tidewatch.sources.files import ISO_MICROS, read_archive
+from tidewatch.streaming import ordered as O
 from tidewatch.streaming import stateful as Z
 from tidewatch.streaming import telemetry as S
 
@@ -21,8 +23,8 @@ def as_files(t, df, name):
     return path
 
 
-def in_stretches(t, df, name, writer, parts=3):
-    """Write the rows stretch of time by stretch of time, and run the stream after each until it has read everything.
+def in_stretches(t, df, name, writer, parts=3, ts="timestamp"):
+    """Write the rows stretch of time (``ts``) by stretch of time, and run the stream after each until it has read all.
 
     ``writer`` turns the stream into its writer (with its checkpoint), so state lives on from stretch to stretch.
     """
@@ -32,7 +34,7 @@ def in_stretches(t, df, name, writer, parts=3):
     shuffles = t.spark.conf.get("spark.sql.shuffle.partitions")
     t.spark.conf.set("spark.sql.shuffle.partitions", str(t.spark.sparkContext.defaultParallelism))
     try:
-        us = F.unix_micros("timestamp")
+        us = F.unix_micros(ts)
         ends = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
         width = (ends["hi"] - ends["lo"]) // parts + 1
         for i in range(parts):
@@ -43,10 +45,16 @@ def in_stretches(t, df, name, writer, parts=3):
         t.spark.conf.set("spark.sql.shuffle.partitions", shuffles)
 
 
-def appended(t, df, name, transform, parts=3):
+def flushed(df, ts="timestamp", days=4, **key):
+    """The rows and one of another key, days later, that lets the watermark pass all of them."""
+    end = df.agg((F.max(ts) + F.expr(f"INTERVAL {days} DAYS")).alias(ts))
+    return df.unionByName(end.select(ts, *[F.lit(v).alias(k) for k, v in key.items()]), allowMissingColumns=True)
+
+
+def appended(t, df, name, transform, parts=3, ts="timestamp"):
     """What an append-mode stream over the stretches wrote in all."""
     out, checkpoint = scratch_path(t.spark, f"{name}-out"), scratch_path(t.spark, f"{name}-checkpoint")
-    in_stretches(t, df, name, lambda rows: transform(rows).writeStream.format("parquet").options(path=out, checkpointLocation=checkpoint), parts)
+    in_stretches(t, df, name, lambda rows: transform(rows).writeStream.format("parquet").options(path=out, checkpointLocation=checkpoint), parts, ts)
     return t.spark.read.parquet(out)
 
 
@@ -69,18 +77,89 @@ def upsert_sink(t):
     return S.current_rows(t.spark, path, "trace_id").select("trace_id", "timestamp", "level", "span_id")
 
 
-@query("S10_periodic_scoring", """SELECT event_type AS metric_name, coalesce(c >= 30 AND (value < m - 3 * s OR value > m + 3 * s), false) AS is_anomaly, count(*)::BIGINT AS n
-   FROM events JOIN (SELECT event_type, avg(value) AS m, stddev_samp(value) AS s, count(*) AS c FROM (
-     SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, value DESC) AS r FROM events) WHERE r <= 1000 GROUP BY 1) USING (event_type) GROUP BY 1, 2""")
+HISTORY = """(SELECT *, m - 3 * s AS lower_threshold, m + 3 * s AS upper_threshold, coalesce(n >= 30 AND (value < m - 3 * s OR value > m + 3 * s), false) AS is_anomaly FROM (
+   SELECT event_id, event_type AS metric_name, ts AS timestamp, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s, count(*) OVER w AS n
+   FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING)))"""
+
+
+def judged(rows):
+    return A.flagged(O.history_stream(rows, ["metric_name"], ["event_id"]))
+
+
+@query("A01_history_stream", plain(f"SELECT event_id, metric_name, timestamp, value, lower_threshold, upper_threshold, least(1.0, abs(value - m) / s / 3) AS anomaly_probability FROM {HISTORY} WHERE is_anomaly", "value lower_threshold upper_threshold anomaly_probability", "timestamp"))
+def history_stream(t, parts=3):
+    """Every sample against the newest 1000 of its metric before it, from keyed state."""
+    rows = flushed(t.metrics().select("event_id", "metric_name", "timestamp", "value"), metric_name="flush")
+    found = appended(t, rows, "history", judged, parts).where("is_anomaly")
+    return found.select("event_id", "metric_name", "timestamp", "value", "lower_threshold", "upper_threshold", "anomaly_probability")
+
+
+@query("S10_periodic_scoring", f"SELECT metric_name, is_anomaly, count(*)::BIGINT AS n FROM {HISTORY} GROUP BY 1, 2")
 def periodic_scoring(t):
-    metrics = t.metrics().select("timestamp", "metric_name", "value", "service")
-    # The history's statistics are worked out once, not in every batch.
-    stats = materialise(A.history_stats(metrics, tie=["value"]), "history-stats")
+    """Predictions of every interval, each sample scored by what came before it."""
+    rows = flushed(t.metrics().select("event_id", "metric_name", "timestamp", "value"), metric_name="flush")
     path, checkpoint = scratch_path(t.spark, "scored"), scratch_path(t.spark, "scored-checkpoint")
-    stream = S.good_and_bad(S.telemetry_stream(t.spark, "metrics", folder=as_files(t, metrics, "scoring-in"), max_files=2))[0]
-    S.run_to_end(S.periodic_scoring(stream, lambda batch: A.flag_outside(batch, stats), path, checkpoint))
-    rows = t.spark.read.schema("metric_name string, is_anomaly boolean").json(path)
-    return rows.groupBy("metric_name", "is_anomaly").agg(F.count("*").alias("n"))
+    in_stretches(t, rows, "scoring-in", lambda stream: S.periodic_scoring(judged(stream), path, checkpoint), 2)
+    scored = t.spark.read.schema("metric_name string, is_anomaly boolean").json(path).where("metric_name != 'flush'")
+    return scored.groupBy("metric_name", "is_anomaly").agg(F.count("*").alias("n"))
+
+
+@query("S05_late_rows_stream", """WITH a AS (SELECT event_id, ts, ts + CASE WHEN event_id % 20 = 0 THEN INTERVAL 12 DAY ELSE INTERVAL 0 DAY END AS arrival FROM events),
+   s AS (SELECT a.*, (epoch_us(arrival) - lo) // ((hi - lo) // 3 + 1) AS part FROM a, (SELECT epoch_us(min(arrival)) AS lo, epoch_us(max(arrival)) AS hi FROM a)),
+   m AS (SELECT s.part, max(p.ts) - INTERVAL 1 DAY AS mark FROM (SELECT DISTINCT part FROM s) s JOIN s p ON p.part < s.part GROUP BY 1)
+   SELECT event_id, coalesce(ts < mark, false) AS late FROM s LEFT JOIN m USING (part)""")
+def late_rows_stream(t):
+    """One event in twenty arrives twelve days late: those behind the watermark are in the side table, all others are not."""
+    arrival = F.col("ts") + F.when(F.col("event_id") % 20 == 0, F.expr("INTERVAL 12 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    rows = t.events.select("event_id", F.col("ts").alias("timestamp"), arrival.alias("arrival"))
+    main, side, marks, checkpoint = (scratch_path(t.spark, f"late-{x}") for x in ("main", "side", "marks", "checkpoint"))
+    split = S.split_late(S.update_batch(main), side, marks, "1 day")
+    in_stretches(t, rows, "late-in", lambda r: r.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint), ts="arrival")
+    told = lambda path, late: t.spark.read.schema("event_id long").option("basePath", path).parquet(path).select("event_id", F.lit(late).alias("late"))
+    return told(main, False).unionByName(told(side, True))
+
+
+@query("S06_archive_stream", ORACLES["S06_archive_sink"])
+def archive_stream(t):
+    """The archive written as a stream, hour by hour of the records, read back."""
+    path, checkpoint = scratch_path(t.spark, "archive"), scratch_path(t.spark, "archive-checkpoint")
+    events = t.events.select("event_id", "user_id", F.col("ts").alias("timestamp"))
+    in_stretches(t, events, "archive-in", lambda rows: S.archive_stream(rows, path, checkpoint), 2)
+    return read_archive(t.spark, path, "event_id long, user_id long, timestamp timestamp, year string, month string, day string, hour string")
+
+
+def sliding_rates(t, parts=2):
+    rows = flushed(t.counters(), service="flush", status="flush")
+    return appended(t, rows, "sliding", lambda r: O.rate_stream(r, SERIES, "6h", "1h"), parts)
+
+
+@query("T01_rate_stream", ORACLES["T01_rate"], digits=9)
+def rate_stream(t, parts=2):
+    """Rates of six hours at every hour, from panes in state."""
+    return sliding_rates(t, parts)
+
+
+@query("T03_sum_avg_by_stream", ORACLES["T03_sum_avg_by"], digits=8)
+def sum_avg_by_stream(t):
+    return sum_avg(sliding_rates(t, 3))
+
+
+@query("T16_alert_state_stream", plain(f"""WITH s AS (SELECT * FROM {state_sql(CONDITION, 'service, metric_name', '3 HOUR')})
+   SELECT * FROM s UNION ALL SELECT service, metric_name, max(eval_ts) + INTERVAL 1 HOUR AS eval_ts, NULL AS value, active_since, 'resolved' AS state FROM s GROUP BY 1, 2, 5""", "value", "eval_ts active_since"))
+def alert_state_stream(t, parts=3):
+    """Pending and firing as event time passes, and when each run ended."""
+    rows = threshold_filter(hourly(t), ">", 60).select("service", "metric_name", "eval_ts", "value")
+    rows = flushed(rows, "eval_ts", service="flush", metric_name="flush")
+    states = appended(t, rows, "alert-state", lambda r: O.alert_state_stream(r, ["service", "metric_name"], "3h", "1h"), parts, "eval_ts")
+    return states.where("service != 'flush'")
+
+
+@query("L04_admit_stream", ORACLES["L04_admit"])
+def admit_stream(t, parts=3):
+    """Budget and duplicates together, a queue per service, from keyed state."""
+    alerts = flushed(keyed(t).join(base(t).select("event_id", "service"), "event_id"), service="flush", event_id=-1)
+    admitted = appended(t, alerts, "admit", lambda r: O.admission_stream(r, "event_id", ["service"], 1, "1h", "12h"), parts)
+    return admitted.where("service != 'flush'")
 
 
 @query("F07_update_history_stream", ORACLES["F07_update_history_batch"], digits=2)
@@ -94,7 +173,8 @@ def update_history_stream(t):
 @query("L03_suppress_duplicates_stream", ORACLES["L03_suppress_duplicates"])
 def suppress_duplicates_stream(t):
     alerts = keyed(t)
-    kept = appended(t, alerts, "suppress", lambda rows: Z.suppress_stream(rows, "event_id", "12h"), 2)
+    alerts_and_end = flushed(alerts, dedupe_key="flush", event_id=-1)
+    kept = appended(t, alerts_and_end, "suppress", lambda rows: Z.suppress_stream(rows, "event_id", "12h"), 2)
     return alerts.join(kept.select("event_id"), "event_id", "left_semi")
 
 
@@ -109,8 +189,9 @@ def rate_limit_stream(t):
 @query("L15_circuit_state_stream", ORACLES["L15_circuit_state"])
 def circuit_state_stream(t):
     failures = base(t).where("event_type = 'error'").select("event_id", "service", "timestamp")
+    failures = flushed(failures, service="flush", event_id=-1)
     rows = appended(t, failures, "circuit", lambda r: Z.circuit_stream(r, "service", "event_id", 3, "1d"), 2)
-    return rows.withColumnRenamed("key", "service")
+    return rows.withColumnRenamed("key", "service").where("service != 'flush'")
 
 
 @query("L09_group_notifications_stream", f"""SELECT concat_ws('|', receiver, alertname, cluster, service) AS "group", sent_at[:23] || '000' AS sent_at, new_alerts FROM ({ORACLES['L09_group_notifications']}) WHERE NOT repeated""")

@@ -50,7 +50,10 @@ def increase(t):
 
 @query("T03_sum_avg_by", plain(f"SELECT status, eval_ts, sum(value) AS total, avg(value) AS mean FROM {RATES} GROUP BY 1, 2", "total mean", "eval_ts", 8), digits=8)
 def sum_avg_by(t):
-    v = rates(t)
+    return sum_avg(rates(t))
+
+
+def sum_avg(v):
     return ts.sum_by(v, "status").withColumnRenamed("value", "total").join(
         ts.avg_by(v, "status").withColumnRenamed("value", "mean"), ["status", "eval_ts"])
 

@@ -75,12 +75,13 @@ def _delete(spark: SparkSession, folder: str) -> None:
 #: Where the tables that ``materialise`` returned lie, and the lists that record new ones.
 _WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _RECORDERS: list[list[str]] = []
+_FILES: list[int] = []
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write once and read back: cuts lineage with files that survive a lost executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(_FILES[-1]) if _FILES else df).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _WRITTEN[out] = path
     for paths in _RECORDERS:
@@ -88,6 +89,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def few_files(spark: SparkSession, per_core: int = 4) -> Iterator[int]:
+    """Inside the block ``materialise`` writes at most so many files per core: a chain of small tables over hundreds of
+    partitions is otherwise mostly the making of files, each with its folder, permissions and commit."""
+    _FILES.append(max(1, per_core * spark.sparkContext.defaultParallelism))
+    try:
+        yield _FILES[-1]
+    finally:
+        _FILES.pop()
+
+
 @contextmanager
 def recorded_scratch() -> Iterator[list[str]]:
     """The paths ``materialise`` writes to inside the block."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from math import inf
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidewatch.functions.durations import micros, seconds, step_start
-from tidewatch.operators.alerting import rate_limit
+from tidewatch.functions.durations import duration_seconds, micros, seconds, step_start
+from tidewatch.operators.alerting import GROUP_WAIT, rate_limit
 from tidewatch.operators.fraud import user_history
+from tidewatch.streaming.ordered import AT, InOrder, emptied, filled, in_order
 
 
 def history_stream(transactions: DataFrame) -> DataFrame:
@@ -24,62 +27,69 @@ def history_stream(transactions: DataFrame) -> DataFrame:
     return user_history(rows, population_std=True)
 
 
-class CycleProcessor(StatefulProcessor):
+class CycleProcessor(InOrder):
     """Per key: count events, trip at the threshold, swallow until the timeout has passed (see operators.cycles)."""
 
-    def __init__(self, threshold: int, timeout_us: int, ident: str, idle_ms: int | None = None):
-        self.threshold, self.timeout_us, self.ident, self.idle_ms = threshold, timeout_us, ident, idle_ms
+    def __init__(self, threshold: int, timeout_us: int, ident: tuple[str, str], forget_us: int | None = None):
+        super().__init__([(AT, "bigint"), ident], [ident[0]], ["key"])
+        self.threshold, self.timeout, self.ident, self.forget = threshold, timeout_us, ident[0], forget_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("cycle", "until bigint, count int", self.idle_ms)
+    def open(self) -> None:
+        self.state = self.handle.getValueState("cycle", "until bigint, count int, last bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        until, count = self.state.get() if self.state.exists() else (-1, 0)
-        pdf = pd.concat(list(rows)).sort_values(["at_us", self.ident], kind="stable")
+    def advance(self, key, rows, watermark):
+        until, count, last = self.state.get() if self.state.exists() else (-1, 0, -1)
         outcome = []
-        for us in pdf["at_us"]:
+        for us in rows[AT].tolist():
+            last = us
             if until != -1 and us < until:
                 outcome.append(2)
                 continue
-            if until != -1:
-                until, count = -1, 0
-            count += 1
+            until, count = -1, count + 1
             if count >= self.threshold:
-                until, count = int(us) + self.timeout_us, 0
+                until, count = us + self.timeout, 0
                 outcome.append(1)
             else:
                 outcome.append(0)
-        self.state.update((int(until), int(count)))
-        yield pd.DataFrame({"key": key[0], self.ident: pdf[self.ident].to_numpy(), "outcome": outcome})
-
-    def close(self) -> None:
-        pass
+        over = until == -1 or until <= watermark
+        # A breaker's count has no end of its own; what it was counting is dropped only if told so.
+        if over and (count == 0 or self.forget is not None and last + self.forget <= watermark):
+            self.state.clear()
+        else:
+            self.state.update((until, count, last))
+        if outcome:
+            yield self.named(key, {self.ident: rows[self.ident], "outcome": outcome})
+
+    def wake(self) -> float:
+        if not self.state.exists():
+            return inf
+        until, count, last = self.state.get()
+        return until if until != -1 else last + self.forget if self.forget is not None else inf
 
 
 def cycle_stream(
-    events: DataFrame, key: str, ident: str, threshold: int, timeout: str, ts: str = "timestamp", idle: str | None = None,
-) -> DataFrame:
-    """Stream of key, ident and outcome (0 counted, 1 trips or is accepted, 2 swallowed).
+    events: DataFrame, key: str, ident: str, threshold: int, timeout: str, ts: str = "timestamp", forget: str | None = None, watermark: str = "1 minute",
+) -> DataFrame:
+    """Stream of key, ident and outcome (0 counted, 1 trips or is accepted, 2 swallowed), in order of time and ident.
 
-    ``idle`` is how long, by the clock, a key without events keeps its state: give a live stream one above its timeout,
-    or the state of keys that never come back grows for ever. A replay of old events must not set it.
+    A key's state goes, by event time, once its timeout has passed and nothing is being counted; ``forget`` names how
+    long without events a running count is kept.
     """
-    rows = events.select(F.col(key).cast("string").alias("key"), ident, F.unix_micros(ts).alias("at_us"))
+    rows = events.select(F.col(key).cast("string").alias("key"), ts, F.unix_micros(ts).alias(AT), *filled(events, [ident]))
     kind = dict(events.dtypes)[ident]
-    return rows.groupBy("key").transformWithStateInPandas(
-        CycleProcessor(threshold, micros(timeout), ident, micros(idle) // 1000 if idle else None),
-        f"key string, {ident} {kind}, outcome int", "Append", "ProcessingTime" if idle else "None",
-    )
+    processor = CycleProcessor(threshold, micros(timeout), (ident, kind), micros(forget) if forget else None)
+    out = in_order(rows, ["key"], ts, watermark, processor, f"key string, {ident} {kind}, outcome int")
+    return out.select("key", *emptied(out, [ident]), "outcome")
 
 
-def suppress_stream(alerts: DataFrame, ident: str, window: str = "300s", key: str = "dedupe_key", idle: str | None = None) -> DataFrame:
+def suppress_stream(alerts: DataFrame, ident: str, window: str = "300s", key: str = "dedupe_key", watermark: str = "1 minute") -> DataFrame:
     """Accepted alerts: none of the same key was accepted less than ``window`` before."""
-    return cycle_stream(alerts, key, ident, 1, window, idle=idle).where(F.col("outcome") == 1).drop("outcome")
+    return cycle_stream(alerts, key, ident, 1, window, watermark=watermark).where(F.col("outcome") == 1).drop("outcome")
 
 
-def circuit_stream(failures: DataFrame, context: str, ident: str, threshold: int, reset: str, idle: str | None = None) -> DataFrame:
+def circuit_stream(failures: DataFrame, context: str, ident: str, threshold: int, reset: str, forget: str | None = None, watermark: str = "1 minute") -> DataFrame:
     names = F.create_map(F.lit(0), F.lit("counted"), F.lit(1), F.lit("opened"), F.lit(2), F.lit("refused"))
-    return cycle_stream(failures, context, ident, threshold, reset, idle=idle).withColumn("breaker", names[F.col("outcome")]).drop("outcome")
+    return cycle_stream(failures, context, ident, threshold, reset, forget=forget, watermark=watermark).withColumn("breaker", names[F.col("outcome")]).drop("outcome")
 
 
 def rate_limit_batch(path: str, tie: Sequence[str], limit: int, window: str = "60s") -> Callable[[DataFrame, int], None]:
@@ -133,13 +143,21 @@ class GroupProcessor(StatefulProcessor):
         self.ticks = handle.getMapState("ticks", "tick bigint", "alerts bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        first, sent = self.state.get() if self.state.exists() else (int(pdf["at_ms"].min() + pdf["wait_ms"].min()), -1)
+        first, sent = self.state.get() if self.state.exists() else (None, -1)
+        # Only how many alerts came when is held, however many there are.
+        alerts, wait = Counter(), None
+        for pdf in rows:
+            alerts.update(pdf["at_ms"].tolist())
+            wait = min(int(pdf["wait_ms"].min()), wait if wait is not None else 1 << 62)
+        if first is None:
+            first = min(alerts) + wait
         self.state.update((int(first), int(sent)))
-        later = (-(-(pdf["at_ms"] - first) // self.interval_ms)).clip(lower=0)
-        # An alert whose tick was already sent goes with the next one.
-        tick = (first + later * self.interval_ms).clip(lower=first if sent < 0 else sent + self.interval_ms)
-        for at, count in tick.value_counts().items():
+        ticks = Counter()
+        for at, count in alerts.items():
+            # An alert whose tick was already sent goes with the next one.
+            tick = first + max(0, -(-(at - first) // self.interval_ms)) * self.interval_ms
+            ticks[max(tick, first if sent < 0 else sent + self.interval_ms)] += count
+        for at, count in ticks.items():
             known = self.ticks.getValue((int(at),))[0] if self.ticks.containsKey((int(at),)) else 0
             self.ticks.updateValue((int(at),), (int(known + count),))
             self.handle.registerTimer(int(at))
@@ -164,7 +182,7 @@ class GroupProcessor(StatefulProcessor):
 
 def group_stream(routed: DataFrame, by: Sequence[str], interval: str = "5m", repeat: str = "4h", watermark: str = "1 minute") -> DataFrame:
     """Notifications of every group as event time passes: group, sent_ms, new_alerts."""
-    wait = F.when(F.col("group_wait") == "15s", 15_000).otherwise(30_000)
+    wait = F.coalesce(duration_seconds(F.col("group_wait")), F.lit(seconds(GROUP_WAIT))) * 1000
     rows = routed.withWatermark("timestamp", watermark).select(
         F.concat_ws("|", "receiver", *by).alias("group"), "timestamp", F.unix_millis("timestamp").alias("at_ms"), wait.cast("long").alias("wait_ms")
     )

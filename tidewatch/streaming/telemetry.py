@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -125,20 +125,62 @@ def latest_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(key, "_r.*")
 
 
-def periodic_scoring(records: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str = SCORING_INTERVAL) -> DataStreamWriter:
-    """Score what arrived in each interval and write the predictions; a repeated batch replaces its own files."""
+def periodic_scoring(scored: DataFrame, path: str, checkpoint: str, every: str = SCORING_INTERVAL) -> DataStreamWriter:
+    """Write the predictions of a scored stream (as from ``ordered.history_stream``) in every interval, each once."""
+    return scored.writeStream.format("json").options(path=path, checkpointLocation=checkpoint, timestampFormat=ISO_MICROS).trigger(processingTime=every)
+
+
+def split_late(on_time: Callable[[DataFrame, int], None], side_path: str, marks_path: str, delay: str = WATERMARK, ts: str = "timestamp") -> Callable[[DataFrame, int], None]:
+    """A batch writer that hands ``on_time`` the rows the watermark has not passed and puts the others in a side table.
+
+    The watermark of a batch is the newest time of all batches before it less ``delay``; it is kept beside the side
+    table, a row per batch, and a batch reads only the one before. Rows without a time go to the side table. A repeated
+    batch replaces what it wrote, so every row of the stream is in one of the two, once.
+    """
+    behind = F.expr(f"INTERVAL {delay}")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        score(batch).write.mode("overwrite").json(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        mark = None
+        if batch_id > 0:
+            mark = spark.read.schema("mark timestamp").parquet(f"{marks_path}/batch={batch_id - 1}").first()["mark"]
+        rows = batch.persist()
+        passed = F.coalesce(F.col(ts) < F.lit(mark) - behind, F.col(ts).isNull()) if mark is not None else F.col(ts).isNull()
+        on_time(rows.where(~passed), batch_id)
+        rows.where(passed).write.mode("overwrite").parquet(f"{side_path}/batch={batch_id}")
+        newest = rows.agg(F.greatest(F.max(ts), F.lit(mark).cast("timestamp")).alias("mark"))
+        newest.write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
+        rows.unpersist()
+
+    return run
+
+
+def touched_stretches(rows: DataFrame, part: str, size: int, reach: int) -> list[tuple[int, int]]:
+    """First and last of each run of stretches whose results the rows can change, ``reach`` microseconds ahead: one row
+    per stretch that holds rows comes to the driver."""
+    starts = sorted(r[part] for r in rows.select(part).distinct().collect() if r[part] is not None)
+    runs: list[tuple[int, int]] = []
+    for start in starts:
+        end = start + -(-reach // size) * size
+        if runs and start <= runs[-1][1] + size:
+            runs[-1] = (runs[-1][0], max(runs[-1][1], end))
+        else:
+            runs.append((start, end))
+    return runs
+
 
-    return records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(processingTime=every)
+def _within(column: str, runs: Sequence[tuple[int, int]], before: int = 0) -> Column:
+    hit = F.lit(False)
+    for first, last in runs:
+        hit |= F.col(column).between(first - before, last)
+    return hit
 
 
 def recording_batch(samples_path: str, out_path: str, window: str, step: str, part: str = "1h") -> Callable[[DataFrame, int], None]:
     """Keep the recorded signals up to date: store the batch, then evaluate again the times its samples can change.
 
-    Samples and results are laid out by stretches of time (``part``), so a batch reads and writes only the stretches
-    around it. Late samples simply touch older stretches.
+    Samples and results are laid out by stretches of time (``part``). A batch evaluates the stretches its samples reach,
+    and reads those and a window before them: a late sample costs its own window, not all the time since.
     """
     size = micros(part)
 
@@ -147,14 +189,13 @@ def recording_batch(samples_path: str, out_path: str, window: str, step: str, pa
         rows = batch.select("timestamp", "name", "labels", "value").withColumn("_part", step_start(F.col("timestamp"), size))
         path = f"{samples_path}/batch={batch_id}"
         rows.write.mode("overwrite").partitionBy("_part").parquet(path)
-        ends = rows.agg(F.min("_part").alias("lo"), F.max("_part").alias("hi")).first()
-        if ends["lo"] is None:
+        runs = touched_stretches(rows, "_part", size, micros(window) + micros(step))
+        if not runs:
             return
-        first, last = ends["lo"], ends["hi"] + size + micros(window)
         stored = spark.read.option("basePath", samples_path).parquet(samples_path)
-        near = stored.where(F.col("_part").between(first - micros(window) - size, last))
+        near = stored.where(_within("_part", runs, micros(window) + size))
         result = R.recording_rules(R.Signals(near.drop("_part", "batch"), step), window)
-        result = result.withColumn("_part", step_start(F.col("eval_ts"), size)).where(F.col("_part").between(first, last))
+        result = result.withColumn("_part", step_start(F.col("eval_ts"), size)).where(_within("_part", runs))
         result.hint("rebalance", "_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(out_path)
 
     return run

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.llm import host_rules, mixing, near_dups, packing, quality
 from tidewatch.llm.common import table
 from tidewatch.llm.plans import tokenizer_path
-from tidewatch.session import discard, materialise, recorded_scratch, ship
+from tidewatch.session import discard, few_files, materialise, recorded_scratch, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: What the stage before has in the scratch folder.
@@ -28,10 +28,10 @@ def _stage(fn: Stage) -> Stage:
         if not any(path in file for path in _LEFT for file in read):
             discard(spark, *_LEFT)
             _LEFT.clear()
-        with recorded_scratch() as paths:
+        with recorded_scratch() as paths, few_files(spark) as files:
             out = fn(spark, docs, sf_dir)
         _LEFT.extend(paths)
-        return out
+        return out.coalesce(files)
 
     return run_stage
 

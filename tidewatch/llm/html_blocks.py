@@ -12,6 +12,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that hold no reading text, whatever the site. Their text is left out.
 NOISE_TAGS = frozenset("head title nav footer script style noscript template button select option textarea input iframe svg canvas object audio video".split())
+#: What may stand in a page's head; anything else ends a head left open.
+HEAD_TAGS = frozenset("html head base link meta title style script noscript template".split())
+#: Noise that stays noise even where an article opens inside it.
+SEALED_TAGS = frozenset("head script style noscript template select option textarea iframe svg canvas object audio video".split())
 #: Elements that are furniture more often than not, as those with a name of furniture.
 DOUBTED_TAGS = frozenset("aside form menu dialog".split())
 #: Words of a class or id that name page furniture.
@@ -52,10 +56,10 @@ class _Page(HTMLParser):
 
     def _mark(self, tag: str, names: list[str], path: str) -> Mark:
         above = self.stack[-1][2] if self.stack else Mark()
+        if tag in ("article", "main") and not any(t in SEALED_TAGS for t, _, _ in self.stack):
+            return Mark(main=True)  # also where a menu or button before it was left open
         if above.noise or tag in NOISE_TAGS:
             return Mark(noise=True)
-        if tag in ("article", "main"):
-            return Mark(main=True)
         furniture = any(n in NOISE_NAMES for n in names) and not any(n in ("has", "with", "no") for n in names)
         if tag in DOUBTED_TAGS or (tag == "header" and not above.main) or (furniture and tag not in ("html", "body")):
             return above._replace(named=(*above.named, path))
@@ -82,6 +86,9 @@ class _Page(HTMLParser):
         return [(path, prior(mark), text) for path, mark, text in self.marked]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD_TAGS and any(t == "head" for t, _, _ in self.stack):
+            self._flush()
+            del self.stack[next(k for k, (t, _, _) in enumerate(self.stack) if t == "head") :]
         if tag not in INLINE and tag != "br":
             self._flush()
             self._imply_end(tag)
@@ -89,7 +96,7 @@ class _Page(HTMLParser):
             self.held.append(" ")
         names = _NAME.findall(" ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower())
         above = self.stack[-1][1] if self.stack else ""
-        sign = ".".join([tag, *names[:4]])
+        sign = ".".join([tag, *names])
         # Inline elements are part of the text, not of the layout.
         if tag not in INLINE and tag != "br":
             self.children.setdefault(above, []).append(sign)

@@ -36,7 +36,8 @@ ORDERS = (2, 3, 4)
 PROBES = 2
 UNKNOWN = "und"
 _U = np.uint64
-_LETTER = np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(0x10000)], bool)
+#: Per code point: 2 for a letter, 1 for a mark that goes with letters, 0 for all else.
+_KIND = np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)], np.uint8)
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -50,10 +51,11 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code = np.frombuffer((" " + " \n ".join(lowered) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter(map(len, lowered), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts)), sizes + 3)[: len(code)]
-    letter = _LETTER[np.minimum(code, 0xFFFF)] | (code > 0xFFFF)
+    kind = _KIND[code]
+    lettered = np.bincount(owner[kind == 2], minlength=len(texts)) > 0
+    letter = kind > 0
     keep = letter | np.concatenate(([True], letter[:-1] | (owner[1:] != owner[:-1])))
     code, owner, letter = np.where(letter, code, 32)[keep].astype(np.uint64), owner[keep], letter[keep]
-    lettered = np.bincount(owner[letter], minlength=len(texts)) > 0
     hashes, owners = [], []
     for n in ORDERS:
         size = len(code) - n + 1

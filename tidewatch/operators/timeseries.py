@@ -27,8 +27,8 @@ def _moved(value: Column, before: Column) -> Column:
     return (before.isNotNull() & (value != before)).cast("long")
 
 
-def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
-    """One row per series and step: rise and changes inside the step and on entering it, last sample, sum and extremes.
+def step_blocks(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
+    """One row per series and step: rise and changes inside the step, first and last sample, sum and extremes.
 
     Samples of one time stand in order of their value, so equal times give the same result on every run.
     """
@@ -36,7 +36,7 @@ def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "t
     rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     inside = W.partitionBy(*by, "_end").orderBy("_ts", "_v")
     rows = rows.withColumn("_b", F.lag("_v").over(inside))
-    parts = rows.groupBy(*by, "_end").agg(
+    return rows.groupBy(*by, "_end").agg(
         F.sum(_rise(F.col("_v"), F.col("_b"))).alias("_rise"),
         F.sum(_moved(F.col("_v"), F.col("_b"))).alias("_moves"),
         F.count(F.lit(1)).alias("_n"),
@@ -45,13 +45,33 @@ def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "t
         F.sum("_v").alias("_sum"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.max("_ts").alias("_last_ts"),
     )
-    series = W.partitionBy(*by).orderBy("_end")
-    parts = parts.withColumn("_b", F.lag("_last").over(series))
-    return parts.withColumns(
+
+
+def coarser_blocks(blocks: DataFrame, by: Sequence[str], step: str) -> DataFrame:
+    """Blocks of a longer step from shorter ones: what lies between two blocks of a step counts inside it."""
+    rows = blocks.withColumn("_fine", F.col("_end")).withColumn("_end", (F.ceil(F.col("_end") / F.lit(micros(step))) * F.lit(micros(step))).cast("long"))
+    rows = rows.withColumn("_b", F.lag("_last").over(W.partitionBy(*by, "_end").orderBy("_fine")))
+    return rows.groupBy(*by, "_end").agg(
+        F.sum(F.col("_rise") + _rise(F.col("_head"), F.col("_b"))).alias("_rise"),
+        F.sum(F.col("_moves") + _moved(F.col("_head"), F.col("_b"))).alias("_moves"),
+        F.sum("_n").alias("_n"), F.min_by("_head", "_fine").alias("_head"), F.max_by("_last", "_fine").alias("_last"),
+        F.sum("_sum").alias("_sum"), F.min("_min").alias("_min"), F.max("_max").alias("_max"), F.max("_last_ts").alias("_last_ts"),
+    )
+
+
+def entered(blocks: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Blocks with the rise and change on entering each, from the last sample before it."""
+    blocks = blocks.withColumn("_b", F.lag("_last").over(W.partitionBy(*by).orderBy("_end")))
+    return blocks.withColumns(
         {"_rise_in": _rise(F.col("_head"), F.col("_b")), "_moves_in": _moved(F.col("_head"), F.col("_b"))}
     ).drop("_b", "_head")
 
 
+def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
+    """``step_blocks`` with the rise and change on entering each step: what range functions start from."""
+    return entered(step_blocks(samples, by, step, ts, value), by)
+
+
 def on_grid(parts: DataFrame, by: Sequence[str], window: str, step: str) -> DataFrame:
     """Repeat nothing, fill gaps: every step end whose window holds samples becomes a row; filler rows hold nulls."""
     size, width = micros(step), micros(window)

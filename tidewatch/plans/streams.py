@@ -14,6 +14,7 @@ from tidewatch.sources.files import ISO_MICROS, read_archive
 from tidewatch.streaming import ordered as O
 from tidewatch.streaming import stateful as Z
 from tidewatch.streaming import telemetry as S
+from tidewatch.streaming.upserts import UpsertTable
 
 
 def as_files(t, df, name):
@@ -77,6 +78,16 @@ def upsert_sink(t):
     return S.current_rows(t.spark, path, "trace_id").select("trace_id", "timestamp", "level", "span_id")
 
 
+@query("S07_upsert_table", ORACLES["S07_upsert_sink"])
+def upsert_table(t):
+    """The same rows from a table of key buckets with a manifest, written batch by batch."""
+    logs = t.logs().select("timestamp", "level", "message", "service", "trace_id", F.col("span_id").cast("string").alias("span_id"))
+    table = UpsertTable(t.spark, scratch_path(t.spark, "upsert-table"), "trace_id", buckets=8, most_files=2)
+    checkpoint = scratch_path(t.spark, "upsert-table-checkpoint")
+    in_stretches(t, logs, "upsert-table-in", lambda rows: table.stream(rows, checkpoint), 4)
+    return table.read().select("trace_id", "timestamp", "level", "span_id")
+
+
 HISTORY = """(SELECT *, m - 3 * s AS lower_threshold, m + 3 * s AS upper_threshold, coalesce(n >= 30 AND (value < m - 3 * s OR value > m + 3 * s), false) AS is_anomaly FROM (
    SELECT event_id, event_type AS metric_name, ts AS timestamp, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s, count(*) OVER w AS n
    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING)))"""

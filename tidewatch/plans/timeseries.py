@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from tidewatch.operators import rules as R
+from tidewatch.operators import tiers as G
 from tidewatch.operators import timeseries as ts
-from tidewatch.plans.catalog import plain, query
+from tidewatch.plans.catalog import ORACLES, plain, query
 from tidewatch.plans.selectors import STATUS, SVC
 
 COUNTERS = f"(SELECT ts, {SVC} AS service, {STATUS} AS status, (event_id % 1000)::DOUBLE AS value FROM events)"
@@ -283,6 +284,20 @@ def downsample(t):
     return ts.coarsen(ts.downsample(t.counters(), SERIES, "5m"), SERIES, "1h")
 
 
+@query("T21_tier_read", ORACLES["T01_rate"], digits=9)
+def tier_read(t):
+    """Rates over a month of which a week is left raw and two in 5m blocks: the same as from all samples."""
+    counters = t.counters()
+    now = counters.agg(F.max("timestamp").alias("now"))
+    keep = {"raw": "7d", "5m": "14d", "1h": "60d"}
+    since = lambda name: now.scalar() - F.expr(f"INTERVAL {keep[name].removesuffix('d')} DAYS")
+    fine = ts.step_blocks(counters, SERIES, "5m")
+    tiers = {"5m": fine.where(F.timestamp_micros("_end") >= since("5m")), "1h": ts.coarser_blocks(fine, SERIES, "1h")}
+    raw = counters.where(F.col("timestamp") >= since("raw"))
+    blocks = G.read_blocks(raw, tiers, SERIES, "1h", now.first()["now"], keep, {"5m": "3d", "1h": "10d"})
+    return ts.increase_of(ts.entered(blocks, SERIES), SERIES, "6h", "1h").withColumn("value", F.col("value") / 21600)
+
+
 @query("T22_dedup_replicas", plain("SELECT event_type, ts AS timestamp, value + event_id % 2 AS value FROM events", "value", "timestamp"))
 def dedup_replicas(t):
     names = F.when(F.col("event_id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("c"), F.lit("b")))

@@ -11,6 +11,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.session import materialise
+
+
+def _written(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """The rows a fit reads again at every level and round, worked out once."""
+    return materialise(df.select(*features, label), "training-rows")
+
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
@@ -22,7 +29,7 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, trees:
         featuresCol="_features", labelCol=label, probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
         numTrees=trees, maxDepth=depth, seed=seed,
     )
-    return Pipeline(stages=[_assembler(features), forest]).fit(df)
+    return Pipeline(stages=[_assembler(features), forest]).fit(_written(df, features, label))
 
 
 def fit_boosting(df: DataFrame, features: Sequence[str], label: str, rounds: int = 100, depth: int = 5, rate: float = 0.1, seed: int = 42) -> PipelineModel:
@@ -30,7 +37,7 @@ def fit_boosting(df: DataFrame, features: Sequence[str], label: str, rounds: int
         featuresCol="_features", labelCol=label, predictionCol="_class", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed
     )
     boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw")
-    return Pipeline(stages=[_assembler(features), boosting]).fit(df)
+    return Pipeline(stages=[_assembler(features), boosting]).fit(_written(df, features, label))
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, out: str = "probability") -> DataFrame:
@@ -47,6 +54,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
 
 def fit_cause_classifier(df: DataFrame, features: Sequence[str], label: str, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
     """Multiclass forest on a text label, giving the label back as text."""
+    df = _written(df, features, label)
     indexer = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep")
     classes = indexer.fit(df)
     forest = RandomForestClassifier(

@@ -52,7 +52,8 @@ def training(t):
     tx = t.transactions()
     rows = fraud.fraud_features(tx, fraud.learn_medians(tx))
     planted = (F.col("email_is_disposable") == 1) | ((F.col("failed_payment_attempts") >= 2) & (F.col("amount") > 400000))
-    return rows.withColumn("label", planted.cast("int")), [c for c in rows.columns if c in fraud.FEATURES]
+    rows = materialise(rows.withColumn("label", planted.cast("int")), "fraud-training")
+    return rows, [c for c in rows.columns if c in fraud.FEATURES]
 
 
 @query("F02_random_forest")

@@ -39,7 +39,7 @@ def test_stages(stages):
 
 def test_queries_are_registered(spark, tiny):
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11 and set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(names) == 14 and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_pipeline_of_no_documents(spark, nothing, tiny):
@@ -47,3 +47,17 @@ def test_pipeline_of_no_documents(spark, nothing, tiny):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, tiny)
     assert docs.count() == 0
+
+
+def test_stages_take_clashing_columns_and_repeated_rows(spark, edge, tiny):
+    """Every row of the edge cases twice, beside documents the classifier can learn from."""
+    whole = spark.read.parquet(f"{tiny}/documents.parquet").where("doc_id > 20").withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = edge.unionByName(edge).unionByName(whole, allowMissingColumns=True)
+    names, kept = docs.columns, None
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, tiny)
+        if name != "sequence_packing":
+            assert docs.columns == names
+        if name == "near_duplicates":
+            kept = docs.where("doc_id IS NOT NULL").groupBy("doc_id", "text").count().where("count > 1").count()
+    assert kept == 0 and docs.count() > 0

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.operators import sketches as Q
 from tidewatch.operators import tiers as G
 from tidewatch.operators import timeseries as ts
 from tidewatch.streaming.upserts import UpsertTable
@@ -47,6 +48,30 @@ def test_a_range_over_three_tiers_equals_the_raw_answer(spark):
     assert {t for t, _, _ in G.stretches(int(now.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000, "2h", kept, {"5m": "2d", "1h": "15d"})} == {"raw", "5m", "1h"}
 
 
+def test_merged_sketches_keep_their_error(spark):
+    """40 000 names and 300 000 values in 5m blocks, merged to hours, then to all: within what the header states."""
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("s"), F.timestamp_seconds(1_704_067_201 + F.col("id") % 86_400).alias("timestamp"),
+        F.when(F.col("id") % 1000 > 0, F.pmod(F.xxhash64("id"), F.lit(40_000))).alias("who"), F.pow(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)).cast("double"), F.lit(2.0)).alias("value"),
+    )
+    days = Q.coarser_sketches(Q.coarser_sketches(Q.sketch_blocks(rows, ["s"], "5m", "who", "value"), ["s"], "1h"), ["s"], "1d")
+    got = {r["s"]: r for r in Q.estimates(days, ["s"], {"p50": 0.5, "p99": 0.99}).collect()}
+    want = {r["s"]: r for r in rows.groupBy("s").agg(F.count("*").alias("n"), F.count_distinct("who").alias("names")).collect()}
+    for s, w in want.items():
+        assert got[s]["n"] == w["n"] and abs(got[s]["names"] / w["names"] - 1) < Q.DISTINCT_ERROR
+        for p, q in (("p50", 0.5), ("p99", 0.99)):
+            rank = rows.where((F.col("s") == s) & (F.col("value") <= got[s][p])).count() / w["n"]
+            assert abs(rank - q) < Q.RANK_ERROR
+
+
+def test_sketches_of_nothing(spark):
+    rows = spark.createDataFrame([("a", T0, None, None), ("a", T0, None, float("nan")), ("b", T0, "x", 2.0)], "s string, timestamp timestamp, who string, value double")
+    blocks = Q.sketch_blocks(rows, ["s"], "5m", "who", "value")
+    got = {r["s"]: (r["n"], r["names"], r["p"]) for r in Q.estimates(Q.coarser_sketches(blocks, ["s"], "1h"), ["s"], {"p": 0.5}).collect()}
+    assert got == {"a": (2, 0, None), "b": (1, 1, 2.0)}
+    assert Q.estimates(Q.coarser_sketches(blocks.limit(0), ["s"], "1h"), ["s"], {"p": 0.5}).count() == 0
+
+
 @pytest.fixture
 def table(spark, tmp_path):
     return UpsertTable(spark, str(tmp_path / "table"), "k", buckets=4, most_files=2)

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions.durations import micros, step_end
 from tidewatch.operators import rules as R
+from tidewatch.operators import sketches as Q
 from tidewatch.operators import tiers as G
 from tidewatch.operators import timeseries as ts
 from tidewatch.plans.catalog import ORACLES, plain, query
@@ -298,6 +300,26 @@ def tier_read(t):
     return ts.increase_of(ts.entered(blocks, SERIES), SERIES, "6h", "1h").withColumn("value", F.col("value") / 21600)
 
 
+@query("T21_sketch_tier", plain(f"""SELECT service, date_trunc('day', ts - INTERVAL 1 MICROSECOND) + INTERVAL 1 DAY AS block_end, count(*)::BIGINT AS n, count(DISTINCT user_id)::BIGINT AS users, true AS users_close, true AS p50_close, true AS p95_close
+   FROM (SELECT *, {SVC} AS service FROM events) GROUP BY 1, 2""", ts="block_end"))
+def sketch_tier(t):
+    """Days from merged 5m sketches, beside the exact counts and ranks they are held to."""
+    rows = t.metrics().join(t.events.select("event_id", "user_id"), "event_id")
+    fine = Q.sketch_blocks(rows, ["service"], "5m", "user_id", "value")
+    days = Q.coarser_sketches(Q.coarser_sketches(fine, ["service"], "1h"), ["service"], "1d")
+    told = Q.estimates(days, ["service"], {"p50": 0.5, "p95": 0.95})
+    end = F.timestamp_micros(step_end(F.col("timestamp"), micros("1d"))).alias("block_end")
+    both = rows.select("service", end, "user_id", "value").join(told, ["service", "block_end"])
+    v, share = F.col("value"), lambda c: F.avg(c.cast("double"))
+    exact = both.groupBy("service", "block_end", "n", "names").agg(
+        F.count_distinct("user_id").alias("users"), *[share(v < F.col(p)).alias(f"{p}_below") for p in ("p50", "p95")], *[share(v <= F.col(p)).alias(f"{p}_upto") for p in ("p50", "p95")],
+    )
+    slack = Q.RANK_ERROR + 1 / F.col("n")
+    close = lambda p, q: ((F.col(f"{p}_below") <= q + slack) & (F.col(f"{p}_upto") >= q - slack)).alias(f"{p}_close")
+    near = F.abs(F.col("names") - F.col("users")) <= F.greatest(F.lit(1.0), Q.DISTINCT_ERROR * F.col("users"))
+    return exact.select("service", "block_end", "n", "users", near.alias("users_close"), close("p50", 0.5), close("p95", 0.95))
+
+
 @query("T22_dedup_replicas", plain("SELECT event_type, ts AS timestamp, value + event_id % 2 AS value FROM events", "value", "timestamp"))
 def dedup_replicas(t):
     names = F.when(F.col("event_id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("c"), F.lit("b")))

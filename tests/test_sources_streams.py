@@ -142,3 +142,35 @@ def test_watermarked_windows(spark, tmp_path):
         Y.run_to_end(Y.windowed_counts(stream, ["k"], "5 minutes").writeStream.outputMode("append").format("parquet").options(path=out, checkpointLocation=checkpoint))
     first = spark.read.parquet(out).where(F.col("window.start") == F.lit(T0)).collect()
     assert [(r["n"], r["total"]) for r in first] == [(2, 3.0)]
+
+
+def test_the_book_of_a_rolling_archive(spark, tmp_path):
+    """A late record reaches its closed hour, a repeated batch changes nothing, hours close as the mark passes their end."""
+    hour = lambda h, m=0: dt.datetime(2024, 5, 1, h, m)
+    path, hours = str(tmp_path / "rows"), str(tmp_path / "hours")
+    batches = [
+        [(1, hour(1, 5)), (2, hour(1, 50)), (3, hour(2, 10)), (4, None)],
+        [],
+        [(5, hour(1, 59)), (6, hour(3, 0)), (7, hour(3, 10))],
+    ]
+    write = Y.rolling_archive(path, hours, "10 minutes")
+    state = lambda: sorted((r["start"].hour, r["records"], r["late"], r["complete"]) for r in Y.archive_hours(spark, hours).collect())
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "id long, timestamp timestamp")
+        write(df, i)
+        once = state()
+        write(df, i)
+        assert state() == once
+        if i < 2:
+            assert once == [(1, 2, 0, True), (2, 1, 0, False)]
+    assert once == [(1, 3, 1, True), (2, 1, 0, True), (3, 2, 0, False)]
+    assert sorted(r["id"] for r in spark.read.json(path).collect()) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_the_book_does_not_depend_on_the_cut(spark, tiny):
+    """However the stream is cut, every hour holds the same records; only what counts as late follows the cut."""
+    from tidewatch.plans import streams as P
+    from tidewatch.sources.tables import Tables
+
+    found = [P.rolling_archive_stream(Tables(spark, tiny), parts).select("start", "records", "found", "complete").collect() for parts in (1, 4)]
+    assert sorted(found[0]) == sorted(found[1]) and all(r["records"] == r["found"] for r in found[0])

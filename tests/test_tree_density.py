@@ -58,7 +58,7 @@ def test_points_visit_leaves_within_reach_only(spark):
     rows = spark.createDataFrame([(i, [float(i // 10) * 10, float(i % 10) * 0.01]) for i in range(60)], "pid long, x array<double>")
     placed, levels = D.tree(rows.withColumn("w", F.lit(1)), 2, 10)
     homes = {r["pid"]: r["node"] for r in placed.collect()}
-    for r in D.visits(placed, levels, 1.0).collect():
+    for r in D.visits(placed, levels, 2, 1.0).collect():
         assert r["leaf"] != homes[r["pid"]]
         assert any(homes[q] == r["leaf"] for q in range(60) if q // 10 == r["pid"] // 10)
 

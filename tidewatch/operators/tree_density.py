@@ -83,20 +83,20 @@ def tree(points: DataFrame, dims: int, leaf: int) -> tuple[DataFrame, list[DataF
     return materialise(reduce(DataFrame.unionByName, placed), "tree-leaves"), levels
 
 
-def _gap(x: str, low: str, high: str) -> Column:
-    """Squared distance of a point from a box."""
-    outside = F.zip_with(F.zip_with(low, x, lambda a, b: a - b), F.zip_with(x, high, lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
-    return F.aggregate(outside, F.lit(0.0), lambda total, d: total + d * d)
+def _gap(dims: int) -> Column:
+    """Squared distance of the point ``x`` from the box, term by term: compiled, where functions over arrays are not."""
+    outside = [F.greatest(F.col("lo")[i] - F.col("x")[i], F.col("x")[i] - F.col("hi")[i], F.lit(0.0)) for i in range(dims)]
+    return reduce(lambda total, d: total + d, [d * d for d in outside])
 
 
-def visits(points: DataFrame, levels: list[DataFrame], eps: float) -> DataFrame:
+def visits(points: DataFrame, levels: list[DataFrame], dims: int, eps: float) -> DataFrame:
     """Each point (``pid``, ``x``, ``node``: its own leaf) with every other leaf whose box it can reach, as ``leaf``."""
     reach = eps * eps * (1 + 1e-9)
     at = points.select("pid", "x", F.col("node").alias("home"), F.lit("0").alias("parent"))
     # Read the written points' schema only: a tree of one leaf has no other leaves to visit.
     arrived = [at.where(F.lit(False)).select("pid", "x", F.col("home").alias("leaf"))]
     for boxes in levels[1:]:
-        below = at.join(boxes.drop("size"), "parent").where(_gap("x", "lo", "hi") <= reach)
+        below = at.join(boxes.drop("size"), "parent").where(_gap(dims) <= reach)
         below = materialise(below.select("pid", "x", "home", "node", "is_leaf"), "tree-visits")
         arrived.append(below.where("is_leaf AND node != home").select("pid", "x", F.col("node").alias("leaf")))
         at = below.where("NOT is_leaf").select("pid", "x", "home", F.col("node").alias("parent"))
@@ -159,7 +159,7 @@ def noise_keys(df: DataFrame, key: str, vector: str, eps: float, min_points: int
     own = placed.groupBy("node").applyInArrow(lambda t: _found(t, t, eps, min_points), FOUND)
     own = materialise(own, "tree-own")
     thin = placed.join(own.where(F.col("n") < min_points).select("pid"), "pid", "left_semi")
-    come = materialise(visits(thin, levels, eps), "tree-come")
+    come = materialise(visits(thin, levels, ends["lo"], eps), "tree-come")
 
     # Visitors of a leaf come in blocks; the leaf's points are repeated once per block.
     parts = come.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("parts"))

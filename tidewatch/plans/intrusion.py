@@ -107,12 +107,12 @@ def density(t):
     return density_noise(apply_scaler(rows, dims, fit_scaler(rows, dims)), "vec_id", dims).select("vec_id")
 
 
-@query("N06_density_noise_vectors", """WITH pts AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), near AS MATERIALIZED (SELECT a.vec_id AS p, b.vec_id AS q FROM pts a JOIN pts b ON list_distance(a.v, b.v) <= 1.16),
+@query("N06_density_noise_vectors", """WITH pts AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), near AS MATERIALIZED (SELECT a.vec_id AS p, b.vec_id AS q FROM pts a JOIN pts b ON list_distance(a.v, b.v) <= 1.14),
    core AS (SELECT p FROM near GROUP BY 1 HAVING count(*) >= 5), ok AS (SELECT DISTINCT near.p FROM near JOIN core ON near.q = core.p)
    SELECT vec_id FROM pts WHERE vec_id NOT IN (SELECT p FROM ok)""")
 def density_vectors(t):
     """All components as they are: leaves of a tree of boxes instead of a grid."""
-    return tree_density.noise_keys(t.embeddings, "vec_id", "embedding", 1.16, 5, leaf=256)
+    return tree_density.noise_keys(t.embeddings, "vec_id", "embedding", 1.14, 5, leaf=256)
 
 
 API_SCALED = f"(SELECT request_id, (params_count - avg(params_count) OVER ()) / stddev_pop(params_count) OVER () AS a, (response_time - avg(response_time) OVER ()) / stddev_pop(response_time) OVER () AS b FROM {API})"

@@ -139,6 +139,24 @@ def archive_stream(t):
     return read_archive(t.spark, path, "event_id long, user_id long, timestamp timestamp, year string, month string, day string, hour string")
 
 
+ARRIVED = """WITH a AS (SELECT event_id, ts, ts + CASE WHEN event_id % 20 = 0 THEN INTERVAL 12 DAY ELSE INTERVAL 0 DAY END AS arrival FROM events),
+   s AS (SELECT a.*, (epoch_us(arrival) - lo) // ((hi - lo) // {parts} + 1) AS part FROM a, (SELECT epoch_us(min(arrival)) AS lo, epoch_us(max(arrival)) AS hi FROM a)),
+   m AS (SELECT s.part, max(p.ts) - INTERVAL 1 DAY AS mark FROM (SELECT DISTINCT part FROM s) s JOIN s p ON p.part < s.part GROUP BY 1)"""
+
+
+@query("S06_rolling_archive_stream", plain(ARRIVED.format(parts=3) + """ SELECT date_trunc('hour', ts) AS start, count(*)::BIGINT AS records, count(*)::BIGINT AS found, (count(*) FILTER (WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark))::BIGINT AS late,
+   date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM s) AS complete FROM s LEFT JOIN m USING (part) GROUP BY 1""", ts="start"))
+def rolling_archive_stream(t, parts=3):
+    """The book of an archive's hours beside what its files hold; one event in twenty arrives twelve days late."""
+    arrival = F.col("ts") + F.when(F.col("event_id") % 20 == 0, F.expr("INTERVAL 12 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    rows = t.events.select("event_id", F.col("ts").alias("timestamp"), arrival.alias("arrival"))
+    path, hours, checkpoint = (scratch_path(t.spark, f"rolling-{x}") for x in ("rows", "hours", "checkpoint"))
+    in_stretches(t, rows, "rolling-in", lambda r: S.rolling_archive_stream(r, path, hours, checkpoint, "1 day"), parts, "arrival")
+    stored = t.spark.read.schema("event_id long, timestamp timestamp, year string, month string, day string, hour string, batch long").json(path)
+    at = F.to_timestamp(F.concat_ws("-", "year", "month", "day", "hour"), "yyyy-MM-dd-HH")
+    return S.archive_hours(t.spark, hours).join(stored.groupBy(at.alias("start")).agg(F.count("*").alias("found")), "start", "left")
+
+
 def sliding_rates(t, parts=2):
     rows = flushed(t.counters(), service="flush", status="flush")
     return appended(t, rows, "sliding", lambda r: O.rate_stream(r, SERIES, "6h", "1h"), parts)

@@ -76,6 +76,60 @@ def archive_stream(records: DataFrame, path: str, checkpoint: str, ts: str = "ti
     ).partitionBy("year", "month", "day", "hour").trigger(processingTime=ROLL_INTERVAL)
 
 
+def rolling_archive(path: str, hours_path: str, delay: str = WATERMARK, ts: str = "timestamp") -> Callable[[DataFrame, int], None]:
+    """A batch writer for the archive that also keeps book of its hours, so that readers know which are whole.
+
+    Files lie by the record's hour, then by batch, and roll at 10 000 records; the trigger rolls them by time. Beside them
+    each batch writes one row per hour it touched (``records``, and ``late``: those whose hour was closed when they came)
+    and its ``mark``, the newest time of all batches so far less ``delay``: every hour that ends at the mark or before is
+    closed. A late record still goes to its own hour, which counts it. Records without a time are kept in the archive's
+    default folder and belong to no hour. A repeated batch replaces its own files and rows; nothing is read but the mark of
+    the batch before.
+    """
+    behind = F.expr(f"INTERVAL {delay}")
+    keys = ["year", "month", "day", "hour"]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = None
+        if batch_id > 0:
+            before = spark.read.schema("mark timestamp").parquet(f"{hours_path}/marks/batch={batch_id - 1}").first()["mark"]
+        rows = batch.persist()
+        placed = rows.withColumns({**archive_columns(F.col(ts)), "batch": F.lit(batch_id)})
+        placed.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys, "batch").options(
+            maxRecordsPerFile=RECORDS_PER_FILE, timestampFormat=ISO_MICROS, partitionOverwriteMode="dynamic"
+        ).json(path)
+        start = F.date_trunc("hour", ts)
+        closed = F.coalesce(start + F.expr("INTERVAL 1 HOUR") <= F.lit(before).cast("timestamp"), F.lit(False))
+        book = rows.where(F.col(ts).isNotNull()).groupBy(start.alias("start"))
+        book = book.agg(F.count(F.lit(1)).alias("records"), F.count_if(closed).alias("late"))
+        book.write.mode("overwrite").parquet(f"{hours_path}/hours/batch={batch_id}")
+        mark = rows.agg(F.greatest(F.max(ts) - behind, F.lit(before).cast("timestamp")).alias("mark"))
+        mark.write.mode("overwrite").parquet(f"{hours_path}/marks/batch={batch_id}")
+        rows.unpersist()
+
+    return run
+
+
+def archive_hours(spark: SparkSession, hours_path: str) -> DataFrame:
+    """Per hour of a rolling archive: its ``records``, how many came ``late``, and whether it is ``complete``.
+
+    A record may still come after that; its hour then counts one more late record.
+    """
+    hours = spark.read.schema("start timestamp, records long, late long").parquet(f"{hours_path}/hours")
+    marks = spark.read.schema("mark timestamp").parquet(f"{hours_path}/marks").agg(F.max("mark").alias("mark"))
+    total = hours.groupBy("start").agg(F.sum("records").alias("records"), F.sum("late").alias("late"))
+    mark = marks.first()["mark"]
+    complete = F.coalesce(F.col("start") + F.expr("INTERVAL 1 HOUR") <= F.lit(mark).cast("timestamp"), F.lit(False))
+    return total.withColumn("complete", complete)
+
+
+def rolling_archive_stream(records: DataFrame, path: str, hours_path: str, checkpoint: str, delay: str = WATERMARK, ts: str = "timestamp") -> DataStreamWriter:
+    """The archive as a stream with its book of hours, a new round every five minutes."""
+    write = rolling_archive(path, hours_path, delay, ts)
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime=ROLL_INTERVAL)
+
+
 # --- upserts: every batch adds its newest row per key under its own number; readers take the newest of all ---------
 
 

@@ -165,12 +165,3 @@ def test_the_book_of_a_rolling_archive(spark, tmp_path):
             assert once == [(1, 2, 0, True), (2, 1, 0, False)]
     assert once == [(1, 3, 1, True), (2, 1, 0, True), (3, 2, 0, False)]
     assert sorted(r["id"] for r in spark.read.json(path).collect()) == [1, 2, 3, 4, 5, 6, 7]
-
-
-def test_the_book_does_not_depend_on_the_cut(spark, tiny):
-    """However the stream is cut, every hour holds the same records; only what counts as late follows the cut."""
-    from tidewatch.plans import streams as P
-    from tidewatch.sources.tables import Tables
-
-    found = [P.rolling_archive_stream(Tables(spark, tiny), parts).select("start", "records", "found", "complete").collect() for parts in (1, 4)]
-    assert sorted(found[0]) == sorted(found[1]) and all(r["records"] == r["found"] for r in found[0])

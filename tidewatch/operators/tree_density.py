@@ -92,8 +92,8 @@ def _gap(dims: int) -> Column:
 def visits(points: DataFrame, levels: list[DataFrame], dims: int, eps: float) -> DataFrame:
     """Each point (``pid``, ``x``, ``node``: its own leaf) with every other leaf whose box it can reach, as ``leaf``."""
     reach = eps * eps * (1 + 1e-9)
-    at = points.select("pid", "x", F.col("node").alias("home"), F.lit("0").alias("parent"))
-    # Read the written points' schema only: a tree of one leaf has no other leaves to visit.
+    at = points.select("pid", "x", F.col("node").alias("home"), F.substring_index("node", ".", 1).alias("parent"))
+    # A tree of one leaf has no other leaves to visit.
     arrived = [at.where(F.lit(False)).select("pid", "x", F.col("home").alias("leaf"))]
     for boxes in levels[1:]:
         below = at.join(boxes.drop("size"), "parent").where(_gap(dims) <= reach)

@@ -26,7 +26,7 @@ def test_marginals_equal_enumeration():
     rng = np.random.default_rng(3)
     lengths = np.array([3, 1, 5, 2])
     good, links = rng.normal(size=lengths.sum()), rng.normal(size=(2, 2))
-    got, z, pairs = quality._forward_backward(good, links, lengths, np.zeros(4))
+    got, z, pairs = quality._forward_backward(good, links, lengths, paired=True)
     want, at, total = [], 0, np.zeros((2, 2))
     for n in lengths:
         weight = {}
@@ -47,6 +47,39 @@ def test_held_out_quality(spark, docs):
     assert sum(r["predicted"] == r["quality"] for r in got) / len(got) > 0.97
 
 
+def test_splices_use_every_stretch_once():
+    stretches = [np.full((n, len(lines.OWN)), k, np.float32) for k, n in enumerate((3, 1, 5, 2, 4))]
+    x, counts, told = quality.splice(stretches, np.array([1, 0, 1, 1, 0]))
+    assert counts.sum() == 15 and len(counts) == 3
+    assert np.bincount(x[:, 1].astype(int)).tolist() == [3, 1, 5, 2, 4]
+    assert np.array_equal(told, np.array([1, 0, 1, 1, 0])[x[:, 1].astype(int)])
+    assert quality.splice([], np.zeros(0, int))[0].shape == (0, lines.WIDTH)
+
+
+def test_a_junk_block_is_seen_inside_a_good_text(spark, docs):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    field = quality.train(docs, labels)
+    tried = rows(docs.where(quality.held_out(F.col("doc_id"))).join(labels, "doc_id").where("text IS NOT NULL").orderBy("doc_id").select("text", "quality"))
+    good, bad = ([r["text"].split("\n") for r in tried if r["quality"] == k] for k in (1, 0))
+    inside, around, alone = [], [], []
+    for article, junk in zip(good, bad, strict=False):
+        cut = len(article) // 2
+        x, _, n = lines.line_features(["\n".join(article[:cut] + junk + article[cut:]), "\n".join(article)])
+        p = field.marginals(x, n)
+        inside.append(p[cut : cut + len(junk)].mean())
+        around.append(np.concatenate([p[:cut], p[cut + len(junk) : n[0]]]).mean())
+        alone.append(p[n[0] :].mean())
+    assert len(inside) > 10 and np.mean(inside) < 0.35 and np.mean(around) > 0.65 and np.mean(alone) > 0.9
+
+
+def test_long_documents_train_too(spark):
+    """Every stretch of a long document counts; the only labelled documents here are longer than one stretch."""
+    docs = spark.createDataFrame([(i, "\n".join((["Buy now!!! ### $$$ | x"] if i % 2 else ["A calm line of plain words."]) * 25)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    told = rows(quality.score(docs, quality.train(docs, labels, stretch=10)))
+    assert all(r["predicted"] == 1 - r["doc_id"] % 2 for r in told)
+
+
 def test_quality_edges(spark, edge, nothing):
     labels = spark.createDataFrame([(i, i % 2 if i != 4 else None, 0) for i in range(1, 13)] + [(None, 1, 0), (999, 0, 0)], "doc_id long, quality int, toxic int")
     field = quality.train(edge, labels)

@@ -40,8 +40,8 @@ ONLY = ("first", "last")
 WIDTH = 1 + 3 * len(OWN) + len(ONLY)
 
 
-def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features of all lines, characters of each line, lines of each text); a text without characters is one empty line."""
+def own_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(what every line tells by itself, characters of each line, lines of each text)."""
     parts = [t.split("\n") for t in texts]
     counts = np.array([len(p) for p in parts], np.int64)
     own = np.empty((int(counts.sum()), len(OWN)), np.float32)
@@ -62,13 +62,24 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             own[k, -1] = line in seen
             seen.add(line)
             k += 1
+    return own, size, counts
+
+
+def with_neighbours(own: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All features of lines from what each tells by itself; ``counts`` lines belong to each text."""
     first = np.zeros(len(own), bool)
     first[np.cumsum(counts) - counts] = True
     last = np.roll(first, -1)
     before, after = np.roll(own, 1, 0), np.roll(own, -1, 0)
     before[first], after[last] = 0, 0
     one = np.ones((len(own), 1), np.float32)
-    return np.concatenate([one, own, before, after, first[:, None], last[:, None]], 1).astype(np.float32), size, counts
+    return np.concatenate([one, own, before, after, first[:, None], last[:, None]], 1).astype(np.float32)
+
+
+def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of all lines, characters of each line, lines of each text); a text without characters is one empty line."""
+    own, size, counts = own_features(texts)
+    return with_neighbours(own, counts), size, counts
 
 
 def _own(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:

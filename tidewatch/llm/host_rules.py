@@ -24,6 +24,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 VERDICTS = ("base_failed", "host_rejected", "kept")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
+#: Bounds of a prior's strength, in documents: r = 1 and r = 0 would give none and infinitely many.
+WEAKEST, STRONGEST = 1.0, 1e6
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -83,26 +85,37 @@ def host_verdicts(counted: DataFrame, host: str = "source", max_rate: float = 0.
     """(host, ``rate_<rule>``..., ``host_rejected``): one row per host; documents are only ever added up.
 
     Per rule, with N documents of H hosts and a common rate m, the hosts' rates vary by ``v`` (weighted); of that
-    ``m(1-m)H/N`` is chance. The rest gives the intra-host correlation r and the prior's strength (1-r)/r.
+    ``m(1-m)H/N`` is chance. The rest gives the intra-host correlation r and the prior's strength (1-r)/r, in documents:
+    at least ``WEAKEST`` (hosts that agree with themselves alone) and at most ``STRONGEST`` (hosts that do not differ).
     """
     names = list(rules())
     hosts = counted.where(F.col(host).isNotNull()).groupBy(host).agg(F.count("*").alias("__n"), *[F.sum(c.cast("long")).alias(f"__f_{r}") for r, c in rules().items()])
+    hosts = materialise(hosts, "host-failures")
+    prior = _priors(hosts, names)
+    rate = {r: (F.col(f"__f_{r}") + prior[f"strength_{r}"] * prior[f"mean_{r}"]) / (F.col("__n") + prior[f"strength_{r}"]) for r in names}
+    judged = hosts.select(F.col(host), *[c.alias(f"rate_{r}") for r, c in rate.items()])
+    bad = F.greatest(*[F.col(f"rate_{r}") for r in names]) > max_rate
+    return judged.withColumn("host_rejected", bad)
+
+
+def _priors(hosts: DataFrame, names: list[str]) -> dict[str, Column]:
+    """Mean and strength of each rule's prior, fitted to all hosts; the one row comes back as constants."""
     fit = hosts.agg(
         F.count("*").alias("__h"), F.sum("__n").alias("__all"),
         *[F.sum(f"__f_{r}").alias(f"__fail_{r}") for r in names],
         *[F.sum(F.col(f"__f_{r}") * F.col(f"__f_{r}") / F.col("__n")).alias(f"__sq_{r}") for r in names],
     )
-    judged = hosts.withColumn("__fit", fit.select(F.struct("*")).scalar()).select("*", "__fit.*")  # one row for all
+    found = {}
     for r in names:
         mean = F.col(f"__fail_{r}") / F.col("__all")
         chance = mean * (1 - mean)
         spread = F.col(f"__sq_{r}") / F.col("__all") - mean * mean
         by_luck = F.col("__h") / F.col("__all")
         between = F.when((chance > 0) & (by_luck < 1), (spread - chance * by_luck) / (chance * (1 - by_luck))).otherwise(0.0)
-        strength = F.least(F.lit(1e6), F.greatest(F.lit(1.0), (1 - between) / F.greatest(between, F.lit(1e-9))))
-        judged = judged.withColumn(f"rate_{r}", (F.col(f"__f_{r}") + strength * mean) / (F.col("__n") + strength))
-    bad = F.greatest(*[F.col(f"rate_{r}") for r in names]) > max_rate
-    return judged.select(host, *[f"rate_{r}" for r in names], bad.alias("host_rejected"))
+        found[f"mean_{r}"] = mean
+        found[f"strength_{r}"] = F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), (1 - between) / F.greatest(between, F.lit(1e-9))))
+    row = fit.select(*[c.alias(name) for name, c in found.items()]).first()
+    return {name: F.lit(row[name]).cast("double") for name in found}
 
 
 def apply_rules(docs: DataFrame, host: str = "source", max_rate: float = 0.5, keep: list[str] | None = None) -> DataFrame:

@@ -7,8 +7,9 @@ largest corrected count decides.
 
 Learning reads a bounded sample: about ``sample`` labelled texts, spread evenly over the languages by hash, of rows
 whose crc32(doc_id as text) mod 3 is not 1. An n-gram belongs to a language if it makes up at least ``least`` of its
-n-grams and is at least ``share`` as frequent there as in the language where it is most frequent; a language keeps its
-``most`` most frequent ones. The filter is a few megabytes whatever the corpus; every text is then read whole.
+n-grams and is at least ``share`` as frequent there as in the language where it is most frequent. As shares add up to
+one, a language has at most 1 / ``least`` of them, and the filter, sized by their number, is a few megabytes whatever
+the corpus; every text is then read whole.
 
 Defined results: ``und`` and score 0 if the text is null or has no letter, or if nothing could be learned; a text whose
 n-grams no language knows gets the most common learned language and score 0; ties go to the more common language, then
@@ -115,7 +116,7 @@ def _probes(hashes: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield ((hashes >> _U(32 * k)) & _U(size - 1)).astype(np.int64)
 
 
-def train(docs: DataFrame, sample: int = 8000, least: float = 2e-5, share: float = 0.05, most: int = 30_000) -> Filters:
+def train(docs: DataFrame, sample: int = 8000, least: float = 2e-5, share: float = 0.05) -> Filters:
     """Learns the filters from ``docs`` (``doc_id``, ``text``, ``lang``)."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64(F.lit(5), "doc_id").alias("__h"))
@@ -143,8 +144,8 @@ def train(docs: DataFrame, sample: int = 8000, least: float = 2e-5, share: float
     part = F.col("n") / F.sum("n").over(Window.partitionBy("l"))
     ranked = counted.withColumn("p", part).where(F.col("p") >= least)
     own = ranked.withColumn("top", F.max("p").over(Window.partitionBy("g"))).where(F.col("p") >= share * F.col("top"))
-    # At most ``most`` n-grams of each language.
-    rows = own.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("p"), "g"))).where(F.col("r") <= most).select("l", "g").toPandas()
+    # At most 1 / ``least`` n-grams of each language.
+    rows = own.select("l", "g").toPandas()
     return Filters.build(languages, [rows["g"][rows["l"] == k].to_numpy(np.int64).view(np.uint64) for k in range(len(languages))])
 
 
@@ -152,7 +153,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the winner's share of all languages' corrected counts)."""
     kept = without(docs, "lang_pred", "score")
     names = [*kept.columns, "lang_pred", "score"]
-    shared = docs.sparkSession.sparkContext.broadcast(filters)  # bounded by ``most`` and the number of languages
+    shared = docs.sparkSession.sparkContext.broadcast(filters)  # bounded by 1 / ``least`` and the number of languages
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

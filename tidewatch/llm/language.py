@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from tidewatch.llm.common import lean, text_slices, without
 from tidewatch.llm.quality import held_out
 from tidewatch.llm.shingles import mix
+from tidewatch.session import materialise
 
 ORDERS = (2, 3, 4)
 PROBES = 2
@@ -140,8 +141,12 @@ def train(docs: DataFrame, sample: int = 8000, least: float = 2e-5, share: float
                     found, n = np.unique(h[of == l], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), l, np.int32)), pa.array(found.view(np.int64)), pa.array(n)], names=["l", "g", "n"])
 
-    counted = picked.mapInArrow(run, "l int, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
-    part = F.col("n") / F.sum("n").over(Window.partitionBy("l"))
+    counted = materialise(picked.mapInArrow(run, "l int, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n")), "language-grams")
+    # One row per language; a window would put all of a language's n-grams through one task.
+    totals = {r["l"]: r["n"] for r in counted.groupBy("l").agg(F.sum("n").alias("n")).collect()}
+    if not totals:
+        return Filters.build(languages, [np.zeros(0, np.uint64) for _ in languages])
+    part = F.col("n") / F.element_at(F.create_map(*[F.lit(x) for pair in totals.items() for x in pair]), F.col("l"))
     ranked = counted.withColumn("p", part).where(F.col("p") >= least)
     own = ranked.withColumn("top", F.max("p").over(Window.partitionBy("g"))).where(F.col("p") >= share * F.col("top"))
     # At most 1 / ``least`` n-grams of each language.

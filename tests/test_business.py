@@ -39,6 +39,26 @@ def test_recommendation_errors_and_supply(spark):
     assert out["c"]["error"].startswith("No demand model") and out["c"]["eoq"] is None
 
 
+def test_lead_time_names_are_joined(spark):
+    """Smoothed means per name, one for missing names and for those not met; the plan is no longer with many names."""
+    def leads(names):
+        rows = [(T0.date(), T0.date() + dt.timedelta(days=1 + i % 9), f"p{i % names}" if i % 10 else None, i % 3, float(i % 7)) for i in range(900)]
+        return I.lead_times(spark.createDataFrame(rows, "order_date date, delivery_date date, product_id string, supplier_id long, quantity double"))
+
+    few, many = (I.fit_lead_time(leads(n), trees=2, depth=2) for n in (5, 500))
+    rows = [(r["product_id"], r["lead_time_days"]) for r in leads(5).collect()]
+    overall = sum(d for _, d in rows) / len(rows)
+    days = {k: [d for p, d in rows if p == k] for k in ("p1", None)}
+    mean = {k: (sum(d) + overall) / (len(d) + 1) for k, d in days.items()}
+    asked = spark.createDataFrame([("p1", 0), (None, 0), ("new", 0)], "product_id string, supplier_id long")
+    got = {r["product_id"]: r["_f_product_id"] for r in few.encode(asked).collect()}
+    assert got == pytest.approx({"p1": mean["p1"], None: mean[None], "new": mean[None]})
+    wanted = I.lead_time_features(leads(500)).drop("lead_time_days")
+    told = [I.predict_lead_time(m, wanted) for m in (few, many)]
+    sizes = [len(t._jdf.queryExecution().optimizedPlan().toString()) for t in told]
+    assert sizes[1] < 1.2 * sizes[0] and told[1].count() == wanted.count()
+
+
 def test_lead_times_drop_invalid(spark):
     d = dt.date
     df = spark.createDataFrame([(d(2024, 1, 5), d(2024, 1, 5)), (d(2024, 1, 5), d(2024, 1, 6)), (d(2024, 1, 5), d(2024, 1, 1))], "order_date date, delivery_date date")

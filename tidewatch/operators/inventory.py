@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
+from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import anomaly as A
 from tidewatch.operators.sequence import running_total
 from tidewatch.schema import require_columns
+from tidewatch.session import materialise, spread
 
 HORIZON_DAYS = 90
 Z_VALUE = 1.96
@@ -68,35 +71,61 @@ def lead_time_features(leads: DataFrame, additional: Sequence[str] = ("distance_
     )
 
 
-def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42):
+@dataclass(frozen=True)
+class LeadTimeModel:
+    """Smoothed mean lead time of every product, supplier and other name, a table (``_k_<name>``, ``_f_<name>``) for each,
+    what a name that is missing or was not met stands for, and the forest on these and the numbers."""
+
+    means: Mapping[str, DataFrame]
+    others: Mapping[str, float]
+    forest: Transformer
+
+    def encode(self, rows: DataFrame) -> DataFrame:
+        """The rows with each name's mean: joined, so that the plan does not grow with the names."""
+        for name, mean in self.means.items():
+            rows = rows.withColumn(f"_k_{name}", F.col(name).cast("string")).join(mean, f"_k_{name}", "left")
+            rows = rows.withColumn(f"_f_{name}", F.coalesce(f"_f_{name}", F.lit(self.others[name])))
+        return rows.drop(*[f"_k_{name}" for name in self.means])
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.forest.transform(spread(self.encode(rows)))
+
+
+def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42, smoothing: float = 1.0) -> LeadTimeModel:
     """Random forest regression on product, supplier, quantity, month, weekday and the optional columns that are there.
 
-    Product and supplier enter as their mean lead time (``TargetEncoder``, smoothed towards the mean of all), so their
-    number does not matter and none collide; shipping method and priority likewise.
+    Product and supplier enter as their mean lead time (smoothed towards the mean of all), so their number does not
+    matter and none collide; shipping method and priority likewise.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    rows = lead_time_features(leads)
+    rows = materialise(lead_time_features(leads), "lead-times")
     kinds = dict(rows.dtypes)
     numbers = [c for c in rows.columns if c not in ("product_id", "supplier_id", "lead_time_days") and kinds[c] != "string"]
     names = ["product_id", "supplier_id", *[c for c in rows.columns if kinds[c] == "string" and c not in ("product_id", "supplier_id")]]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCols=names, outputCols=[f"_i_{c}" for c in names], handleInvalid="keep"),
-            TargetEncoder(
-                inputCols=[f"_i_{c}" for c in names], outputCols=[f"_m_{c}" for c in names], labelCol="lead_time_days",
-                targetType="continuous", handleInvalid="keep", smoothing=1.0,
-            ),
-            # Adding nothing drops the mark that these columns hold categories: the forest is to see plain numbers.
-            SQLTransformer(statement=f"SELECT *, {', '.join(f'_m_{c} + 0.0D AS _f_{c}' for c in names)} FROM __THIS__"),
-            VectorAssembler(inputCols=[*[f"_f_{c}" for c in names], *numbers], outputCol="_features", handleInvalid="keep"),
-            RandomForestRegressor(
-                featuresCol="_features", labelCol="lead_time_days", predictionCol="_days", numTrees=trees, maxDepth=depth, seed=seed
-            ),
-        ]
-    ).fit(rows)
+    overall = rows.agg(F.avg("lead_time_days").alias("mean")).first()["mean"]
+    if overall is None:
+        raise ValueError("empty training data")
+    smoothed = (F.sum("lead_time_days") + F.lit(smoothing * overall)) / (F.count(F.lit(1)) + F.lit(smoothing))
+    means, others = {}, {}
+    for name in names:
+        mean = rows.groupBy(F.col(name).cast("string").alias(f"_k_{name}")).agg(smoothed.alias(f"_f_{name}"))
+        mean = materialise(mean, f"lead-times-{name}")
+        missing = mean.where(F.col(f"_k_{name}").isNull()).first()
+        means[name] = mean.where(F.col(f"_k_{name}").isNotNull())
+        others[name] = overall if missing is None else missing[f"_f_{name}"]
+    stages = [
+        VectorAssembler(inputCols=[*[f"_f_{c}" for c in names], *numbers], outputCol="_features", handleInvalid="keep"),
+        RandomForestRegressor(
+            featuresCol="_features", labelCol="lead_time_days", predictionCol="_days", numTrees=trees, maxDepth=depth, seed=seed
+        ),
+    ]
+    encoded = LeadTimeModel(means, others, None).encode(rows)
+    # A fit reads its rows at every level of the trees, on all cores.
+    encoded = materialise(spread(encoded.select(*[f"_f_{c}" for c in names], *numbers, "lead_time_days")), "lead-times-encoded")
+    return LeadTimeModel(means, others, Pipeline(stages=stages).fit(encoded))
 
 
 def predict_lead_time(model, requests: DataFrame) -> DataFrame:
@@ -104,7 +133,7 @@ def predict_lead_time(model, requests: DataFrame) -> DataFrame:
     rows = model.transform(requests)
     days = F.greatest(F.lit(1.0), _whole(F.col("_days")))
     rows = rows.withColumn("lead_time_days", days)
-    return rows.drop("_features", "_days", *[c for c in rows.columns if c.startswith(("_i_", "_m_", "_f_"))])
+    return rows.drop("_features", "_days", *[c for c in rows.columns if c.startswith("_f_")])
 
 
 def baseline_lead_time(leads: DataFrame, wanted: DataFrame) -> DataFrame:

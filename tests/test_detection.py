@@ -124,6 +124,12 @@ def test_trailing_stats_of_a_busy_user(spark):
         assert std is None if n < 2 else std == pytest.approx(np.std(before, ddof=1), abs=1e-6)
 
 
+def test_a_fit_uses_all_cores(spark):
+    """Training rows from one small file are dealt over the cores."""
+    df = spark.range(2000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("label")).coalesce(1)
+    assert K._written(df, ["a"], "label").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_classifiers_learn_planted_rules(spark):
     rng = np.random.default_rng(2)
     x = rng.uniform(size=(1500, 3))

@@ -142,3 +142,19 @@ def test_whole_groups_never_split():
             assert part["g"].iloc[a:b].nunique() == 1
             seen.append((part["g"].iloc[a], part["v"].iloc[a:b].tolist()))
     assert [k for k, _ in seen] == sorted(set(keys)) and sum((v for _, v in seen), []) == list(range(200))
+
+
+def test_next_known_value_by_running_frames(spark, hot):
+    """Ahead equals a loop, and no frame reaches to the end of its partition: Spark works such a one out anew for every row."""
+    df, pdf = hot
+    out = Q.with_last_known(df, ["k"], {"next": "value"}, chunk="10m", ahead=True)
+    want = pdf.groupby("k")["value"].bfill()
+    got = by_id(out, "next")
+    assert all(got[i] == v if v == v else got[i] is None for i, v in zip(pdf["id"], want, strict=True))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "currentrow$()" in plan and "unboundedfollowing$()" not in plan
+
+
+def test_a_gap_between_samples_of_its_own_time(spark):
+    rows = spark.createDataFrame([(T0, "m", 4.0), (T0, "m", None), (T0 + dt.timedelta(hours=1), "m", 8.0)], "timestamp timestamp, metric_name string, value double")
+    assert sorted(r["value"] for r in P.interpolate_time(rows, chunk="1d").collect()) == [4.0, 4.0, 8.0]

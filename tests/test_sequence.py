@@ -158,3 +158,19 @@ def test_next_known_value_by_running_frames(spark, hot):
 def test_a_gap_between_samples_of_its_own_time(spark):
     rows = spark.createDataFrame([(T0, "m", 4.0), (T0, "m", None), (T0 + dt.timedelta(hours=1), "m", 8.0)], "timestamp timestamp, metric_name string, value double")
     assert sorted(r["value"] for r in P.interpolate_time(rows, chunk="1d").collect()) == [4.0, 4.0, 8.0]
+
+
+def test_chunks_are_counted_without_copies_of_the_rows(spark, hot, monkeypatch):
+    """A table that fits the widest chunk is counted by it alone, and narrower ones are found where it does not fit."""
+    df, pdf = hot
+    written = []
+    real = Q.materialise
+    monkeypatch.setattr(Q, "materialise", lambda d, name: written.append(name) or real(d, name))
+    assert Q.suggest_chunk(df, ["k"]) == "1d" and not written
+    assert Q.suggest_chunk(df.limit(0), ["k"]) == "1d"
+    for most in (400, 100, 8, 1):
+        for chunk in ("6h", "1h", "10m", "1m", "10s", "1s"):
+            at = pdf["timestamp"].dt.floor(chunk.replace("m", "min"))
+            if pdf.groupby(["k", at]).size().max() <= most or chunk == "1s":
+                break
+        assert Q.suggest_chunk(df, ["k"], rows_per_task=most) == chunk

@@ -234,6 +234,17 @@ def test_base_scores_equal_a_loop(spark, edge, monkeypatch, hot):
     assert max(same) - min(same) < 1e-3
 
 
+def test_attention_sees_every_training_text(spark, monkeypatch):
+    """All windows of the texts that are not held out reach a trainer, in a corpus of thousands too."""
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a word "), F.col("id")).alias("text"))
+    met = []
+    real = lm_scoring._fit
+    monkeypatch.setattr(lm_scoring, "_fit", lambda windows, *rest: met.append(windows.agg(F.sum("windows")).first()[0]) or real(windows, *rest))
+    lm_scoring.train(docs, VOCABULARY, per_trainer=1 << 10, least_steps=2)
+    # Every text here has fewer subwords than a window's half.
+    assert met == [docs.where(~lm_scoring.held_out(F.col("doc_id"))).count()]
+
+
 def test_nothing_to_learn_from(spark, nothing, edge):
     empty = lm_scoring.train(nothing, VOCABULARY, least_steps=2)
     assert lm_scoring.score(nothing, empty).count() == 0

@@ -105,3 +105,17 @@ def test_series_of_one_label_set_are_not_mixed(spark):
     signals = R.Signals(spark.createDataFrame(rows, "timestamp timestamp, name string, labels map<string,string>, value double"), "1m")
     total = ts.sum_by(signals.rate("http_requests_total", ("service",), "5m"), "service")
     assert at(total, 5) == [pytest.approx(2 * 40 / 300)]
+
+
+def test_rules_read_their_own_metrics_alone(spark, monkeypatch):
+    """Partials are written once, of the metrics that the given rules select."""
+    rows = [(T0 + dt.timedelta(seconds=15 * i), n, {"service": "a", "job": "j"}, 5.0) for i in range(40) for n in ("http_request_duration_seconds", "compliance_check_status", "unread")]
+    signals = R.Signals(spark.createDataFrame(rows, "timestamp timestamp, name string, labels map<string,string>, value double"), "15s")
+    rules = [r for r in R.rule_set() if r.name == "RequestHighLatency"]
+    written = []
+    real = R.materialise
+    monkeypatch.setattr(R, "materialise", lambda df, name: written.append(real(df, name)) or written[-1])
+    assert R.metrics_of(rules, signals) == {"http_request_duration_seconds"} and not written
+    assert R.evaluate_rules(rules, signals).where("state = 'firing'").count() > 0
+    assert [{r["name"] for r in w.select("name").distinct().collect()} for w in written] == [{"http_request_duration_seconds"}]
+    assert len(R.metrics_of(R.rule_set(), signals)) > 30

@@ -54,11 +54,19 @@ class Signals:
     @cached_property
     def partials(self) -> DataFrame:
         """Step partials of every series of every metric, with the series' labels."""
-        rows = self.samples.select("name", series_key(), "timestamp", "value")
-        parts = materialise(ts.step_partials(rows, ["name", "_series"], self.step), "rule-partials")
+        return self._labelled(materialise(self._parts(), "rule-partials"))
+
+    def _parts(self) -> DataFrame:
+        return ts.step_partials(self.samples.select("name", series_key(), "timestamp", "value"), ["name", "_series"], self.step)
+
+    def _labelled(self, parts: DataFrame) -> DataFrame:
         entries = F.from_json("_series", "array<struct<key:string,value:string>>")
         return parts.withColumn("labels", F.map_from_entries(entries))
 
+    def only(self, names: Sequence[str]) -> Signals:
+        """The same signals, of the named metrics alone."""
+        return Signals(self.samples.where(F.col("name").isin(sorted(names))), self.step)
+
     def select(self, names: str | Sequence[str], labels: Sequence[str], where: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
         """Partials of the metrics after the matchers: name, the named labels as columns, and ``_series`` for all labels."""
         df = self.partials.where(F.col("name").isin([names] if isinstance(names, str) else list(names)))
@@ -98,7 +106,32 @@ class Rule:
         )
 
 
+@dataclass(frozen=True)
+class _Asked(Signals):
+    """Takes down which metrics the expressions select; nothing is read or written."""
+
+    names: set[str] = field(default_factory=set)
+
+    @cached_property
+    def partials(self) -> DataFrame:
+        return self._labelled(self._parts())
+
+    def select(self, names, labels, where=None) -> DataFrame:
+        self.names.update([names] if isinstance(names, str) else names)
+        return super().select(names, labels, where)
+
+
+def metrics_of(rules: Sequence[Rule], signals: Signals) -> set[str]:
+    """The metrics that the rules' expressions select."""
+    asked = _Asked(signals.samples, signals.step)
+    for rule in rules:
+        rule.expr(asked)
+    return asked.names
+
+
 def evaluate_rules(rules: Sequence[Rule], signals: Signals) -> DataFrame:
+    """All rules' instances; partials are made of the metrics that the rules select, and of no others."""
+    signals = signals.only(metrics_of(rules, signals))
     out = None
     for rule in rules:
         rows = rule.evaluate(signals)

@@ -63,6 +63,27 @@ def test_points_visit_leaves_within_reach_only(spark):
         assert any(homes[q] == r["leaf"] for q in range(60) if q // 10 == r["pid"] // 10)
 
 
+@pytest.mark.parametrize("kind, leaf, tile", [("crowds", 8, 40), ("even", 8, 64)])
+def test_tiles_meet_and_noise_stays(spark, monkeypatch, kind, leaf, tile):
+    """Tiles of several leaves."""
+    monkeypatch.setattr(D, "TILE", tile)
+    x, eps = points(kind)
+    got = [r["id"] for r in D.noise_keys(frame(spark, x), "id", "v", eps, 5, leaf).collect()]
+    assert sorted(got) == sorted(brute(x, eps, 5))
+
+
+def test_a_point_is_sent_once_per_tile_and_not_per_leaf(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 24))
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x / np.linalg.norm(x, axis=1)[:, None])], "pid long, x array<double>, w long")
+    placed, levels = D.tree(rows, 24, 8)
+    tiles = D._tiles(levels, 100)
+    sizes = {r["tile"]: r["n"] for r in placed.join(tiles, "node").groupBy("tile").agg(F.count("*").alias("n")).collect()}
+    assert sum(sizes.values()) == 400 and max(sizes.values()) <= 100
+    met = D.meetings(placed.join(tiles, "node"), levels, 24, 1.2, 100)
+    assert met.count() == met.distinct().count() <= len(sizes) ** 2 < tiles.count() ** 2 / 4
+
+
 def test_rows_that_take_no_part(spark):
     odd = [(1, None), (2, []), (3, [1.0, None]), (4, [float("nan"), 0.0]), (5, [float("inf"), 0.0]), (6, [0.0, 0.0]), (6, [0.0, 0.0]), (7, [-0.0, 0.0]), (None, [9.0, 9.0])]
     df = spark.createDataFrame(odd, "id long, v array<double>")

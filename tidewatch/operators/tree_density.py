@@ -3,12 +3,13 @@
 ``density.py`` lays a grid, which serves up to about four dimensions. Here the points are cut along the dimension in which
 they spread most, again and again, until a leaf holds at most ``leaf`` different vectors. Every leaf counts the neighbours
 among its own points; a point that finds ``min_points`` there is a core point and needs nothing more, so crowds are settled
-inside their leaves. Only the others go down the tree, to each leaf whose box lies within ``eps`` of them, and are compared
-with that leaf's points, in blocks. Equal vectors are one point with a weight.
+inside their leaves. Only the others visit: the thin points of a tile (a node of some thousand points) go down the tree as
+one box, to each tile within ``eps`` of it, and meet that tile's points once, leaf by leaf, each leaf with those visitors
+its own box does not exclude. Equal vectors are one point with a weight.
 
-No group grows with the data: a leaf and a block of visitors are bounded, and the tree is a table of boxes, one level a
-round, joined by its node. On vectors that point evenly in all directions boxes exclude little and a thin point meets most
-leaves; that is as many comparisons as all pairs, dealt evenly over the tasks.
+No group grows with the data: a leaf and a tile are bounded, and the tree is a table of boxes, one level a round, joined
+by its node. On vectors that point evenly in all directions boxes exclude little and a thin point meets most leaves; that
+is as many comparisons as all pairs, dealt evenly over the tasks, and a point is sent once per tile it meets, not per leaf.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,10 @@ from tidewatch.session import materialise, ship
 
 #: Children of a node: the points are cut at so many less one quantiles, and in the middle of their range.
 FAN = 8
+#: Points of a tile, at most, unless a leaf is larger.
+TILE = 8192
+#: Visitors compared with a leaf at a time.
+BLOCK = 1024
 FOUND = "pid long, n long, near array<long>"
 _SCHEMA = pa.schema([("pid", pa.int64()), ("n", pa.int64()), ("near", pa.list_(pa.int64()))])
 
@@ -83,24 +89,52 @@ def tree(points: DataFrame, dims: int, leaf: int) -> tuple[DataFrame, list[DataF
     return materialise(reduce(DataFrame.unionByName, placed), "tree-leaves"), levels
 
 
+def _tiles(levels: list[DataFrame], most: int) -> DataFrame:
+    """Each leaf (``node``) with its tile: the highest node on its path of at most ``most`` points."""
+    own = F.when(F.col("size") <= most, F.col("node"))
+    above = levels[0].select("node", "is_leaf", own.alias("tile"))
+    leaves = [above.where("is_leaf")]
+    for boxes in levels[1:]:
+        up = above.where("NOT is_leaf").select(F.col("node").alias("parent"), F.col("tile").alias("above"))
+        above = materialise(boxes.join(up, "parent").select("node", "is_leaf", F.coalesce("above", own).alias("tile")), "tree-tiles")
+        leaves.append(above.where("is_leaf"))
+    return reduce(DataFrame.unionByName, leaves).select("node", "tile")
+
+
 def _gap(dims: int) -> Column:
-    """Squared distance of the point ``x`` from the box, term by term: compiled, where functions over arrays are not."""
-    outside = [F.greatest(F.col("lo")[i] - F.col("x")[i], F.col("x")[i] - F.col("hi")[i], F.lit(0.0)) for i in range(dims)]
+    """Squared distance of two boxes, term by term: compiled, where functions over arrays are not."""
+    outside = [F.greatest(F.col("lo")[i] - F.col("to")[i], F.col("from")[i] - F.col("hi")[i], F.lit(0.0)) for i in range(dims)]
     return reduce(lambda total, d: total + d, [d * d for d in outside])
 
 
+def _reach(eps: float) -> float:
+    """The square of ``eps`` and a whisker: boxes only exclude, distances decide."""
+    return eps * eps * (1 + 1e-9)
+
+
+def _arrived(at: DataFrame, keep: list[str], levels: list[DataFrame], dims: int, eps: float, end: Column) -> DataFrame:
+    """Boxes (``from``, ``to``) with every node they can reach, level by level down to the nodes that ``end`` marks."""
+    at, arrived = at.withColumn("parent", F.lit("")), []
+    for boxes in levels:
+        below = at.join(boxes.select("parent", "node", "lo", "hi", end.alias("_end")), "parent").where(_gap(dims) <= _reach(eps))
+        below = materialise(below.select(*keep, "from", "to", "node", "_end"), "tree-visits")
+        arrived.append(below.where("_end").select(*keep, "node"))
+        at = below.where("NOT _end").select(*keep, "from", "to", F.col("node").alias("parent"))
+    return reduce(DataFrame.unionByName, arrived)
+
+
 def visits(points: DataFrame, levels: list[DataFrame], dims: int, eps: float) -> DataFrame:
     """Each point (``pid``, ``x``, ``node``: its own leaf) with every other leaf whose box it can reach, as ``leaf``."""
-    reach = eps * eps * (1 + 1e-9)
-    at = points.select("pid", "x", F.col("node").alias("home"), F.substring_index("node", ".", 1).alias("parent"))
-    # A tree of one leaf has no other leaves to visit.
-    arrived = [at.where(F.lit(False)).select("pid", "x", F.col("home").alias("leaf"))]
-    for boxes in levels[1:]:
-        below = at.join(boxes.drop("size"), "parent").where(_gap(dims) <= reach)
-        below = materialise(below.select("pid", "x", "home", "node", "is_leaf"), "tree-visits")
-        arrived.append(below.where("is_leaf AND node != home").select("pid", "x", F.col("node").alias("leaf")))
-        at = below.where("NOT is_leaf").select("pid", "x", "home", F.col("node").alias("parent"))
-    return reduce(DataFrame.unionByName, arrived)
+    at = points.select("pid", F.col("node").alias("home"), F.col("x").alias("from"), F.col("x").alias("to"), "x")
+    came = _arrived(at, ["pid", "x", "home"], levels, dims, eps, F.col("is_leaf"))
+    return came.where("node != home").select("pid", "x", F.col("node").alias("leaf"))
+
+
+def meetings(thin: DataFrame, levels: list[DataFrame], dims: int, eps: float, most: int) -> DataFrame:
+    """Each ``tile`` of visitors (as ``visitor``) with every tile of at most ``most`` points that their box can reach."""
+    boxes = _boxes(thin.select(F.col("tile").alias("node"), "x"), dims)
+    at = boxes.select(F.col("node").alias("visitor"), F.col("lo").alias("from"), F.col("hi").alias("to"))
+    return _arrived(at, ["visitor"], levels, dims, eps, F.col("size") <= most).withColumnRenamed("node", "tile")
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -136,6 +170,24 @@ def _found(visitors: pa.Table, owners: pa.Table, eps: float, min_points: int) ->
     return pa.Table.from_arrays([pa.array(pids), pa.array(n[some].astype("int64")), pa.array(who, pa.list_(pa.int64()))], schema=_SCHEMA)
 
 
+def _met(visitors: pa.Table, owners: pa.Table, eps: float, min_points: int) -> pa.Table:
+    """``_found`` of a tile's points, leaf by leaf, each with those visitors of other leaves that its box does not exclude."""
+    if not visitors.num_rows or not owners.num_rows:
+        return _SCHEMA.empty_table()
+    x, home, found = _matrix(visitors), visitors.column("node"), []
+    owners = owners.sort_by("node")
+    ends = pc.value_counts(owners.column("node")).field("counts").to_numpy().cumsum()
+    for start, end in zip([0, *ends[:-1]], ends, strict=True):
+        leaf = owners.slice(start, end - start)
+        box = _matrix(leaf)
+        lo, hi = box.min(axis=0), box.max(axis=0)
+        near = ((x - np.clip(x, lo, hi)) ** 2).sum(axis=1) <= _reach(eps)
+        near &= pc.not_equal(home, leaf.column("node")[0]).to_numpy()
+        come = visitors.filter(pa.array(near))
+        found += [_found(come.slice(at, BLOCK), leaf, eps, min_points) for at in range(0, come.num_rows, BLOCK)]
+    return pa.concat_tables(found) if found else _SCHEMA.empty_table()
+
+
 def noise_keys(df: DataFrame, key: str, vector: str, eps: float, min_points: int = 5, leaf: int = 1024) -> DataFrame:
     """Keys of the rows whose vector is noise: fewer than ``min_points`` rows within ``eps`` (inclusive, itself among them),
     and none of those with as many.
@@ -155,19 +207,20 @@ def noise_keys(df: DataFrame, key: str, vector: str, eps: float, min_points: int
     if ends["lo"] != ends["hi"]:
         raise ValueError(f"vectors of {ends['lo']} and of {ends['hi']} components")
 
-    placed, levels = tree(points, ends["lo"], leaf)
+    dims = ends["lo"]
+    placed, levels = tree(points, dims, leaf)
     own = placed.groupBy("node").applyInArrow(lambda t: _found(t, t, eps, min_points), FOUND)
     own = materialise(own, "tree-own")
-    thin = placed.join(own.where(F.col("n") < min_points).select("pid"), "pid", "left_semi")
-    come = materialise(visits(thin, levels, ends["lo"], eps), "tree-come")
-
-    # Visitors of a leaf come in blocks; the leaf's points are repeated once per block.
-    parts = come.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("parts"))
-    visitors = come.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("pid"), F.col("parts")).alias("part"), "pid", "x")
-    hosts = placed.withColumnRenamed("node", "leaf").join(parts, "leaf")
-    hosts = hosts.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "pid", "x", "w")
-    meet = visitors.groupBy("leaf", "part").cogroup(hosts.groupBy("leaf", "part"))
-    met = meet.applyInArrow(lambda v, h: _found(v, h, eps, min_points), FOUND)
+    most = max(leaf, TILE)
+    placed = materialise(placed.join(_tiles(levels, most), "node"), "tree-placed")
+    thin = materialise(placed.join(own.where(F.col("n") < min_points).select("pid"), "pid", "left_semi"), "tree-thin")
+    pairs = materialise(meetings(thin, levels, dims, eps, most), "tree-come")
+
+    # Two tiles meet in one group; a tile's points are repeated once per tile that comes or is visited.
+    visitors = thin.withColumnRenamed("tile", "visitor").join(pairs, "visitor").select("visitor", "tile", "pid", "x", "node")
+    hosts = placed.join(pairs, "tile").select("visitor", "tile", "pid", "x", "w", "node")
+    meet = visitors.groupBy("visitor", "tile").cogroup(hosts.groupBy("visitor", "tile"))
+    met = meet.applyInArrow(lambda v, h: _met(v, h, eps, min_points), FOUND)
     found = materialise(own.unionByName(met), "tree-found")
 
     total = materialise(found.groupBy("pid").agg((F.sum("n") >= min_points).alias("core")), "tree-core")

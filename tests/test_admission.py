@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import alerting as L
 from tidewatch.operators.density import density_noise
+from tidewatch.streaming import ordered as O
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -53,3 +56,12 @@ def test_density_in_more_dimensions(spark, dims):
     core = near.sum(1) >= 5
     want = {i for i in range(100) if not core[i] and not (near[i] & core).any()}
     assert {r["id"] for r in density_noise(df, "id", names).collect()} == want
+
+
+def test_waiting_rows_share_entries_of_the_state():
+    rows = pd.DataFrame({O.AT: np.arange(70_000), "ident": np.arange(70_000) % 7, "key": [None, "a", "é"] * 23_333 + ["b"]})
+    entries = O._entries(rows)
+    assert len(entries) == 3 and not O._entries(rows.iloc[:0])
+    back = O._rows(iter(entries), list(rows.columns))
+    assert back.equals(rows) and back["key"].iloc[0] is None
+    assert list(O._rows(iter(()), list(rows.columns)).columns) == list(rows.columns)

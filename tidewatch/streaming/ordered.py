@@ -13,6 +13,7 @@ from math import inf
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -20,6 +21,25 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tidewatch.functions.durations import micros, seconds
 
 AT = "at_us"
+#: Rows that wait in one entry of the state, at most.
+TOGETHER = 1 << 15
+
+
+def _entries(rows: pd.DataFrame) -> list[tuple[bytes]]:
+    """The rows as entries of a list in state: many to one, as the state's cost is mostly per entry."""
+    out = []
+    for start in range(0, len(rows), TOGETHER):
+        table = pa.Table.from_pandas(rows.iloc[start : start + TOGETHER], preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as stream:
+            stream.write_table(table)
+        out.append((sink.getvalue().to_pybytes(),))
+    return out
+
+
+def _rows(entries: Iterator[tuple[bytes]], names: Sequence[str]) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(e[0]).read_pandas() for e in entries]
+    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame([], columns=names)
 
 
 class InOrder(StatefulProcessor):
@@ -34,7 +54,7 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", ", ".join(f"`{n}` {t}" for n, t in self.fields))
+        self.waiting = handle.getListState("waiting", "rows binary")
         self.due = handle.getValueState("due", "ms bigint")
         self.open()
 
@@ -66,21 +86,21 @@ class InOrder(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = inf
         for pdf in rows:
-            self.waiting.appendList(list(zip(*[pdf[n].tolist() for n in self.names], strict=True)))
+            self.waiting.appendList(_entries(pdf[self.names]))
             first = min(first, int(pdf[AT].min()))
         self._set(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        ready, rest = [r for r in held if r[0] <= watermark], [r for r in held if r[0] > watermark]
-        if ready:
-            self.waiting.put(rest) if rest else self.waiting.clear()
+        held = _rows(self.waiting.get() if self.waiting.exists() else (), self.names)
+        rows, rest = held[held[AT] <= watermark], held[held[AT] > watermark]
+        if len(rows):
+            self.waiting.put(_entries(rest)) if len(rest) else self.waiting.clear()
         self.due.clear()
-        rows = pd.DataFrame(ready, columns=self.names)
-        yield from self.advance(tuple(key), rows.sort_values(self.order, kind="stable", ignore_index=True), watermark)
-        self._set(max(min(min((r[0] for r in rest), default=inf), self.wake()), watermark + 1000))
+        rows = rows.astype({AT: "int64"}).sort_values(self.order, kind="stable", ignore_index=True)
+        yield from self.advance(tuple(key), rows, watermark)
+        self._set(max(min(int(rest[AT].min()) if len(rest) else inf, self.wake()), watermark + 1000))
 
     def close(self) -> None:
         pass

@@ -119,3 +119,16 @@ def test_rules_read_their_own_metrics_alone(spark, monkeypatch):
     assert R.evaluate_rules(rules, signals).where("state = 'firing'").count() > 0
     assert [{r["name"] for r in w.select("name").distinct().collect()} for w in written] == [{"http_request_duration_seconds"}]
     assert len(R.metrics_of(R.rule_set(), signals)) > 30
+
+
+def test_many_samples_are_dealt_over_more_tasks_than_cores(spark, monkeypatch):
+    rows = [(minute(i // 4), f"m{i % 2}", {"job": f"j{i % 3}"}, float(i * 7 % 50)) for i in range(400)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, name string, labels map<string,string>, value double")
+    signals = R.Signals(df, "1m")
+    keyed = df.select("name", R.series_key(), "timestamp", "value")
+    assert signals._tasks() is None
+    want = sorted(map(str, signals.partials.collect()))
+    monkeypatch.setattr(R, "SAMPLES", 10)
+    assert R.Signals(df, "1m")._tasks() == 40
+    assert ts.step_blocks(keyed, ["name", "_series"], "1m", tasks=40).rdd.getNumPartitions() == 40
+    assert sorted(map(str, R.Signals(df, "1m").partials.collect())) == want

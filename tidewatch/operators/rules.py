@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +17,10 @@ from tidewatch.operators import timeseries as ts
 from tidewatch.session import materialise
 
 
+#: Samples that one task orders, about.
+SAMPLES = 2_000_000
+
+
 def alert_state(condition: DataFrame, by: Sequence[str], hold: str, step: str) -> DataFrame:
     """Pending or firing for every time the condition holds.
 
@@ -54,10 +59,15 @@ class Signals:
     @cached_property
     def partials(self) -> DataFrame:
         """Step partials of every series of every metric, with the series' labels."""
-        return self._labelled(materialise(self._parts(), "rule-partials"))
+        return self._labelled(materialise(self._parts(self._tasks()), "rule-partials"))
+
+    def _tasks(self) -> int | None:
+        """Over how many tasks the samples are dealt, where the cores alone would get too many each."""
+        n = self.samples.count()
+        return ceil(n / SAMPLES) if n > SAMPLES * self.samples.sparkSession.sparkContext.defaultParallelism else None
 
-    def _parts(self) -> DataFrame:
-        return ts.step_partials(self.samples.select("name", series_key(), "timestamp", "value"), ["name", "_series"], self.step)
+    def _parts(self, tasks: int | None = None) -> DataFrame:
+        return ts.step_partials(self.samples.select("name", series_key(), "timestamp", "value"), ["name", "_series"], self.step, tasks=tasks)
 
     def _labelled(self, parts: DataFrame) -> DataFrame:
         entries = F.from_json("_series", "array<struct<key:string,value:string>>")

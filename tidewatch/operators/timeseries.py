@@ -27,13 +27,16 @@ def _moved(value: Column, before: Column) -> Column:
     return (before.isNotNull() & (value != before)).cast("long")
 
 
-def step_blocks(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
+def step_blocks(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value", tasks: int | None = None) -> DataFrame:
     """One row per series and step: rise and changes inside the step, first and last sample, sum and extremes.
 
-    Samples of one time stand in order of their value, so equal times give the same result on every run.
+    Samples of one time stand in order of their value, so equal times give the same result on every run. ``tasks`` fixes
+    over how many the samples are dealt, which adaptive execution otherwise brings down to the number of cores.
     """
     rows = samples.select(*by, F.col(ts).alias("_ts"), F.col(value).alias("_v"), step_end(F.col(ts), micros(step)).alias("_end"))
     rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if tasks:
+        rows = rows.repartition(tasks, *by, "_end")
     inside = W.partitionBy(*by, "_end").orderBy("_ts", "_v")
     rows = rows.withColumn("_b", F.lag("_v").over(inside))
     return rows.groupBy(*by, "_end").agg(
@@ -67,9 +70,9 @@ def entered(blocks: DataFrame, by: Sequence[str]) -> DataFrame:
     ).drop("_b", "_head")
 
 
-def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value") -> DataFrame:
+def step_partials(samples: DataFrame, by: Sequence[str], step: str, ts: str = "timestamp", value: str = "value", tasks: int | None = None) -> DataFrame:
     """``step_blocks`` with the rise and change on entering each step: what range functions start from."""
-    return entered(step_blocks(samples, by, step, ts, value), by)
+    return entered(step_blocks(samples, by, step, ts, value, tasks), by)
 
 
 def on_grid(parts: DataFrame, by: Sequence[str], window: str, step: str) -> DataFrame:

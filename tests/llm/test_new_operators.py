@@ -3,10 +3,12 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,6 +236,26 @@ def test_base_scores_equal_a_loop(spark, edge, monkeypatch, hot):
     assert max(same) - min(same) < 1e-3
 
 
+def test_pairs_across_are_counted_a_few_rows_at_a_time():
+    """However many windows an Arrow batch holds, only some of its rows are unpacked at a time."""
+    v = small_model().vocabulary
+    rng = np.random.default_rng(4)
+    lengths = np.full(4000, 80)
+    inputs, targets, _ = attention.windows_of(v.column[rng.integers(0, 61, lengths.sum())], lengths, v)
+    both = np.concatenate([inputs, targets], 1)
+    parts = [both[at : at + 16].tobytes() for at in range(0, len(both), 16)]
+    batch = pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["rows"])
+    tracemalloc.start()
+    got = lm_scoring._counted_across([batch, batch.slice(0, 100)], v)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > both.nbytes and peak < both.nbytes
+    rows = np.concatenate([both, both[:1600]])
+    before, column = rows[:, attention.SPAN : attention.WINDOW].reshape(-1), rows[:, attention.WINDOW :].reshape(-1)
+    want = collections.Counter((int(b), int(c)) for b, c in zip(before, column, strict=True) if c < v.continuing)
+    assert {(r["before"], r["id"]): r["n"] for r in got.to_pylist()} == want
+
+
 def test_attention_sees_every_training_text(spark, monkeypatch):
     """All windows of the texts that are not held out reach a trainer, in a corpus of thousands too."""
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a word "), F.col("id")).alias("text"))

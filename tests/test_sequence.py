@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import prepare as P
 from tidewatch.operators import sequence as Q
 from tidewatch.operators.ordered import whole_groups
-from tidewatch.operators.quantiles import exact_quantiles
+from tidewatch.operators.quantiles import _bin_of, exact_quantiles
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -174,3 +174,12 @@ def test_chunks_are_counted_without_copies_of_the_rows(spark, hot, monkeypatch):
             if pdf.groupby(["k", at]).size().max() <= most or chunk == "1s":
                 break
         assert Q.suggest_chunk(df, ["k"], rows_per_task=most) == chunk
+
+
+@pytest.mark.parametrize("cuts", [2, 7, 16, 128])
+def test_bins_are_found_by_halving(spark, cuts):
+    """The same bin as by comparing with every bound, also where bounds are equal, in a few steps."""
+    bounds = sorted(i // 2 * 1.0 for i in range(cuts - 1))
+    df = spark.range(-2, cuts + 2).select((F.col("id") / 2).alias("v"), F.array(*[F.lit(b) for b in bounds]).alias("bounds"))
+    found = df.select("v", _bin_of(F.col("bounds"), F.col("v"), cuts).alias("bin")).collect()
+    assert [r["bin"] for r in found] == [sum(b < r["v"] for b in bounds) for r in found]

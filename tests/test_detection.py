@@ -144,6 +144,49 @@ def test_classifiers_learn_planted_rules(spark):
     assert P.auc(boosted, score="probability").first()["auc"] > 0.92
 
 
+def in_bins(spark, n=6000):
+    """Few bins, however many rows: 8 ages, 2 flags and an amount that no two rows share."""
+    amount = (F.col("id") * 7919 % n).cast("double")
+    df = spark.range(n).select(amount.alias("amount"), (F.col("id") % 8).cast("double").alias("age"), (F.col("id") % 3 == 0).cast("int").alias("flag"))
+    return df.withColumn("label", ((F.col("flag") == 1) & (F.col("amount") >= n // 2) | (F.col("age") == 5)).cast("int"))
+
+
+@pytest.mark.parametrize("fit", [lambda df, f: K.fit_random_forest(df, f, "label", trees=10), lambda df, f: K.fit_boosting(df, f, "label", rounds=3)])
+def test_many_rows_are_fitted_by_their_bins(spark, monkeypatch, fit):
+    """What a fit reads at every level does not grow with the rows once all bins are met; all rows are in the weights."""
+    df, features, written = in_bins(spark), ["amount", "age", "flag"], {}
+    real = K.materialise
+    monkeypatch.setattr(K, "SINGLE_ROWS", 500)
+    monkeypatch.setattr(K, "materialise", lambda rows, name: written.setdefault(name, real(rows, name)))
+    model = fit(df, features)
+    read = written["training-groups"]
+    assert read.count() < 2000 and read.agg(F.sum("_weight")).first()[0] == 6000
+    scored = K.positive_probability(model, df)
+    assert scored.columns == [*df.columns, "probability"] and P.auc(scored, score="probability").first()["auc"] > 0.97
+    assert len(model.stages[-1].featureImportances) == 3
+
+
+def test_groups_are_boosted_like_their_rows(spark, monkeypatch):
+    df = in_bins(spark).withColumn("amount", F.floor(F.col("amount") / 300))
+    found = []
+    for limit in (1 << 20, 500):
+        monkeypatch.setattr(K, "SINGLE_ROWS", limit)
+        scored = K.positive_probability(K.fit_boosting(df, ["amount", "age", "flag"], "label", rounds=4), df)
+        found.append([r["probability"] for r in scored.groupBy("amount", "age", "flag").agg(F.first("probability").alias("probability")).orderBy("amount", "age", "flag").collect()])
+    assert np.allclose(found[0], found[1], atol=1e-6)
+
+
+def test_no_group_of_a_bootstrap_outweighs_its_part(spark):
+    df = spark.range(1000).select(F.lit(1.0).alias("a"), F.when(F.col("id") < 3, 1).otherwise(0).alias("label"))
+    parts = [r["_weight"] for r in K._grouped(df, ["a"], "label", 10).collect()]
+    assert max(parts) <= 10 and len(parts) == 101 and abs(sum(parts) - 1000) < 1e-6
+
+
+def test_a_value_of_many_rows_gets_its_own_bin():
+    edges = K._edges([0.0, 0.0, 0.0, 1.0, 2.0, float("inf")])
+    assert edges == sorted(set(edges)) and [np.searchsorted(edges, x, "right") for x in (-1.0, 0.0, 0.5, 1.5, 9.0)] == [1, 2, 3, 4, 5]
+
+
 def test_noise_literal_frame(spark):
     rows = [(i, 0.0, 0.0) for i in range(5)] + [(5, 0.5, 0.0), (6, 2.0, 0.0)]
     df = spark.createDataFrame(rows, "id int, x double, y double")

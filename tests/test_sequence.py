@@ -183,3 +183,12 @@ def test_bins_are_found_by_halving(spark, cuts):
     df = spark.range(-2, cuts + 2).select((F.col("id") / 2).alias("v"), F.array(*[F.lit(b) for b in bounds]).alias("bounds"))
     found = df.select("v", _bin_of(F.col("bounds"), F.col("v"), cuts).alias("bin")).collect()
     assert [r["bin"] for r in found] == [sum(b < r["v"] for b in bounds) for r in found]
+
+
+def test_few_groups_keep_all_tasks_busy(spark, monkeypatch):
+    """Values of two groups are not dealt by group over two tasks; many groups are."""
+    df = spark.range(2000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    plan = lambda: exact_quantiles(df, ["k"], "v", {"p": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan()
+    monkeypatch.setattr("tidewatch.operators.quantiles.FEW_GROUPS", 1)
+    assert "strategy=broadcast" not in plan()

@@ -256,6 +256,20 @@ def test_pairs_across_are_counted_a_few_rows_at_a_time():
     assert {(r["before"], r["id"]): r["n"] for r in got.to_pylist()} == want
 
 
+def test_folded_windows_are_the_same_windows():
+    """What is written of a window is its own nine columns, whatever parts it falls in."""
+    v = small_model().vocabulary
+    rng = np.random.default_rng(6)
+    lengths = rng.integers(1, 60, 90)
+    inputs, targets, _ = attention.windows_of(v.column[rng.integers(0, 61, lengths.sum())], lengths, v)
+    both = np.concatenate([inputs, targets], 1)
+    for most in (1, 7, 10_000):
+        parts = [p.tobytes() for p in attention.folded(inputs, targets, most)]
+        assert (attention.unfolded(parts, v) == both).all()
+        assert (attention.unfolded(parts[1:], v) == both[most:]).all()
+    assert len(b"".join(parts)) < 0.4 * both.nbytes and attention.unfolded([], v).shape == (0, 24)
+
+
 def test_attention_sees_every_training_text(spark, monkeypatch):
     """All windows of the texts that are not held out reach a trainer, in a corpus of thousands too."""
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a word "), F.col("id")).alias("text"))

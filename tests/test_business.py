@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.operators import classify as K
 from tidewatch.operators import cost as C
 from tidewatch.operators import fleet as E
 from tidewatch.operators import inventory as I
@@ -59,6 +60,30 @@ def test_lead_time_names_are_joined(spark):
     assert sizes[1] < 1.2 * sizes[0] and told[1].count() == wanted.count()
 
 
+def test_many_lead_times_are_fitted_and_asked_by_their_bins(spark, monkeypatch):
+    """What a fit reads and what is asked of the trees does not grow with the rows; all rows count and all are told."""
+    rows = spark.range(6000).select(
+        F.lit(T0.date()).alias("order_date"), F.date_add(F.lit(T0.date()), (F.col("id") % 4 * 20 + F.col("id") % 3 + 1).cast("int")).alias("delivery_date"),
+        F.when(F.col("id") % 50 != 7, F.concat(F.lit("p"), F.col("id") % 4)).alias("product_id"), (F.col("id") % 3).alias("supplier_id"), (F.col("id") * 7919 % 6000).alias("quantity"),
+    )
+    leads, written, real = I.lead_times(rows), {}, K.materialise
+    monkeypatch.setattr(K, "SINGLE_ROWS", 500)
+    monkeypatch.setattr(K, "materialise", lambda df, name: written.setdefault(name, real(df, name)))
+    model = I.fit_lead_time(leads, trees=5, depth=6)
+    read = written["training-groups"]
+    total, days, most = read.agg(F.sum("_weight"), F.sum(F.col("_weight") * F.col("lead_time_days")), F.max("_weight")).first()
+    assert read.count() < 1500 and total == pytest.approx(6000) and most <= 12
+    assert days == pytest.approx(leads.agg(F.sum("lead_time_days")).first()[0])
+
+    asked = I.lead_time_features(leads).drop("lead_time_days").withColumn("id", F.monotonically_increasing_id())
+    asked = asked.withColumn("quantity", F.when(F.col("id") % 40 != 3, F.col("quantity")))
+    told = I.predict_lead_time(model, asked)
+    assert told.columns == [*asked.columns, "lead_time_days"] and written["told-bins"].count() < 1500
+    single = model.forest.transform(model.encode(asked)).select("id", F.greatest(F.lit(1.0), F.bround("_days", 0)).alias("d"))
+    assert sorted((r["id"], r["lead_time_days"]) for r in told.collect()) == sorted((r["id"], r["d"]) for r in single.collect())
+    assert told.agg(F.avg("lead_time_days")).first()[0] == pytest.approx(days / 6000, rel=0.05)
+
+
 def test_lead_times_drop_invalid(spark):
     d = dt.date
     df = spark.createDataFrame([(d(2024, 1, 5), d(2024, 1, 5)), (d(2024, 1, 5), d(2024, 1, 6)), (d(2024, 1, 5), d(2024, 1, 1))], "order_date date, delivery_date date")

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from tidewatch.operators import anomaly as A
@@ -182,6 +183,17 @@ def test_no_group_of_a_bootstrap_outweighs_its_part(spark):
     assert max(parts) <= 10 and len(parts) == 101 and abs(sum(parts) - 1000) < 1e-6
 
 
+def test_groups_with_their_mean_give_the_tree_of_their_rows(spark):
+    days = F.col("amount") * (1 + F.col("label")) + F.xxhash64("amount") % 2000
+    df = in_bins(spark).select(F.floor(F.col("amount") / 300).cast("double").alias("amount"), "age", days.alias("days"))
+    found = []
+    for rows in (df.withColumn("_weight", F.lit(1.0)), K._mean_groups(df, ["amount", "age"], "days", 7)):
+        tree = DecisionTreeRegressor(featuresCol="_features", labelCol="days", weightCol="_weight", maxDepth=6)
+        model = K.Pipeline(stages=[K._assembler(["amount", "age"]), tree]).fit(rows)
+        found.append([r["prediction"] for r in model.transform(df.select("amount", "age").distinct()).orderBy("amount", "age").collect()])
+    assert len(set(found[0])) > 20 and np.allclose(found[0], found[1])
+
+
 def test_a_value_of_many_rows_gets_its_own_bin():
     edges = K._edges([0.0, 0.0, 0.0, 1.0, 2.0, float("inf")])
     assert edges == sorted(set(edges)) and [np.searchsorted(edges, x, "right") for x in (-1.0, 0.0, 0.5, 1.5, 9.0)] == [1, 2, 3, 4, 5]

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import anomaly as A
+from tidewatch.operators import classify as K
 from tidewatch.operators.sequence import running_total
 from tidewatch.schema import require_columns
-from tidewatch.session import materialise, spread
+from tidewatch.session import materialise
 
 HORIZON_DAYS = 90
 Z_VALUE = 1.96
@@ -78,7 +79,7 @@ class LeadTimeModel:
 
     means: Mapping[str, DataFrame]
     others: Mapping[str, float]
-    forest: Transformer
+    forest: PipelineModel
 
     def encode(self, rows: DataFrame) -> DataFrame:
         """The rows with each name's mean: joined, so that the plan does not grow with the names."""
@@ -88,7 +89,7 @@ class LeadTimeModel:
         return rows.drop(*[f"_k_{name}" for name in self.means])
 
     def transform(self, rows: DataFrame) -> DataFrame:
-        return self.forest.transform(spread(self.encode(rows)))
+        return K.mean_prediction(self.forest, self.encode(rows))
 
 
 def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42, smoothing: float = 1.0) -> LeadTimeModel:
@@ -97,10 +98,6 @@ def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int
     Product and supplier enter as their mean lead time (smoothed towards the mean of all), so their number does not
     matter and none collide; shipping method and priority likewise.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-
     rows = materialise(lead_time_features(leads), "lead-times")
     kinds = dict(rows.dtypes)
     numbers = [c for c in rows.columns if c not in ("product_id", "supplier_id", "lead_time_days") and kinds[c] != "string"]
@@ -116,16 +113,8 @@ def fit_lead_time(leads: DataFrame, trees: int = 100, depth: int = 10, seed: int
         missing = mean.where(F.col(f"_k_{name}").isNull()).first()
         means[name] = mean.where(F.col(f"_k_{name}").isNotNull())
         others[name] = overall if missing is None else missing[f"_f_{name}"]
-    stages = [
-        VectorAssembler(inputCols=[*[f"_f_{c}" for c in names], *numbers], outputCol="_features", handleInvalid="keep"),
-        RandomForestRegressor(
-            featuresCol="_features", labelCol="lead_time_days", predictionCol="_days", numTrees=trees, maxDepth=depth, seed=seed
-        ),
-    ]
     encoded = LeadTimeModel(means, others, None).encode(rows)
-    # A fit reads its rows at every level of the trees, on all cores.
-    encoded = materialise(spread(encoded.select(*[f"_f_{c}" for c in names], *numbers, "lead_time_days")), "lead-times-encoded")
-    return LeadTimeModel(means, others, Pipeline(stages=stages).fit(encoded))
+    return LeadTimeModel(means, others, K.fit_mean_forest(encoded, [*[f"_f_{c}" for c in names], *numbers], "lead_time_days", "_days", trees, depth, seed))
 
 
 def predict_lead_time(model, requests: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Density noise over vectors of many dimensions against all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,37 @@ def test_a_point_is_sent_once_per_tile_and_not_per_leaf(spark):
     assert met.count() == met.distinct().count() <= len(sizes) ** 2 < tiles.count() ** 2 / 4
 
 
+def test_tiles_meet_without_a_shuffle(spark):
+    """A point is written once, in its tile; a task reads tiles in pairs, so the disk in use does not grow with the pairs."""
+    x, eps = points("even")
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "pid long, x array<double>, w long")
+    leaves, levels = D.tree(rows, 16, 8)
+    placed = leaves.join(D._tiles(levels, 40), "node")
+    tiles = D.packed(placed, "pid", "x", "w", "node").collect()
+    ids = [i for t in tiles for i in pa.ipc.open_stream(t["rows"]).read_all().column("pid").to_pylist()]
+    assert sorted(ids) == list(range(250)) and len(tiles) > 4
+    told = D.met(placed.withColumn("n", F.lit(1)), placed, 16, eps, 1000)
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    homes, got = {r["pid"]: r["node"] for r in leaves.collect()}, {}
+    for r in told.collect():
+        got.setdefault(r["pid"], []).extend(r["near"])
+    near = ((x[:, None] - x[None]) ** 2).sum(2) <= eps * eps
+    for i in range(250):
+        assert sorted(got.get(i, [])) == [j for j in range(250) if near[i, j] and homes[i] != homes[j]]
+
+
+def test_a_known_core_point_meets_no_more_tiles():
+    def tile(name, x, **more):
+        table = pa.table({"tile": [name] * len(x), "pid": list(range(len(x))), "x": x, "node": [name] * len(x)} | more)
+        return D._pack(table).column("rows")[0]
+
+    come = D._Visitors("a", tile("a", [[0.0], [9.0]], n=[4, 1]), 5)
+    for other in ("b", "c"):
+        come.meet(other, tile(other, [[0.1], [9.1], [50.0]], w=[1, 1, 1]), 1.0)
+    assert come.found().to_pydict() == {"pid": [0, 1], "n": [1, 2], "near": [[], [1, 1]]}
+
+
 def test_rows_that_take_no_part(spark):
     odd = [(1, None), (2, []), (3, [1.0, None]), (4, [float("nan"), 0.0]), (5, [float("inf"), 0.0]), (6, [0.0, 0.0]), (6, [0.0, 0.0]), (7, [-0.0, 0.0]), (None, [9.0, 9.0])]
     df = spark.createDataFrame(odd, "id long, v array<double>")

@@ -3,13 +3,14 @@
 ``density.py`` lays a grid, which serves up to about four dimensions. Here the points are cut along the dimension in which
 they spread most, again and again, until a leaf holds at most ``leaf`` different vectors. Every leaf counts the neighbours
 among its own points; a point that finds ``min_points`` there is a core point and needs nothing more, so crowds are settled
-inside their leaves. Only the others visit: the thin points of a tile (a node of some thousand points) go down the tree as
-one box, to each tile within ``eps`` of it, and meet that tile's points once, leaf by leaf, each leaf with those visitors
-its own box does not exclude. Equal vectors are one point with a weight.
+inside their leaves. Only the others visit: the thin points of a tile (a node of some thousand points) meet the points of
+each tile whose box is within ``eps`` of theirs, leaf by leaf, each leaf with those visitors its own box does not exclude
+and that are not known as core points yet. Equal vectors are one point with a weight.
 
 No group grows with the data: a leaf and a tile are bounded, and the tree is a table of boxes, one level a round, joined
 by its node. On vectors that point evenly in all directions boxes exclude little and a thin point meets most leaves; that
-is as many comparisons as all pairs, dealt evenly over the tasks, and a point is sent once per tile it meets, not per leaf.
+is as many comparisons as all pairs, dealt evenly over the tasks. Tiles are written once, each as one packed row, and tasks
+read them in pairs: nothing is shuffled or written per meeting, so the disk in use grows with the points.
 """
 
 from __future__ import annotations
@@ -23,16 +24,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import materialise, ship
+from tidewatch.session import discard, materialise, ship, spread
 
 #: Children of a node: the points are cut at so many less one quantiles, and in the middle of their range.
 FAN = 8
-#: Points of a tile, at most, unless a leaf is larger.
+#: Points of a tile, at most, unless a leaf is larger; of many points, tiles are up to so many bytes of components.
 TILE = 8192
+TILE_BYTES = 1 << 24
 #: Visitors compared with a leaf at a time.
 BLOCK = 1024
 FOUND = "pid long, n long, near array<long>"
 _SCHEMA = pa.schema([("pid", pa.int64()), ("n", pa.int64()), ("near", pa.list_(pa.int64()))])
+_PACKED = pa.schema([("tile", pa.string()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())), ("rows", pa.binary())])
+PACKED = "tile string, lo array<double>, hi array<double>, rows binary"
 
 
 def vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -73,7 +77,7 @@ def _cuts(points: DataFrame, boxes: DataFrame, leaf: int) -> DataFrame:
 def tree(points: DataFrame, dims: int, leaf: int) -> tuple[DataFrame, list[DataFrame]]:
     """The points with their leaf (``node``), and per level the boxes of its nodes with their parents."""
     level = materialise(points.withColumn("node", F.lit("0")), "tree-points")
-    placed, levels = [], []
+    placed, levels, written = [], [], [level]
     while True:
         boxes = _boxes(level, dims).withColumns({"parent": F.regexp_replace("node", r"\.?\d+$", ""), "is_leaf": F.col("size") <= leaf})
         boxes = materialise(boxes, "tree-boxes")
@@ -86,7 +90,10 @@ def tree(points: DataFrame, dims: int, leaf: int) -> tuple[DataFrame, list[DataF
         child = F.size(F.filter("at", lambda c: F.element_at("x", F.col("dim")) > c))
         below = level.join(cuts, "node").withColumn("node", F.concat_ws(".", "node", child.cast("string")))
         level = materialise(below.select(*level.columns), "tree-points")
-    return materialise(reduce(DataFrame.unionByName, placed), "tree-leaves"), levels
+        written.append(level)
+    out = materialise(reduce(DataFrame.unionByName, placed), "tree-leaves")
+    discard(points.sparkSession, *written)
+    return out, levels
 
 
 def _tiles(levels: list[DataFrame], most: int) -> DataFrame:
@@ -170,22 +177,92 @@ def _found(visitors: pa.Table, owners: pa.Table, eps: float, min_points: int) ->
     return pa.Table.from_arrays([pa.array(pids), pa.array(n[some].astype("int64")), pa.array(who, pa.list_(pa.int64()))], schema=_SCHEMA)
 
 
-def _met(visitors: pa.Table, owners: pa.Table, eps: float, min_points: int) -> pa.Table:
-    """``_found`` of a tile's points, leaf by leaf, each with those visitors of other leaves that its box does not exclude."""
-    if not visitors.num_rows or not owners.num_rows:
-        return _SCHEMA.empty_table()
-    x, home, found = _matrix(visitors), visitors.column("node"), []
-    owners = owners.sort_by("node")
-    ends = pc.value_counts(owners.column("node")).field("counts").to_numpy().cumsum()
-    for start, end in zip([0, *ends[:-1]], ends, strict=True):
-        leaf = owners.slice(start, end - start)
-        box = _matrix(leaf)
-        lo, hi = box.min(axis=0), box.max(axis=0)
-        near = ((x - np.clip(x, lo, hi)) ** 2).sum(axis=1) <= _reach(eps)
-        near &= pc.not_equal(home, leaf.column("node")[0]).to_numpy()
-        come = visitors.filter(pa.array(near))
-        found += [_found(come.slice(at, BLOCK), leaf, eps, min_points) for at in range(0, come.num_rows, BLOCK)]
-    return pa.concat_tables(found) if found else _SCHEMA.empty_table()
+def _pack(table: pa.Table) -> pa.Table:
+    """A tile's points as one row, leaf after leaf, with the box around them."""
+    x, sink = _matrix(table), pa.BufferOutputStream()
+    rows = table.drop_columns(["tile"]).sort_by("node").combine_chunks()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    box = [pa.array([ends.tolist()], pa.list_(pa.float64())) for ends in (x.min(axis=0), x.max(axis=0))]
+    return pa.Table.from_arrays([table.column("tile").slice(0, 1), *box, pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=_PACKED)
+
+
+def packed(points: DataFrame, *columns: str) -> DataFrame:
+    """One row per ``tile``, dealt over all cores: its box and its points with ``columns``."""
+    tiles = points.select("tile", *columns).groupBy("tile").applyInArrow(_pack, PACKED)
+    return materialise(spread(tiles), "tree-packed")
+
+
+def _unpacked(rows: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
+class _Visitors:
+    """The thin points of one tile, and what they have found in the tiles met so far."""
+
+    def __init__(self, tile: str, rows: pa.Scalar, min_points: int):
+        table = _unpacked(rows)
+        self.tile, self.least = tile, min_points
+        self.pid, self.home, self.x = table.column("pid").to_numpy(), table.column("node"), _matrix(table)
+        self.own = table.column("n").to_numpy()
+        self.n = np.zeros(len(self.pid), "int64")
+        self.near: dict[int, list[int]] = {}
+
+    def meet(self, tile: str, rows: pa.Scalar, eps: float) -> None:
+        """The points of a tile, leaf by leaf, each with those visitors of other leaves that its box does not exclude.
+
+        A visitor known as core needs nothing more: it leaves, and who its neighbours are does not matter.
+        """
+        at = np.nonzero(self.own + self.n < self.least)[0]
+        if not len(at):
+            return
+        owners, x = _unpacked(rows), self.x[at]
+        box, weights, ids, nodes = _matrix(owners), owners.column("w").to_numpy(), owners.column("pid").to_numpy(), owners.column("node")
+        ends = pc.value_counts(nodes).field("counts").to_numpy().cumsum()
+        for start, end in zip([0, *ends[:-1]], ends, strict=True):
+            leaf = box[start:end]
+            reach = ((x - np.clip(x, leaf.min(axis=0), leaf.max(axis=0))) ** 2).sum(axis=1) <= _reach(eps)
+            reach &= self.own[at] + self.n[at] < self.least
+            if tile == self.tile:
+                reach &= pc.not_equal(self.home, nodes[int(start)]).to_numpy()[at]
+            come = np.nonzero(reach)[0]
+            for s in range(0, len(come), BLOCK):
+                part = come[s : s + BLOCK]
+                near = _close(x[part], leaf, eps)
+                found, who = near @ weights[start:end], at[part]
+                self.n[who] += found
+                for i in np.nonzero((found > 0) & (self.own[who] + self.n[who] < self.least))[0]:
+                    self.near.setdefault(int(who[i]), []).extend(ids[start:end][near[i]].tolist())
+
+    def found(self) -> pa.RecordBatch:
+        some = np.nonzero(self.n > 0)[0]
+        who = [self.near.get(int(i), []) if self.own[i] + self.n[i] < self.least else [] for i in some]
+        return pa.RecordBatch.from_arrays([pa.array(self.pid[some]), pa.array(self.n[some]), pa.array(who, pa.list_(pa.int64()))], schema=_SCHEMA)
+
+
+def met(thin: DataFrame, placed: DataFrame, dims: int, eps: float, min_points: int) -> DataFrame:
+    """What the thin points (``n``: the weight found in their own leaf) find in the other leaves (``FOUND``), once per task.
+
+    A task reads some tiles of thin points and some of all points; every two that reach each other meet there.
+    """
+    visitors = packed(thin, "pid", "x", "node", "n").select(
+        F.col("tile").alias("visitor"), F.col("lo").alias("from"), F.col("hi").alias("to"), F.col("rows").alias("visitors")
+    )
+    pairs = visitors.join(packed(placed, "pid", "x", "w", "node").hint("shuffle_replicate_nl"), _gap(dims) <= _reach(eps))
+
+    def meet(batches):
+        come = None
+        for batch in batches:
+            for visitor, rows, tile, owners in zip(*[batch.column(c) for c in ("visitor", "visitors", "tile", "rows")], strict=True):
+                if come is None or come.tile != visitor.as_py():
+                    if come is not None:
+                        yield come.found()
+                    come = _Visitors(visitor.as_py(), rows, min_points)
+                come.meet(tile.as_py(), owners, eps)
+        if come is not None:
+            yield come.found()
+
+    return pairs.select("visitor", "visitors", "tile", "rows").mapInArrow(meet, FOUND)
 
 
 def noise_keys(df: DataFrame, key: str, vector: str, eps: float, min_points: int = 5, leaf: int = 1024) -> DataFrame:
@@ -209,19 +286,15 @@ def noise_keys(df: DataFrame, key: str, vector: str, eps: float, min_points: int
 
     dims = ends["lo"]
     placed, levels = tree(points, dims, leaf)
+    spark = df.sparkSession
     own = placed.groupBy("node").applyInArrow(lambda t: _found(t, t, eps, min_points), FOUND)
     own = materialise(own, "tree-own")
-    most = max(leaf, TILE)
-    placed = materialise(placed.join(_tiles(levels, most), "node"), "tree-placed")
-    thin = materialise(placed.join(own.where(F.col("n") < min_points).select("pid"), "pid", "left_semi"), "tree-thin")
-    pairs = materialise(meetings(thin, levels, dims, eps, most), "tree-come")
-
-    # Two tiles meet in one group; a tile's points are repeated once per tile that comes or is visited.
-    visitors = thin.withColumnRenamed("tile", "visitor").join(pairs, "visitor").select("visitor", "tile", "pid", "x", "node")
-    hosts = placed.join(pairs, "tile").select("visitor", "tile", "pid", "x", "w", "node")
-    meet = visitors.groupBy("visitor", "tile").cogroup(hosts.groupBy("visitor", "tile"))
-    met = meet.applyInArrow(lambda v, h: _met(v, h, eps, min_points), FOUND)
-    found = materialise(own.unionByName(met), "tree-found")
+    leaves, most = placed, max(leaf, TILE, min(points.count() // 16, TILE_BYTES // (8 * dims)))
+    placed = materialise(leaves.join(_tiles(levels, most), "node"), "tree-placed")
+    discard(spark, leaves)
+    thin = materialise(placed.join(own.where(F.col("n") < min_points).select("pid", "n"), "pid"), "tree-thin")
+    found = materialise(own.unionByName(met(thin, placed, dims, eps, min_points)), "tree-found")
+    discard(spark, placed, thin, own)
 
     total = materialise(found.groupBy("pid").agg((F.sum("n") >= min_points).alias("core")), "tree-core")
     thin = total.where("NOT core").select("pid")
